@@ -318,6 +318,18 @@ FROM (SELECT tf.doc_id, tf.term, tf.tf, dfq.df,
 SELECT CAST(sum(event_id) AS BIGINT) AS total, count(*) AS n, CAST(count(*) * (count(*) - 1) / 2 AS BIGINT) AS expected
 FROM events"""
     q["parquet_roundtrip"] = "SELECT * FROM events"
+
+    # File-backed operators: what is read back equals what was derived from the tables.
+    q["scan_gkg"] = _with(VIEW) + "SELECT " + ", ".join(
+        f"nullif(coalesce({c}, ''), '') AS {c}" for c in gkg_cols) + " FROM v"
+    q["zip_scan"] = _with(VIEW) + "SELECT replace(replace(batch_url, 'feed/', ''), '.zip', '') AS member, " + \
+        ", ".join(f"coalesce({c}, '') AS {c}" for c in gkg_cols) + " FROM v"
+    q["write_partitioned"] = q["output_rows"]
+    q["idempotent_sink"] = q["output_rows"]
+    q["stream_ingest"] = _with(VIEW, RECORDS) + """
+SELECT record_id, event_time, source, url, themes, locations, persons, organizations, all_names,
+       CAST(tone_score AS FLOAT) AS tone_score, ingested_at, batch_url, is_first_batch
+FROM recs"""
     return q
 
 

@@ -352,3 +352,121 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "range_sum": q_range_sum,
     "parquet_roundtrip": q_parquet_roundtrip,
 }
+
+
+# --- file-backed operators (inputs written by Spark to the shared checkpoint folder) ----------
+
+def q_scan_gkg(spark, sf_dir):
+    """SRC-1 + SRC-2: tab-separated files written from the raw lines, scanned with the 27-field schema."""
+    from newsflow.session import shared_path
+    from newsflow.sources.gkg import read_gkg, write_lines
+    path = shared_path(spark, "scan_gkg")
+    write_lines(gkg_lines(spark, sf_dir), path)
+    return read_gkg(spark, path)
+
+
+def q_zip_scan(spark, sf_dir):
+    """SRC-6: lines written into zip archives (per batch and task), streamed back out and projected."""
+    from newsflow.session import shared_path
+    from newsflow.sources.archives import read_archives, write_archives
+    path = shared_path(spark, "zip_scan")
+    write_archives(gkg_lines(spark, sf_dir), path, "batch_url", "line_no").count()
+    lines = read_archives(spark, path)
+    return normalize.project_lines(lines, keep=("member",))
+
+
+def q_write_partitioned(spark, sf_dir):
+    """SNK-4: the output rows written partitioned by label, read back."""
+    from newsflow.session import shared_path
+    from newsflow.sinks.parquet import write_partitioned
+    path = shared_path(spark, "write_partitioned")
+    write_partitioned(q_output_rows(spark, sf_dir), path, mode="overwrite")
+    return spark.read.parquet(path)
+
+
+def q_idempotent_sink(spark, sf_dir):
+    """STR-5: every batch written twice (a replay) with per-batch overwrite; one copy remains."""
+    from newsflow.session import shared_path
+    from newsflow.sinks.parquet import read_output, write_batches
+    path = shared_path(spark, "idempotent_sink")
+    rows = q_output_rows(spark, sf_dir)
+    write_batches(rows, path, "r0")
+    write_batches(rows, path, "r0")
+    return read_output(spark, path, "r0").drop("run")
+
+
+def _stream_input(spark, sf_dir, files: int = 8) -> str:
+    """Wire messages (JSON lines) as ``files`` files, each holding whole consecutive batches."""
+    from newsflow.session import shared_path
+    path = shared_path(spark, "wire")
+    recs = q_batch_lineage_records(spark, sf_dir)
+    fields = [c for c in recs.columns if c != "batch_id"]
+    lines = (recs.withColumn("value", F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}))
+             .repartitionByRange(files, "batch_id").select("value"))
+    lines.write.mode("overwrite").text(path)
+    return path
+
+
+def q_stream_ingest(spark, sf_dir):
+    """SRC-10 + STR-4: file stream (rate-limited by files per trigger) -> parsed wire records -> Parquet sink."""
+    from newsflow.session import shared_path
+    from newsflow.streaming.job import parse_wire, stream_source
+    src = _stream_input(spark, sf_dir)
+    out, ckpt = shared_path(spark, "stream_ingest"), shared_path(spark, "stream_ingest_ckpt")
+    stream = parse_wire(stream_source(spark, "files", {"maxFilesPerTrigger": 2}, path=src))
+    q = (stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+def q_stream_job(spark, sf_dir):
+    """JOB-3: the micro-batch job over a file stream, idempotent output, read back (batch ids are the stream's)."""
+    from newsflow.session import shared_path
+    from newsflow.sinks.parquet import read_output
+    from newsflow.streaming.job import run_key, start_stream, stream_source
+    src = _stream_input(spark, sf_dir)
+    out, ckpt = shared_path(spark, "stream_job"), shared_path(spark, "stream_job_ckpt")
+    q = start_stream(stream_source(spark, "files", {"maxFilesPerTrigger": 1}, path=src), out, ckpt,
+                     trigger={"availableNow": True})
+    q.awaitTermination()
+    return read_output(spark, out, run_key(ckpt)).drop("run")
+
+
+def q_stream_dedup(spark, sf_dir):
+    """DUP-2 (stream form): first arrival of each URL within a one-day watermark, across micro-batches."""
+    from newsflow.session import shared_path
+    from newsflow.streaming.dedup import dedup_within_watermark
+    from newsflow.streaming.job import parse_wire, stream_source
+    src = _stream_input(spark, sf_dir)
+    out, ckpt = shared_path(spark, "stream_dedup"), shared_path(spark, "stream_dedup_ckpt")
+    recs = parse_wire(stream_source(spark, "files", {"maxFilesPerTrigger": 2}, path=src))
+    recs = recs.withColumn("event_time", iso_to_ts("event_time", ntz=False)).dropna(subset=["url", "event_time"])
+    deduped = dedup_within_watermark(recs, ["url"], "event_time", "1 day")
+    q = (deduped.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+def q_preprocess_features(spark, sf_dir):
+    """JOB-2 with the model (ML-5 .. ML-9): fit TF-IDF on the cleaned text, save a version, load, score."""
+    from newsflow.operators.model import ModelStore, featurize
+    from newsflow.session import shared_path
+    prepared = clean_plan.preprocess(_gkg(spark, sf_dir))
+    store = ModelStore(spark, shared_path(spark, "models"))
+    store.fit_and_save(prepared)
+    model = ModelStore(spark, store.root).load()
+    return featurize(model, prepared).select("record_id", "url", "sentiment_label", "features")
+
+
+QUERIES.update({
+    "scan_gkg": q_scan_gkg,
+    "zip_scan": q_zip_scan,
+    "write_partitioned": q_write_partitioned,
+    "idempotent_sink": q_idempotent_sink,
+    "stream_ingest": q_stream_ingest,
+    "stream_job": q_stream_job,
+    "stream_dedup": q_stream_dedup,
+    "preprocess_features": q_preprocess_features,
+})

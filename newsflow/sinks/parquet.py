@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from newsflow.session import shared_path
 
@@ -56,6 +57,24 @@ def write_batch(df: DataFrame, path: str, batch_id: int, run: str,
        .write.mode("append").partitionBy("run", "batch_id", *partition_cols).parquet(path))
 
 
+def write_batches(df: DataFrame, path: str, run: str, batch_col: str = "batch_id",
+                  partition_cols: Sequence[str] = ("sentiment_label",)) -> None:
+    """STR-5 for many batches in one job: dynamic partition overwrite of ``run/batch_id/...``.
+
+    Only the partitions present in ``df`` are replaced, so writing the same batches
+    again (a replay) leaves one copy of each.
+    """
+    (df.withColumn("run", F.lit(run)).withColumn(batch_col, F.col(batch_col).cast("int"))
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy("run", batch_col, *partition_cols).parquet(path))
+
+
+def read_output(spark: SparkSession, path: str, run: str | None = None) -> DataFrame:
+    """Read an output table; ``run`` prunes to one run's partitions."""
+    df = spark.read.parquet(path)
+    return df.filter(F.col("run") == run) if run is not None else df
+
+
 def roundtrip(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """SNK-5 + SRC-12: overwrite as Parquet in the shared folder, read it back."""
     path = shared_path(spark, name)
