@@ -233,8 +233,7 @@ def q_new_files(spark, sf_dir):
 def q_output_rows(spark, sf_dir):
     """PRJ-16 over the stream path in batch form: wire parse, dedup per batch, label, 12 columns."""
     from newsflow.streaming.job import consume_records
-    recs = q_batch_lineage_records(spark, sf_dir)
-    return consume_records(recs, batch_id_col="batch_id")
+    return consume_records(_records(spark, sf_dir), batch_id_col="batch_id")
 
 
 def q_batch_lineage_records(spark, sf_dir):
@@ -264,7 +263,7 @@ def q_legacy_records(spark, sf_dir):
 # --- text -----------------------------------------------------------------------------------
 
 def _docs(spark, sf_dir):
-    return read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return read_table(spark, sf_dir, "documents", spread="doc_id").select("doc_id", "text")
 
 
 def q_tokens(spark, sf_dir):

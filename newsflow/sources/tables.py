@@ -28,8 +28,26 @@ from newsflow.schemas import GKG_COLUMNS, GKG_WIDTH, LEGACY_PRODUCER_COLUMNS
 WIDTH_BY_EVENT_TYPE = {"click": 27, "view": 27, "purchase": 30, "signup": 10, "error": 16}
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: str | bool | None = None) -> DataFrame:
+    """One driver table. ``spread`` widens a scan that is narrower than the cluster.
+
+    A table stored as one Parquet row group is read by one task, so all row-wise
+    work before the first shuffle would run on one core. When the scan has fewer
+    partitions than ``defaultParallelism`` it is hash-partitioned on ``spread``
+    (a column name: the key of the join or aggregation that follows, at
+    ``spark.sql.shuffle.partitions``, so that operator reuses the partitioning
+    instead of shuffling again) or round-robin (``spread=True``). Inputs of
+    cluster size have many splits and are left alone: no extra shuffle.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if not spread:
+        return df
+    parallelism = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= parallelism:
+        return df
+    if isinstance(spread, str):
+        return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), spread)
+    return df.repartition(parallelism)
 
 
 def batch_url_col(ts: Column) -> Column:
@@ -44,8 +62,9 @@ def batch_id_col(ts: Column) -> Column:
 
 def gkg_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw GKG projection (10 named string columns) plus lineage: ``line_no``, ``batch_url``, ``batch_id``."""
-    e = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    e = read_table(spark, sf_dir, "events", spread="event_id").select("event_id", "ts", "user_id", "event_type",
+                                                                       "value")
+    d = read_table(spark, sf_dir, "documents", spread="doc_id").select("doc_id", "text", "lang", "source")
     p = read_table(spark, sf_dir, "pages").select("page_id", "url")
     j = (e.join(d, e.event_id == d.doc_id, "left")
          .join(p, e.user_id == p.page_id, "left"))
@@ -113,7 +132,7 @@ def manifest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive; the kind follows the event type (click: export, view: mentions,
     purchase/signup: gkg); error events give a two-part line without a URL.
     """
-    e = read_table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
+    e = read_table(spark, sf_dir, "events", spread=True).select("event_id", "ts", "event_type", "value")
     kind = (F.when(F.col("event_type") == "click", F.lit("export"))
             .when(F.col("event_type") == "view", F.lit("mentions"))
             .otherwise(F.lit("gkg")))
