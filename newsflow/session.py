@@ -41,6 +41,18 @@ def build_session(master: str = "local[*]", app_name: str = "newsflow",
     return spark
 
 
+def get_session(app_name: str = "newsflow") -> SparkSession:
+    """JOB-7 for submitted jobs: no master (the submitter sets it), UTC, AQE; shuffle width left to AQE."""
+    spark = (SparkSession.builder.appName(app_name)
+             .config("spark.sql.session.timeZone", "UTC")
+             .config("spark.sql.adaptive.enabled", "true")
+             .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+             .config("spark.sql.adaptive.skewJoin.enabled", "true")
+             .getOrCreate())
+    ensure_checkpoint_dir(spark)
+    return spark
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if none is configured."""
     jsc = spark.sparkContext._jsc.sc()

@@ -57,10 +57,18 @@ def _iter_archive_lines(uri: str, member_suffix: str, chunk: int):
 
 
 def read_archives(spark: SparkSession, path: str, member_suffix: str = ".csv",
-                  chunk_rows: int = 50_000, spread: int | None = None) -> DataFrame:
-    """``(archive, member, line_no, value)`` for every line of the first ``member_suffix`` member."""
+                  chunk_rows: int = 50_000, spread: int | None = None,
+                  only_names: DataFrame | None = None) -> DataFrame:
+    """``(archive, member, line_no, value)`` for every line of the first ``member_suffix`` member.
+
+    ``only_names`` (a column ``archive_name``: file names) restricts the scan to
+    those archives before any is opened (a semi-join on the listing).
+    """
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.zip")
              .option("recursiveFileLookup", "true").load(path).select("path"))
+    if only_names is not None:
+        files = (files.withColumn("archive_name", F.element_at(F.split("path", "/"), -1))
+                 .join(only_names.select("archive_name"), "archive_name", "left_semi").select("path"))
 
     def unzip(batches):
         for pdf in batches:
