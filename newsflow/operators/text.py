@@ -12,10 +12,9 @@ Scale notes
     map side, shuffle balanced on the pair.
   * document frequency: ``groupBy(term)`` over the per-document pairs, again with a
     partial aggregate, so a term present in every document costs one row per map task.
-  * TF-IDF joins the pairs with the frequencies on ``term``. No broadcast hint:
-    the vocabulary grows with the corpus, so AQE decides from the measured size
-    (broadcast below ``spark.sql.adaptive.autoBroadcastJoinThreshold``, else a
-    sort-merge join whose skewed term partitions AQE splits).
+  * TF-IDF joins the pairs with the frequencies on ``term``. The vocabulary grows
+    with the corpus, so it is broadcast only under a checked row bound; above it
+    the join shuffles on ``term`` and AQE splits the partitions of hot terms.
 """
 
 from __future__ import annotations
@@ -79,14 +78,23 @@ def idf_weight(df_col, n_docs_col, min_doc_freq: int = MIN_DOC_FREQ) -> Column:
 
 
 def tfidf(docs: DataFrame, id_col: str, tokens_col: str,
-          min_doc_freq: int = MIN_DOC_FREQ) -> DataFrame:
+          min_doc_freq: int = MIN_DOC_FREQ, materialize_counts: bool = True,
+          max_broadcast_terms: int = 2_000_000) -> DataFrame:
     """ML-4 twin on unhashed terms: ``(id, term, tf, df, idf, tfidf)``.
 
-    ``m`` counts every document, also those without a term, as ``IDF.fit`` does.
-    It is a one-row global aggregate, so joining it is a bounded broadcast.
+    The per-document counts feed both the frequencies and the join, so they are
+    written once to the shared folder (``materialize_counts``) instead of
+    tokenizing twice. The vocabulary grows with the corpus: it is broadcast only
+    when a bounded count shows at most ``max_broadcast_terms`` terms; otherwise
+    the join shuffles on ``term`` and AQE splits the partitions of hot terms.
+    ``m`` counts every document, also those without a term, as ``IDF.fit`` does;
+    it is a one-row aggregate, a bounded broadcast.
     """
+    from newsflow.operators.joins import bounded_broadcast, materialize
     tf = term_counts(docs, id_col, tokens_col)
-    dfreq = document_frequency(tf, id_col)
+    if materialize_counts:
+        tf = materialize(tf, "term_counts")
+    dfreq = bounded_broadcast(document_frequency(tf, id_col), max_broadcast_terms)
     n_docs = docs.agg(F.count(F.lit(1)).alias("n_docs"))
     weighted = (tf.join(dfreq, "term")
                 .crossJoin(F.broadcast(n_docs))

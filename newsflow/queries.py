@@ -26,7 +26,7 @@ from newsflow.schemas import (
     GKG_COLUMNS, LEGACY_PRODUCER_COLUMNS, LIST_COLUMNS, STATUS_EVENT, TEXT_COLUMNS, WIRE_SCHEMA,
 )
 from newsflow.sources import manifest as manifest_src
-from newsflow.sources.tables import gkg_lines, gkg_view, manifest_lines, read_table
+from newsflow.sources.tables import gkg_lines, gkg_view, landed_lines, manifest_lines, read_table
 
 GKG_NAMES = list(GKG_COLUMNS.values())
 DAY_MS = 86_400_000
@@ -51,19 +51,19 @@ def _ingested_at(batch_id_col="batch_id"):
 
 def q_gkg_project(spark, sf_dir):
     """SRC-2: positional select and rename of the 10 used fields of 27-field lines."""
-    lines = gkg_lines(spark, sf_dir)
+    lines = landed_lines(spark, sf_dir)
     return normalize.project_lines(lines, keep=("line_no",))
 
 
 def q_ragged_fields(spark, sf_dir):
     """SRC-3: fields of lines of 10 to 30 fields; a field past the end reads as ``''``."""
-    lines = gkg_lines(spark, sf_dir, ragged=True)
+    lines = landed_lines(spark, sf_dir, ragged=True)
     return normalize.project_lines(lines, missing="", keep=("line_no",))
 
 
 def q_wide_scan_skip_bad(spark, sf_dir):
     """SRC-5 + PRJ-18: per archive, the first line's width rules (legacy column map)."""
-    lines = gkg_lines(spark, sf_dir, ragged=True)
+    lines = landed_lines(spark, sf_dir, ragged=True)
     return legacy.wide_scan_skip_bad(lines, LEGACY_PRODUCER_COLUMNS, "batch_url", "line_no")
 
 
@@ -151,7 +151,7 @@ def q_required_nonempty(spark, sf_dir):
 
 
 def q_reject_counts(spark, sf_dir):
-    fields = normalize.project_lines(gkg_lines(spark, sf_dir), keep=("batch_url",))
+    fields = normalize.project_lines(landed_lines(spark, sf_dir), keep=("batch_url",))
     return quality.reject_counts(fields, normalize.producer_valid(), by=["batch_url"])
 
 
@@ -196,7 +196,7 @@ def q_preview_topn(spark, sf_dir):
 
 
 def _records(spark, sf_dir):
-    lines = gkg_lines(spark, sf_dir)
+    lines = landed_lines(spark, sf_dir)
     return normalize.normalize(lines, ingested_at=_ingested_at(), keep=("batch_url", "batch_id"))
 
 
@@ -254,7 +254,7 @@ def q_publish_json(spark, sf_dir):
 
 def q_legacy_records(spark, sf_dir):
     """JOB-5: wide scan -> polarity -> comma lists -> first send per URL."""
-    lines = gkg_lines(spark, sf_dir, ragged=True)
+    lines = landed_lines(spark, sf_dir, ragged=True)
     rows = legacy.wide_scan_skip_bad(lines, LEGACY_PRODUCER_COLUMNS, "batch_url", "line_no", keep=("batch_id",))
     recs = legacy.legacy_records(rows, event_ts=F.col("batch_id").cast("bigint") * DAY_MS)
     return legacy.send_new_urls(recs, "batch_id", "line_no")
@@ -360,7 +360,7 @@ def q_scan_gkg(spark, sf_dir):
     from newsflow.session import shared_path
     from newsflow.sources.gkg import read_gkg, write_lines
     path = shared_path(spark, "scan_gkg")
-    write_lines(gkg_lines(spark, sf_dir), path)
+    write_lines(landed_lines(spark, sf_dir), path)
     return read_gkg(spark, path)
 
 
@@ -369,7 +369,7 @@ def q_zip_scan(spark, sf_dir):
     from newsflow.session import shared_path
     from newsflow.sources.archives import read_archives, write_archives
     path = shared_path(spark, "zip_scan")
-    write_archives(gkg_lines(spark, sf_dir), path, "batch_url", "line_no").count()
+    write_archives(landed_lines(spark, sf_dir), path, "batch_url", "line_no").count()
     lines = read_archives(spark, path)
     return normalize.project_lines(lines, keep=("member",))
 

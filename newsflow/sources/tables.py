@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsflow.operators.joins import bounded_broadcast
 from newsflow.schemas import GKG_COLUMNS, GKG_WIDTH, LEGACY_PRODUCER_COLUMNS
 
 # Width of each raw line by event type, for ragged-row operators (rows are never dropped here).
@@ -65,7 +66,8 @@ def gkg_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read_table(spark, sf_dir, "events", spread="event_id").select("event_id", "ts", "user_id", "event_type",
                                                                        "value")
     d = read_table(spark, sf_dir, "documents", spread="doc_id").select("doc_id", "text", "lang", "source")
-    p = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    # The URL lookup grows with the data: broadcast only under a checked row bound.
+    p = bounded_broadcast(read_table(spark, sf_dir, "pages").select("page_id", "url"))
     j = (e.join(d, e.event_id == d.doc_id, "left")
          .join(p, e.user_id == p.page_id, "left"))
     value = F.col("value")
@@ -122,6 +124,33 @@ def gkg_lines(spark: SparkSession, sf_dir: str, ragged: bool = False) -> DataFra
     return v.select("line_no", "batch_url", "batch_id", F.array_join(fields, "\t").alias("value"))
 
 
+def landed_lines(spark: SparkSession, sf_dir: str, ragged: bool = False) -> DataFrame:
+    """The raw lines as a landing table (SNK-6 layout), written once per session and input set.
+
+    Producer-side operators read raw lines from storage in production. Reading
+    them from a written table keeps the fixture honest: a filter that Catalyst
+    pushes below the field projections re-splits a stored string instead of
+    rebuilding the line from the joined tables. The table lives in the shared
+    checkpoint folder, keyed by the input files (path, size, modification time).
+    """
+    import hashlib
+
+    from newsflow.session import shared_path
+    from newsflow.sinks.parquet import path_exists
+    sig = [sf_dir, str(ragged)]
+    for name in ("events", "documents", "pages"):
+        p = f"{sf_dir.rstrip('/')}/{name}.parquet"
+        jvm = spark.sparkContext._jvm
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        st = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(hp)
+        sig += [str(st.getLen()), str(st.getModificationTime())]
+    key = hashlib.sha1("|".join(sig).encode("utf-8")).hexdigest()[:16]
+    path = shared_path(spark, "landing", key, unique=False)
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        gkg_lines(spark, sf_dir, ragged).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 MANIFEST_KINDS = ("export", "mentions", "gkg")
 
 
