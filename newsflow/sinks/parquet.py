@@ -38,12 +38,17 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str] =
                       mode: str = "append", files_per_partition: int | None = None) -> None:
     """SNK-4: Parquet partitioned by ``partition_cols``.
 
-    ``files_per_partition`` clusters rows by the partition columns first, so each
-    task writes few files (the small-files problem of per-batch appends).
+    ``files_per_partition`` clusters rows by the partition columns plus a hash
+    salt of ``files_per_partition`` values, so each partition value is written by
+    at most that many tasks (few files, against the small-files problem of
+    per-batch appends) while a hot value (one label can hold most rows) is still
+    spread over that many tasks instead of one.
     """
     out = df
     if files_per_partition:
-        out = df.repartition(files_per_partition, *partition_cols)
+        salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition))
+        width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        out = df.repartition(width, *partition_cols, salt)
     out.write.mode(mode).partitionBy(*partition_cols).parquet(path)
 
 

@@ -92,12 +92,16 @@ def write_archives(lines: DataFrame, path: str, name_col: str, order_col: str) -
         from pyspark import TaskContext
         part = TaskContext.get().partitionId()
         current, zf, fh, count, written = None, None, None, 0, []
+        filesystem = tmp = final = out = target = None
 
         def close():
             if zf is not None:
                 fh.close()
                 zf.close()
                 out.close()
+                # Publish the finished archive under its final name (a retried or
+                # speculative attempt writes its own temporary file).
+                filesystem.move(tmp, final)
                 written.append((target, count))
 
         for pdf in batches:
@@ -107,9 +111,10 @@ def write_archives(lines: DataFrame, path: str, name_col: str, order_col: str) -
                     current, count = name, 0
                     member = name.rsplit("/", 1)[-1].removesuffix(".zip")
                     target = f"{root}/{member}-{part:05d}.zip"
-                    filesystem, local = _open_fs(target)
-                    filesystem.create_dir(local.rsplit("/", 1)[0], recursive=True)
-                    out = filesystem.open_output_stream(local)
+                    filesystem, final = _open_fs(target)
+                    filesystem.create_dir(final.rsplit("/", 1)[0], recursive=True)
+                    tmp = f"{final}.attempt-{TaskContext.get().attemptNumber()}.tmp"
+                    out = filesystem.open_output_stream(tmp)
                     zf = zipfile.ZipFile(out, "w", compression=zipfile.ZIP_DEFLATED)
                     fh = zf.open(member, "w", force_zip64=True)
                 fh.write(value.encode("utf-8") + b"\n")
