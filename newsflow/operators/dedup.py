@@ -19,14 +19,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _order_cols(order: Sequence[str | Column]) -> list[tuple[str, Column]]:
-    out = []
-    for i, o in enumerate(order):
-        c = F.col(o) if isinstance(o, str) else o
-        out.append((f"__o{i}", c))
-    return out
-
-
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                   nulls_last: bool = True) -> DataFrame:
     """One row per ``keys``: the smallest by ``order`` (NULL order values last by default)."""

@@ -23,10 +23,10 @@ from newsflow.operators import dedup, quality, text
 from newsflow.plans import clean as clean_plan
 from newsflow.plans import legacy, normalize
 from newsflow.schemas import (
-    GKG_COLUMNS, LEGACY_PRODUCER_COLUMNS, LIST_COLUMNS, STATUS_EVENT, TEXT_COLUMNS, WIRE_SCHEMA,
+    GKG_COLUMNS, LEGACY_PRODUCER_COLUMNS, LIST_COLUMNS, TEXT_COLUMNS, WIRE_SCHEMA,
 )
 from newsflow.sources import manifest as manifest_src
-from newsflow.sources.tables import gkg_lines, gkg_view, landed_lines, manifest_lines, read_table
+from newsflow.sources.tables import gkg_view, landed_lines, manifest_lines, read_table
 
 GKG_NAMES = list(GKG_COLUMNS.values())
 DAY_MS = 86_400_000
@@ -247,9 +247,8 @@ def q_publish_json(spark, sf_dir):
     """SNK-1 + PRJ-13: keyed JSON messages, checked on the key and the fields read back."""
     from newsflow.sinks.publish import to_messages
     msgs = to_messages(q_batch_lineage_records(spark, sf_dir).drop("batch_id"), key_col="url")
-    schema = WIRE_SCHEMA
     return msgs.select(F.col("key").cast("string").alias("key"),
-                       F.from_json(F.col("value").cast("string"), schema).alias("d")).select("key", "d.*")
+                       F.from_json(F.col("value").cast("string"), WIRE_SCHEMA).alias("d")).select("key", "d.*")
 
 
 def q_legacy_records(spark, sf_dir):
