@@ -28,10 +28,11 @@ def parse_wire(df: DataFrame, schema=WIRE_SCHEMA) -> DataFrame:
     return df.select(F.from_json(F.col("value").cast("string"), schema).alias("d")).select("d.*")
 
 
-def consume_records(records: DataFrame, batch_id_col: str = "batch_id") -> DataFrame:
+def consume_records(records: DataFrame, batch_id_col: str = "batch_id", with_text: bool = False) -> DataFrame:
     """PRJ-3 -> FLT-1 -> DUP-1 -> PRJ-10 -> PRJ-16 for wire records of one or more batches.
 
     Dedup is per ``(batch_id, url)``: inside one micro-batch, as the stream does.
+    ``with_text`` adds the model input ``text`` (PRJ-9, built before ``all_names`` is dropped).
     """
     parsed = records.withColumns({
         "event_time": iso_to_ts("event_time"),
@@ -39,10 +40,14 @@ def consume_records(records: DataFrame, batch_id_col: str = "batch_id") -> DataF
     })
     valid = parsed.dropna(subset=["url", "event_time"])
     first = first_per_key(valid.select("record_id", "event_time", "source", "url", "themes", "persons",
-                                       "organizations", "locations", "tone_score", "batch_url", batch_id_col),
+                                       "organizations", "locations", "all_names", "tone_score", "batch_url",
+                                       batch_id_col),
                           [batch_id_col, "url"], ["event_time", "record_id"])
     out = add_tone_label(first)
-    return out.select(*OUTPUT_COLUMNS[:-1], F.col(batch_id_col).cast("int").alias("batch_id"))
+    extra = []
+    if with_text:
+        out, extra = add_text(out), ["text"]
+    return out.select(*OUTPUT_COLUMNS[:-1], F.col(batch_id_col).cast("int").alias("batch_id"), *extra)
 
 
 def stream_source(spark: SparkSession, kind: str, options: dict | None = None, path: str | None = None):
@@ -100,13 +105,13 @@ class BatchWriter:
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         from newsflow.sinks.parquet import write_batch
         parsed = parse_wire(batch_df).withColumn("batch_id", F.lit(int(batch_id)))
-        out = consume_records(parsed).persist()
+        out = consume_records(parsed, with_text=self.model_store is not None).persist()
         try:
+            out_cols = out.select(*OUTPUT_COLUMNS)
             if self.model_store is not None and not out.isEmpty():
-                scored = self.model_store.load_or_train(add_text(out)).transform(add_text(out))
-                out_cols = scored.select(*OUTPUT_COLUMNS)
-            else:
-                out_cols = out
+                model = self.model_store.load_or_train(out)
+                # ML-9: scored rows; the vector is not written (the table holds readable columns)
+                out_cols = model.transform(out).select(*OUTPUT_COLUMNS)
             # A batch without valid rows still replaces (clears) its directory.
             write_batch(out_cols, self.output_path, batch_id, self.run)
             self.stats.append(batch_id)

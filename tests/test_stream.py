@@ -66,3 +66,16 @@ def test_watermark_dedup_across_files(spark, scratch):
     q.awaitTermination()
     urls = sorted(r.url for r in spark.read.parquet(out).collect())
     assert urls == ["u1", "u3"]  # u1 of the second file is a cross-batch duplicate
+
+
+def test_stream_trains_on_first_batch_then_reuses(spark, scratch):
+    from newsflow.operators.model import ModelStore
+    src, out, ckpt, models = (os.path.join(scratch, n) for n in ("src", "out", "ckpt", "models"))
+    write_batches(src)
+    store = ModelStore(spark, models)
+    q = start_stream(stream_source(spark, "files", {"maxFilesPerTrigger": 1}, path=src), out, ckpt,
+                     trigger={"availableNow": True}, model_store=store)
+    q.awaitTermination()
+    versions = [d for d in os.listdir(models) if d.startswith("v")]
+    assert len(versions) == 1 and store.current_version() == versions[0]  # trained once, reused after
+    assert read_output(spark, out, run_key(ckpt)).count() == 3
