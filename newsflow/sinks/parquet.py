@@ -63,15 +63,34 @@ def write_batch(df: DataFrame, path: str, batch_id: int, run: str,
 
 
 def write_batches(df: DataFrame, path: str, run: str, batch_col: str = "batch_id",
-                  partition_cols: Sequence[str] = ("sentiment_label",)) -> None:
+                  partition_cols: Sequence[str] = ("sentiment_label",),
+                  files_per_partition: int | None = None) -> None:
     """STR-5 for many batches in one job: dynamic partition overwrite of ``run/batch_id/...``.
 
     Only the partitions present in ``df`` are replaced, so writing the same batches
-    again (a replay) leaves one copy of each.
+    again (a replay) leaves one copy of each. ``files_per_partition`` clusters the
+    rows (with a hash salt, see ``write_partitioned``) so each partition gets few files.
     """
-    (df.withColumn("run", F.lit(run)).withColumn(batch_col, F.col(batch_col).cast("int"))
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy("run", batch_col, *partition_cols).parquet(path))
+    out = df.withColumn("run", F.lit(run)).withColumn(batch_col, F.col(batch_col).cast("int"))
+    keys = ["run", batch_col, *partition_cols]
+    if files_per_partition:
+        salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition))
+        out = out.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys, salt)
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*keys).parquet(path))
+
+
+def compact(spark: SparkSession, path: str, run: str, files_per_partition: int = 1,
+            batch_col: str = "batch_id") -> None:
+    """R7: rewrite one run's output with few files per partition.
+
+    The run is first copied to the shared folder (a path cannot be overwritten
+    while it is read), then its partitions are replaced by dynamic overwrite;
+    other runs and partitions are untouched.
+    """
+    from newsflow.operators.joins import materialize
+    staged = materialize(read_output(spark, path, run).drop("run"), "compact")
+    write_batches(staged, path, run, batch_col, files_per_partition=files_per_partition)
 
 
 def read_output(spark: SparkSession, path: str, run: str | None = None) -> DataFrame:

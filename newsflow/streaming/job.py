@@ -104,19 +104,29 @@ class BatchWriter:
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         from newsflow.sinks.parquet import write_batch
-        parsed = parse_wire(batch_df).withColumn("batch_id", F.lit(int(batch_id)))
-        out = consume_records(parsed, with_text=self.model_store is not None).persist()
+        # The parsed batch (at most one trigger's records) feeds the counters, the
+        # model and the write: parse once.
+        parsed = parse_wire(batch_df).withColumn("batch_id", F.lit(int(batch_id))).persist()
         try:
+            # V9: a malformed message parses to all-NULL fields and would vanish in
+            # the NULL filter; count it, and all rejects, per batch.
+            counts = parsed.agg(
+                F.count(F.lit(1)).alias("rows"),
+                F.count_if(F.col("record_id").isNull() & F.col("url").isNull()).alias("malformed"),
+                F.count_if(F.col("url").isNull() | F.col("event_time").isNull()).alias("rejected"),
+            ).first().asDict()
+            out = consume_records(parsed, with_text=self.model_store is not None)
             out_cols = out.select(*OUTPUT_COLUMNS)
-            if self.model_store is not None and not out.isEmpty():
+            if self.model_store is not None and counts["rows"] > counts["rejected"]:
                 model = self.model_store.load_or_train(out)
-                # ML-9: scored rows; the vector is not written (the table holds readable columns)
-                out_cols = model.transform(out).select(*OUTPUT_COLUMNS)
+                if model is not None:
+                    # ML-9: scored rows; the vector is not written (the table holds readable columns)
+                    out_cols = model.transform(out).select(*OUTPUT_COLUMNS)
             # A batch without valid rows still replaces (clears) its directory.
             write_batch(out_cols, self.output_path, batch_id, self.run)
-            self.stats.append(batch_id)
+            self.stats.append({"batch_id": batch_id, **counts})
         finally:
-            out.unpersist()
+            parsed.unpersist()
 
 
 def start_stream(source: DataFrame, output_path: str, checkpoint: str,

@@ -53,3 +53,18 @@ def test_partitioned_and_roundtrip(spark, scratch):
     parts = sorted(d for d in os.listdir(os.path.join(scratch, "p")) if d.startswith("sentiment_label="))
     assert parts == ["sentiment_label=neutral", "sentiment_label=positive"]
     assert roundtrip(spark, df, "t").count() == 3
+
+
+def test_compact_keeps_rows_and_reduces_files(spark, scratch):
+    path = os.path.join(scratch, "c")
+    for b in range(3):
+        write_batch(out_df(spark, 1, ["neutral"] * 4).repartition(4), path, 1, "rC") if b == 0 else None
+    write_batch(out_df(spark, 2, ["neutral", "positive"] * 3).repartition(3), path, 2, "rC")
+    write_batch(out_df(spark, 5, ["negative"]), path, 5, "other")
+    before = read_output(spark, path).count()
+    from newsflow.sinks.parquet import compact
+    compact(spark, path, "rC", files_per_partition=1)
+    assert read_output(spark, path).count() == before
+    d = os.path.join(path, "run=rC", "batch_id=2", "sentiment_label=neutral")
+    assert len([f for f in os.listdir(d) if f.endswith(".parquet")]) == 1
+    assert read_output(spark, path, "other").count() == 1

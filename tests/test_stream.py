@@ -38,9 +38,12 @@ def write_batches(folder):
 def test_stream_equals_batch_and_replay(spark, scratch):
     src, out, ckpt = (os.path.join(scratch, n) for n in ("src", "out", "ckpt"))
     write_batches(src)
-    q = start_stream(stream_source(spark, "files", {"maxFilesPerTrigger": 1}, path=src), out, ckpt,
-                     trigger={"availableNow": True})
+    from newsflow.streaming.job import BatchWriter
+    writer = BatchWriter(out, run_key(ckpt))
+    q = (stream_source(spark, "files", {"maxFilesPerTrigger": 1}, path=src).writeStream.foreachBatch(writer)
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
+    assert [(s["rows"], s["malformed"], s["rejected"]) for s in writer.stats] == [(4, 0, 2), (2, 0, 0), (0, 0, 0), (1, 1, 1)]
     got = read_output(spark, out, run_key(ckpt)).drop("run")
     rows = sorted((r.record_id, r.sentiment_label, r.batch_id) for r in got.collect())
     assert rows == [("1", "negative", 0), ("5", "positive", 1), ("6", "neutral", 1)]
