@@ -189,6 +189,9 @@ SELECT batch_url, line_no, batch_id, event_date, source_url, themes, locations,
 FROM lr
 QUALIFY row_number() OVER (PARTITION BY source_url ORDER BY batch_id, line_no) = 1"""
 
+    q["legacy_readback"] = "SELECT source_url, themes, sentiment_label, sentiment_score, event_ts FROM (" + \
+        q["legacy_records"] + ") x WHERE source_url IS NOT NULL"
+
     q["manifest_parse"] = _with(_manifest(), """
 p3 AS (
   SELECT manifest, line_no, list_filter(string_split_regex(value, '\\s+'), lambda x: x <> '') AS parts FROM m

@@ -259,6 +259,15 @@ def q_legacy_records(spark, sf_dir):
     return legacy.send_new_urls(recs, "batch_id", "line_no")
 
 
+def q_legacy_readback(spark, sf_dir):
+    """SNK-2 + SRC-11 + FLT-4: legacy messages (no key) read back with the 5-field reader schema."""
+    from newsflow.schemas import LEGACY_READ_SCHEMA
+    from newsflow.sinks.publish import to_messages
+    msgs = to_messages(q_legacy_records(spark, sf_dir).drop("batch_url", "line_no", "batch_id"), key_col=None)
+    parsed = msgs.selectExpr("CAST(value AS STRING) AS j").select(F.from_json("j", LEGACY_READ_SCHEMA).alias("d"))
+    return parsed.select("d.*").filter(F.col("source_url").isNotNull())
+
+
 # --- text -----------------------------------------------------------------------------------
 
 def _docs(spark, sf_dir):
@@ -342,6 +351,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "output_rows": q_output_rows,
     "publish_json": q_publish_json,
     "legacy_records": q_legacy_records,
+    "legacy_readback": q_legacy_readback,
     "tokens": q_tokens,
     "tokens_filtered": q_tokens_filtered,
     "doc_freq": q_doc_freq,
