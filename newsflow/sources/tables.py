@@ -35,10 +35,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: str | bool |
     A table stored as one Parquet row group is read by one task, so all row-wise
     work before the first shuffle would run on one core. When the scan has fewer
     partitions than ``defaultParallelism`` it is hash-partitioned on ``spread``
-    (a column name: the key of the join or aggregation that follows, at
-    ``spark.sql.shuffle.partitions``, so that operator reuses the partitioning
-    instead of shuffling again) or round-robin (``spread=True``). Inputs of
-    cluster size have many splits and are left alone: no extra shuffle.
+    (a column name: the key of the join or aggregation that follows, so that
+    operator reuses the partitioning instead of shuffling again) or round-robin
+    (``spread=True``), into two partitions per core. Inputs of cluster size have
+    many splits and are left alone: no extra shuffle.
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if not spread:
@@ -46,9 +46,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: str | bool |
     parallelism = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= parallelism:
         return df
+    # Two tasks per core: the row-wise work after the spread (regexes over whole
+    # texts) is CPU-bound, so AQE must not coalesce it below the core count.
     if isinstance(spread, str):
-        return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), spread)
-    return df.repartition(parallelism)
+        return df.repartition(2 * parallelism, spread)
+    return df.repartition(2 * parallelism)
 
 
 def batch_url_col(ts: Column) -> Column:
