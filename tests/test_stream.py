@@ -82,3 +82,11 @@ def test_stream_trains_on_first_batch_then_reuses(spark, scratch):
     versions = [d for d in os.listdir(models) if d.startswith("v")]
     assert len(versions) == 1 and store.current_version() == versions[0]  # trained once, reused after
     assert read_output(spark, out, run_key(ckpt)).count() == 3
+
+
+def test_kafka_source_is_wired_but_needs_the_connector(spark):
+    import pytest
+    with pytest.raises(Exception, match="(?i)kafka"):
+        stream_source(spark, "kafka", {"kafka.bootstrap.servers": "broker:9092", "subscribe": "raw"})
+    with pytest.raises(ValueError):
+        stream_source(spark, "socket")
