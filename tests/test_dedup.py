@@ -49,3 +49,12 @@ def test_cross_batch_equals_incremental_anti_join(spark):
         inc += list(map(tuple, new.collect()))
         seen = seen.unionByName(batch.select("url"))
     assert whole == sorted(inc) == [("u1", 0, 1), ("u2", 0, 2), ("u3", 1, 5), ("u4", 2, 7)]
+
+
+def test_null_keys_form_one_group_like_drop_duplicates(spark):
+    rows = [(None, T0, "1", 1), (None, T0, "0", 2), ("u", T0, "5", 3)]
+    df = rows_to_df(spark, rows)
+    for fn in (first_per_key, first_per_key_window):
+        got = sorted((r.url or "", r.record_id) for r in fn(df, ["url"], ["event_time", "record_id"]).collect())
+        assert got == [("", "0"), ("u", "5")]
+    assert df.dropDuplicates(["url"]).count() == 2
