@@ -28,20 +28,41 @@ from pyspark.sql import functions as F
 from newsflow.schemas import MIN_DOC_FREQ, MIN_TOKEN_LENGTH, NUM_FEATURES, TOKEN_PATTERN
 
 
+def _ml_jar() -> str | None:
+    """Path of the installed Spark ML jar: ``SPARK_HOME/jars``, or a ``jars`` folder beside or above the
+    ``pyspark`` package (which may itself sit inside ``pyspark.zip``); None when there is none."""
+    import pyspark
+    here = os.path.dirname(os.path.abspath(pyspark.__file__))
+    roots = [os.environ["SPARK_HOME"]] if os.environ.get("SPARK_HOME") else []
+    while here != os.path.dirname(here):
+        roots.append(here)
+        here = os.path.dirname(here)
+    for root in roots:
+        jars = os.path.join(root, "jars")
+        if os.path.isdir(jars):
+            for name in sorted(os.listdir(jars)):
+                if name.startswith("spark-mllib_") and name.endswith(".jar"):
+                    return os.path.join(jars, name)
+    return None
+
+
 @functools.lru_cache(maxsize=4)
 def default_stop_words(language: str = "english") -> tuple[str, ...]:
-    """Spark ML's default stop-word list, read from the installed Spark ML jar.
+    """Spark ML's default stop-word list (``StopWordsRemover.loadDefaultStopWords``).
 
-    The same list ``StopWordsRemover.loadDefaultStopWords`` returns, without a JVM.
+    Taken from the running session's JVM when there is one; otherwise (SQL twins
+    built without Spark) from the installed Spark ML jar.
     """
-    import pyspark
-    jars = os.path.join(os.path.dirname(pyspark.__file__), "jars")
-    for name in sorted(os.listdir(jars)):
-        if name.startswith("spark-mllib_") and name.endswith(".jar"):
-            with zipfile.ZipFile(os.path.join(jars, name)) as z:
-                raw = z.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt")
-            return tuple(w for w in raw.decode("utf-8").split("\n") if w)
-    raise FileNotFoundError("Spark ML jar not found; use StopWordsRemover.loadDefaultStopWords")
+    from pyspark import SparkContext
+    if SparkContext._active_spark_context is not None:
+        from pyspark.ml.feature import StopWordsRemover
+        return tuple(StopWordsRemover.loadDefaultStopWords(language))
+    jar = _ml_jar()
+    if jar is None:
+        raise FileNotFoundError("no running session and no Spark ML jar: the stop-word list is unknown")
+    with zipfile.ZipFile(jar) as z:
+        raw = z.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt")
+    return tuple(w for w in raw.decode("utf-8").split("\n") if w)
 
 
 def tokenize(text, pattern: str = TOKEN_PATTERN, min_length: int = MIN_TOKEN_LENGTH) -> Column:

@@ -137,6 +137,28 @@ m AS (
 )"""
 
 
+def _stop_word_twins() -> dict[str, str]:
+    """The three twins that need Spark ML's stop-word list."""
+    q = {}
+    q["tokens_filtered"] = _with(_tokens(True)) + "SELECT doc_id, term, tf FROM tf"
+    q["doc_freq"] = _with(_tokens(True)) + "SELECT term, count(*) AS df FROM tf GROUP BY term"
+    q["tfidf"] = _with(_tokens(True), """
+dfq AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+n AS (SELECT count(*) AS m FROM documents)""") + """
+SELECT doc_id, term, tf, df, round(idf, 6) AS idf, round(tf * idf, 6) AS tfidf
+FROM (SELECT tf.doc_id, tf.term, tf.tf, dfq.df,
+             CASE WHEN dfq.df >= 2 THEN ln((n.m + 1.0) / (dfq.df + 1.0)) ELSE 0.0 END AS idf
+      FROM tf JOIN dfq USING (term) CROSS JOIN n) x"""
+    return q
+
+
+def _stop_words_known() -> bool:
+    try:
+        return bool(default_stop_words())
+    except FileNotFoundError:
+        return False
+
+
 def build() -> dict[str, str]:
     q: dict[str, str] = {}
     gkg_cols = ("record_id", "raw_date", "source", "url", "themes", "locations", "persons",
@@ -307,15 +329,8 @@ SELECT url AS key, record_id, event_time, source, url, themes, locations, person
 FROM recs"""
 
     q["tokens"] = _with(_tokens(False)) + "SELECT doc_id, term, tf FROM tf"
-    q["tokens_filtered"] = _with(_tokens(True)) + "SELECT doc_id, term, tf FROM tf"
-    q["doc_freq"] = _with(_tokens(True)) + "SELECT term, count(*) AS df FROM tf GROUP BY term"
-    q["tfidf"] = _with(_tokens(True), """
-dfq AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
-n AS (SELECT count(*) AS m FROM documents)""") + """
-SELECT doc_id, term, tf, df, round(idf, 6) AS idf, round(tf * idf, 6) AS tfidf
-FROM (SELECT tf.doc_id, tf.term, tf.tf, dfq.df,
-             CASE WHEN dfq.df >= 2 THEN ln((n.m + 1.0) / (dfq.df + 1.0)) ELSE 0.0 END AS idf
-      FROM tf JOIN dfq USING (term) CROSS JOIN n) x"""
+    if _stop_words_known():
+        q.update(_stop_word_twins())
 
     q["range_sum"] = """
 SELECT CAST(sum(event_id) AS BIGINT) AS total, count(*) AS n, CAST(count(*) * (count(*) - 1) / 2 AS BIGINT) AS expected
@@ -335,5 +350,3 @@ SELECT record_id, event_time, source, url, themes, locations, persons, organizat
 FROM recs"""
     return q
 
-
-ORACLE_SQL = build()

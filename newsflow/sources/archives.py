@@ -10,10 +10,6 @@ large archive is shared.
 
 from __future__ import annotations
 
-import io
-import zipfile
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,39 +17,51 @@ LINE_SCHEMA = "archive string, member string, line_no long, value string"
 WRITE_SCHEMA = "archive string, lines long"
 
 
-def _open_fs(uri: str):
-    """``(filesystem, path)`` for a plain path, a ``file:`` URI or any ``pyarrow.fs`` URI (hdfs, s3, gs)."""
-    from pyarrow import fs
-    if uri.startswith("file:"):
-        local = uri[len("file:"):]
-        while local.startswith("//"):
-            local = local[1:]
-        return fs.LocalFileSystem(), local
-    if "://" not in uri:
-        return fs.LocalFileSystem(), uri
-    return fs.FileSystem.from_uri(uri)
-
-
-def _iter_archive_lines(uri: str, member_suffix: str, chunk: int):
-    filesystem, path = _open_fs(uri)
-    with filesystem.open_input_file(path) as raw, zipfile.ZipFile(raw) as zf:
-        names = [n for n in zf.namelist() if n.endswith(member_suffix)]
-        if not names:
-            return
-        member = names[0]
-        with zf.open(member) as fh:
-            text = io.TextIOWrapper(fh, encoding="utf-8", errors="replace", newline=None)
-            buf, start = [], 0
-            for i, line in enumerate(text):
-                buf.append(line.rstrip("\n"))
-                if len(buf) >= chunk:
+def _worker_helpers():
+    """``(open_fs, archive_lines)`` as nested functions.
+
+    Functions defined inside a call are pickled by value, so the Python workers
+    need neither this package on their path nor the driver's working folder.
+    """
+    import io
+    import zipfile
+
+    import pandas as pd
+
+    def open_fs(uri):
+        # (filesystem, path) for a plain path, a file: URI or any pyarrow.fs URI (hdfs, s3, gs).
+        from pyarrow import fs
+        if uri.startswith("file:"):
+            local = uri[len("file:"):]
+            while local.startswith("//"):
+                local = local[1:]
+            return fs.LocalFileSystem(), local
+        if "://" not in uri:
+            return fs.LocalFileSystem(), uri
+        return fs.FileSystem.from_uri(uri)
+
+    def archive_lines(uri, member_suffix, chunk):
+        filesystem, path = open_fs(uri)
+        with filesystem.open_input_file(path) as raw, zipfile.ZipFile(raw) as zf:
+            names = [n for n in zf.namelist() if n.endswith(member_suffix)]
+            if not names:
+                return
+            member = names[0]
+            with zf.open(member) as fh:
+                text = io.TextIOWrapper(fh, encoding="utf-8", errors="replace", newline=None)
+                buf, start = [], 0
+                for line in text:
+                    buf.append(line.rstrip("\n"))
+                    if len(buf) >= chunk:
+                        yield pd.DataFrame({"archive": uri, "member": member,
+                                            "line_no": range(start, start + len(buf)), "value": buf})
+                        start += len(buf)
+                        buf = []
+                if buf:
                     yield pd.DataFrame({"archive": uri, "member": member,
                                         "line_no": range(start, start + len(buf)), "value": buf})
-                    start += len(buf)
-                    buf = []
-            if buf:
-                yield pd.DataFrame({"archive": uri, "member": member,
-                                    "line_no": range(start, start + len(buf)), "value": buf})
+
+    return open_fs, archive_lines
 
 
 def read_archives(spark: SparkSession, path: str, member_suffix: str = ".csv",
@@ -70,10 +78,12 @@ def read_archives(spark: SparkSession, path: str, member_suffix: str = ".csv",
         files = (files.withColumn("archive_name", F.element_at(F.split("path", "/"), -1))
                  .join(only_names.select("archive_name"), "archive_name", "left_semi").select("path"))
 
+    _, archive_lines = _worker_helpers()
+
     def unzip(batches):
         for pdf in batches:
             for uri in pdf["path"]:
-                yield from _iter_archive_lines(uri, member_suffix, chunk_rows)
+                yield from archive_lines(uri, member_suffix, chunk_rows)
 
     out = files.mapInPandas(unzip, LINE_SCHEMA)
     return out.repartition(spread) if spread else out
@@ -88,7 +98,12 @@ def write_archives(lines: DataFrame, path: str, name_col: str, order_col: str) -
     """
     root = path.rstrip("/")
 
+    open_fs, _ = _worker_helpers()
+
     def write(batches):
+        import zipfile
+
+        import pandas as pd
         from pyspark import TaskContext
         part = TaskContext.get().partitionId()
         current, zf, fh, count, written = None, None, None, 0, []
@@ -111,7 +126,7 @@ def write_archives(lines: DataFrame, path: str, name_col: str, order_col: str) -
                     current, count = name, 0
                     member = name.rsplit("/", 1)[-1].removesuffix(".zip")
                     target = f"{root}/{member}-{part:05d}.zip"
-                    filesystem, final = _open_fs(target)
+                    filesystem, final = open_fs(target)
                     filesystem.create_dir(final.rsplit("/", 1)[0], recursive=True)
                     tmp = f"{final}.attempt-{TaskContext.get().attemptNumber()}.tmp"
                     out = filesystem.open_output_stream(tmp)
