@@ -59,7 +59,8 @@ def winners(rows: DataFrame, salts: int = SALTS) -> DataFrame:
     salted = rows.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
     merged = salted.groupBy("digest", "salt", "norm", "n").agg(F.count(F.lit(1)).alias("size"),
                                                               F.min("id").alias("id"))
-    per_length = merged.groupBy("digest", "norm", "n").agg(F.sum("size").alias("size"), F.min("id").alias("id"))
+    # One exchange of the winners' texts serves both groupings.
+    per_length = merged.repartition("digest").groupBy("digest", "norm", "n").agg(F.sum("size").alias("size"), F.min("id").alias("id"))
     return per_length.groupBy("digest", "norm").agg(
         F.max("n").alias("keep_n"), F.max_by("id", "n").alias("keep_id"), F.sum("size").alias("group_size"))
 
