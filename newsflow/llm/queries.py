@@ -37,8 +37,26 @@ def op8_url_filter(spark, sf_dir):
         "page_id", "host", "path", "rule", "verdict")
 
 
+def tokenizer(name: str) -> str:
+    """Path of a public tokenizer's file."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op5_best_fit_packing(spark, sf_dir):
+    from newsflow.llm.packing import pack_documents
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+def op9_token_counts(spark, sf_dir):
+    from newsflow.llm.token_count import token_counts
+    return token_counts(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_url_filter": op8_url_filter,
+    "op9_token_counts": op9_token_counts,
 }
