@@ -43,6 +43,11 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_bpe_codec(spark, sf_dir):
+    from newsflow.llm.bpe_codec import code_digests
+    return code_digests(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
 def op5_best_fit_packing(spark, sf_dir):
     from newsflow.llm.packing import pack_documents
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
@@ -55,6 +60,7 @@ def op9_token_counts(spark, sf_dir):
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op3_bpe_codec": op3_bpe_codec,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_url_filter": op8_url_filter,
