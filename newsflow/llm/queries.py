@@ -43,6 +43,13 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_toxicity(spark, sf_dir):
+    from newsflow.llm.toxicity import fit, held_out, score
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    weights = fit(docs, table(spark, sf_dir, "labels"))
+    return score(docs, weights).select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 def op3_bpe_codec(spark, sf_dir):
     from newsflow.llm.bpe_codec import code_digests
     return code_digests(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
@@ -60,6 +67,7 @@ def op9_token_counts(spark, sf_dir):
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_toxicity": op2_toxicity,
     "op3_bpe_codec": op3_bpe_codec,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_exact_dedup": op6_exact_dedup,
