@@ -55,6 +55,12 @@ def op3_bpe_codec(spark, sf_dir):
     return code_digests(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op4_nearest(spark, sf_dir):
+    from newsflow.llm.nearest import nearest
+    found = nearest(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", query_every=20, k=20)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op5_best_fit_packing(spark, sf_dir):
     from newsflow.llm.packing import pack_documents
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
@@ -69,6 +75,7 @@ QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_toxicity": op2_toxicity,
     "op3_bpe_codec": op3_bpe_codec,
+    "op4_nearest": op4_nearest,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_url_filter": op8_url_filter,
