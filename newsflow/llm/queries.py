@@ -25,6 +25,11 @@ def op6_exact_dedup(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op7_ngram_join(spark, sf_dir):
+    from newsflow.llm.ngram_join import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 #: The rules of the query (host, path, verdict).
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
              ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -78,6 +83,7 @@ QUERIES = {
     "op4_nearest": op4_nearest,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_ngram_join": op7_ngram_join,
     "op8_url_filter": op8_url_filter,
     "op9_token_counts": op9_token_counts,
 }
