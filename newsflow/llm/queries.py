@@ -76,7 +76,13 @@ def op9_token_counts(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
+    "pipeline": pipeline,
     "op1_secret_scan": op1_secret_scan,
     "op2_toxicity": op2_toxicity,
     "op3_bpe_codec": op3_bpe_codec,

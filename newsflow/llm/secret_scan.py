@@ -210,13 +210,13 @@ def with_spans(df: DataFrame, rule: Rule, wanted: Column) -> DataFrame:
     return df.withColumn(f"spans_{k}", spans).drop("m", "p", "v", "steps", "sums", "bases", "at")
 
 
-def scan_secrets(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str = "text",
+def with_secrets(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str = "text",
                  block_rows: int = 8192) -> DataFrame:
-    """``(id, text, spans_<kind> ...)`` for every row of ``docs``."""
+    """``(docs: struct of the row's columns, text, spans_<kind> ...)`` for every row of ``docs``."""
     queries = {r.kind: trigram_query(r.pattern) for r in rules}
     indexed = {k: q for k, q in queries.items() if q is not None}
-    rows = docs.select(F.col(id_col).alias("id"), _text(text_col).alias("text"),
-                       _row_key(id_col, text_col).alias("row"))
+    rest = F.struct(*[F.col(c) for c in docs.columns if c != text_col])
+    rows = docs.select(rest.alias("docs"), _text(text_col).alias("text"), _row_key(id_col, text_col).alias("row"))
     if indexed:
         trigrams = sorted({t for q in indexed.values() for term in q for t in term})
         index = build_index(docs, trigrams, id_col, text_col, block_rows)
@@ -225,7 +225,23 @@ def scan_secrets(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col:
         wanted = F.lit(True) if rule.kind not in indexed else F.coalesce(
             F.array_contains("kinds", rule.kind), F.lit(False))
         rows = with_spans(rows, rule, wanted)
-    return rows.select("id", "text", *[f"spans_{r.kind}" for r in rules])
+    return rows.select("docs", "text", *[f"spans_{r.kind}" for r in rules])
+
+
+def scan_secrets(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str = "text",
+                 block_rows: int = 8192) -> DataFrame:
+    """``(id, text, spans_<kind> ...)`` for every row of ``docs``."""
+    found = with_secrets(docs.select(id_col, text_col), rules, id_col, text_col, block_rows)
+    return found.select(F.col("docs").getField(id_col).alias("id"), *found.columns[1:])
+
+
+def mask(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with every secret masked; NULL texts become empty."""
+    found = with_secrets(docs, rules, id_col, text_col)
+    spans = F.flatten(F.array(*[F.col(f"spans_{r.kind}") for r in rules]))
+    found = found.withColumn("spans", spans).withColumn("masked", masked(F.col("text"), F.col("spans")))
+    return found.select(*[F.col("masked").alias(c) if c == text_col else F.col("docs").getField(c).alias(c)
+                          for c in docs.columns])
 
 
 def span_list(columns) -> Column:
