@@ -76,6 +76,13 @@ def op9_token_counts(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op10_suffix_dedup(spark, sf_dir):
+    from newsflow.llm.suffix_dedup import suffix_dedup
+    found = suffix_dedup(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans",
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -92,4 +99,5 @@ QUERIES = {
     "op7_ngram_join": op7_ngram_join,
     "op8_url_filter": op8_url_filter,
     "op9_token_counts": op9_token_counts,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
