@@ -1,8 +1,10 @@
 """Command-line entry (JOB-6): ``python -m newsflow <command> ...`` or ``spark-submit``.
 
   preprocess <tsv_path> [--show N]           clean, label, text, fit TF-IDF, show N rows
-  ingest <manifests> <archives> <status> [--messages P] [--landing P]
-  stream <source_path> <output> <checkpoint> [--files-per-trigger N] [--models P]
+  ingest <manifests> <archives> <status> [--messages P] [--landing P] [--counts P]
+         [--kafka-bootstrap S --topic T [--status-topic T]]
+  stream <output> <checkpoint> (--files P [--files-per-trigger N] |
+         --kafka-bootstrap S --topic T [--max-offsets N]) [--trigger "60 seconds"] [--models P] [--preview N]
 
 The master and resources come from the submitter; nothing is hard-coded here.
 """
@@ -12,8 +14,8 @@ from __future__ import annotations
 import argparse
 
 
-def main(argv=None) -> None:
-    from newsflow.session import get_session
+def parser() -> argparse.ArgumentParser:
+    from newsflow.schemas import MAX_RECORDS_PER_TRIGGER, TRIGGER_INTERVAL
     ap = argparse.ArgumentParser(prog="newsflow")
     sub = ap.add_subparsers(dest="cmd", required=True)
     p = sub.add_parser("preprocess")
@@ -21,19 +23,53 @@ def main(argv=None) -> None:
     p.add_argument("--show", type=int, default=20)
     p.add_argument("--models")
     i = sub.add_parser("ingest")
-    i.add_argument("manifests")
-    i.add_argument("archives")
-    i.add_argument("status")
-    i.add_argument("--messages")
-    i.add_argument("--landing")
+    for name in ("manifests", "archives", "status"):
+        i.add_argument(name)
+    for name in ("--messages", "--landing", "--counts", "--kafka-bootstrap", "--topic", "--status-topic"):
+        i.add_argument(name)
     s = sub.add_parser("stream")
-    s.add_argument("source")
     s.add_argument("output")
     s.add_argument("checkpoint")
+    s.add_argument("--files")
     s.add_argument("--files-per-trigger", type=int, default=1)
-    s.add_argument("--models")
+    s.add_argument("--kafka-bootstrap")
+    s.add_argument("--topic")
+    s.add_argument("--max-offsets", type=int, default=MAX_RECORDS_PER_TRIGGER)
+    s.add_argument("--trigger", default=TRIGGER_INTERVAL)
     s.add_argument("--available-now", action="store_true")
-    args = ap.parse_args(argv)
+    s.add_argument("--models")
+    s.add_argument("--preview", type=int, default=0)
+    return ap
+
+
+def source_of(args) -> tuple[str, dict, str | None]:
+    """``(kind, options, path)`` of the stream's source."""
+    from newsflow.streaming.job import kafka_source_options
+    if args.kafka_bootstrap:
+        if not args.topic:
+            raise SystemExit("--kafka-bootstrap needs --topic")
+        return "kafka", kafka_source_options(args.kafka_bootstrap, args.topic, args.max_offsets), None
+    if not args.files:
+        raise SystemExit("stream needs --files or --kafka-bootstrap")
+    return "files", {"maxFilesPerTrigger": args.files_per_trigger}, args.files
+
+
+def kafka_of(args) -> dict | None:
+    """The Kafka sink of ``ingest``."""
+    if not args.kafka_bootstrap:
+        return None
+    if not args.topic:
+        raise SystemExit("--kafka-bootstrap needs --topic")
+    return {"bootstrap_servers": args.kafka_bootstrap, "topic": args.topic, "status_topic": args.status_topic}
+
+
+def trigger_of(args) -> dict:
+    return {"availableNow": True} if args.available_now else {"processingTime": args.trigger}
+
+
+def main(argv=None) -> None:
+    from newsflow.session import get_session
+    args = parser().parse_args(argv)
     spark = get_session("newsflow-" + args.cmd)
 
     if args.cmd == "preprocess":
@@ -45,18 +81,21 @@ def main(argv=None) -> None:
         store = ModelStore(spark, args.models or shared_path(spark, "models", unique=False))
         model = store.load_or_train(prepared)
         out = featurize(model, prepared) if model is not None else prepared
-        out.select("url", "event_time", "tone_score", "sentiment_label", "source_domain").show(args.show, truncate=80)
+        out.select("url", "event_time", "tone_score", "sentiment_label", "source").show(args.show, truncate=80)
     elif args.cmd == "ingest":
         from newsflow.plans.ingest import ingest
-        res = ingest(spark, args.manifests, args.archives, args.status, args.messages, args.landing)
+        res = ingest(spark, args.manifests, args.archives, args.status, args.messages, args.landing,
+                     kafka=kafka_of(args))
+        if args.counts:  # every archive's counters; the print below is a preview
+            res.counts.write.mode("overwrite").parquet(args.counts)
         res.counts.show(truncate=False)
     else:
         from newsflow.operators.model import ModelStore
         from newsflow.streaming.job import start_stream, stream_source
-        src = stream_source(spark, "files", {"maxFilesPerTrigger": args.files_per_trigger}, path=args.source)
+        kind, options, path = source_of(args)
         store = ModelStore(spark, args.models) if args.models else None
-        trigger = {"availableNow": True} if args.available_now else None
-        start_stream(src, args.output, args.checkpoint, trigger=trigger, model_store=store).awaitTermination()
+        start_stream(stream_source(spark, kind, options, path=path), args.output, args.checkpoint,
+                     trigger=trigger_of(args), model_store=store, preview=args.preview).awaitTermination()
 
 
 if __name__ == "__main__":

@@ -26,16 +26,26 @@ def parse_compact_ts(c, ntz: bool = True) -> Column:
     return ts.cast("timestamp_ntz") if ntz else ts
 
 
-def compact_to_iso(c) -> Column:
+#: The field widths that a strptime of ``%Y%m%d%H%M%S`` tries, longest first.
+COMPACT_FIELDS = (r"^([0-9]{4})(1[0-2]|0[1-9]|[1-9])(3[0-1]|[1-2][0-9]|0[1-9]|[1-9]| [1-9])"
+                  r"(2[0-3]|[0-1][0-9]|[0-9])([0-5][0-9]|[0-9])(6[0-1]|[0-5][0-9]|[0-9])$")
+
+
+def compact_to_iso(c, strict: bool = False) -> Column:
     """PRJ-2 (producer form): first 14 characters parsed, ISO text out, NULL on failure.
 
-    The text must start with 14 digits; a shorter digit run is NULL here, where a
-    lenient ``strptime`` would invent a date from it.
+    A shorter digit run is read as the producer's ``strptime`` reads it (``2026051712`` is
+    2026-05-01T07:01:02); with ``strict`` the text must start with 14 digits.
     """
     s = _col(c).cast("string")
     head = F.substring(s, 1, 14)
-    parsed = F.try_to_timestamp(head, F.lit(COMPACT_TS_FORMAT))
-    return F.when(s.rlike(r"^[0-9]{14}"), F.date_format(parsed, ISO_TS_FORMAT))
+    if strict:
+        full = F.when(s.rlike(r"^[0-9]{14}"), head)
+    else:
+        fields = [F.lpad(F.trim(F.regexp_extract(head, COMPACT_FIELDS, i)), 4 if i == 1 else 2, "0")
+                  for i in range(1, 7)]
+        full = F.when(head.rlike(COMPACT_FIELDS), F.concat(*fields))
+    return F.date_format(F.try_to_timestamp(full, F.lit(COMPACT_TS_FORMAT)), ISO_TS_FORMAT)
 
 
 def iso_to_ts(c, ntz: bool = True) -> Column:

@@ -1,4 +1,4 @@
-"""Positional fields of raw text lines and batch lineage (SRC-2, SRC-3, PRJ-15, PRJ-18)."""
+"""Positional fields of raw text lines (SRC-2, SRC-3, PRJ-18)."""
 
 from __future__ import annotations
 
@@ -17,14 +17,3 @@ def field_at(fields: Column, index: int, missing: str | None = "") -> Column:
     value = F.get(fields, index)
     return value if missing is None else F.coalesce(value, F.lit(missing))
 
-
-def lineage_columns(batch_url, is_first_batch=None, batch_id=None) -> dict[str, Column]:
-    """PRJ-15: per-row batch lineage as a ``withColumns`` mapping."""
-    def as_col(v):
-        return v if isinstance(v, Column) else F.lit(v)
-    out = {"batch_url": as_col(batch_url)}
-    if is_first_batch is not None:
-        out["is_first_batch"] = as_col(is_first_batch)
-    if batch_id is not None:
-        out["batch_id"] = as_col(batch_id).cast("int")
-    return out

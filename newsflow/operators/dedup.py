@@ -4,11 +4,11 @@ The reference keeps an arbitrary row per key (``dropDuplicates`` plans a
 ``first()`` after a shuffle). Here the survivor is fixed by an explicit total
 order, so reruns and replays give the same rows.
 
-``first_per_key`` is an aggregate (``min`` over a struct led by the order
-columns): Spark computes a partial result per key on the map side before the
-shuffle, so a key that holds a third of all rows still sends one row per map
-task. ``first_per_key_window`` is the ``row_number() = 1`` form; Spark plans it
-with a partial ``WindowGroupLimit`` before the shuffle as well.
+Both forms are ``row_number() = 1``, which Spark plans with a partial
+``WindowGroupLimit`` before the shuffle: a key that holds a third of all rows
+sends one row per map task. Only the key and the narrow order columns are
+compared; wide columns ride along. (A ``min`` over a struct of all columns
+would compare and copy whole rows, raw text included, and cannot hold a map.)
 """
 
 from __future__ import annotations
@@ -17,26 +17,33 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
+
+
+def _has_map(kind) -> bool:
+    if isinstance(kind, ArrayType):
+        return _has_map(kind.elementType)
+    if isinstance(kind, StructType):
+        return any(_has_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, MapType)
+
+
+def row_digest(df: DataFrame) -> Column:
+    """A 64-bit hash of the row's columns (those that hold a map excepted)."""
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if not _has_map(f.dataType)])
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                   nulls_last: bool = True) -> DataFrame:
-    """One row per ``keys``: the smallest by ``order`` (NULL order values last by default)."""
-    keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    sort_fields = []
-    for i, o in enumerate(order):
-        if nulls_last:
-            sort_fields.append(F.col(o).isNull().alias(f"__n{i}"))
-        sort_fields.append(F.col(o).alias(f"__o{i}"))
-    packed = F.struct(*sort_fields, *[F.col(c).alias(c) for c in rest])
-    agg = df.groupBy(*keys).agg(F.min(packed).alias("__first"))
-    return agg.select(*keys, *[F.col(f"__first.{c}").alias(c) for c in rest]).select(*df.columns)
+    """One row per ``keys``: the smallest by ``order`` (NULL order values last by default); rows
+    that tie on ``order`` are told apart by a hash of their columns."""
+    tied = df.withColumn("__tie", row_digest(df))
+    return first_per_key_window(tied, keys, [*order, "__tie"], nulls_last).drop("__tie")
 
 
 def first_per_key_window(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                          nulls_last: bool = True) -> DataFrame:
-    """Same result as ``first_per_key`` through ``row_number() = 1``."""
+    """The same for an ``order`` that is total."""
     sort = [F.col(o).asc_nulls_last() if nulls_last else F.col(o).asc_nulls_first() for o in order]
     w = Window.partitionBy(*keys).orderBy(*sort)
     return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")

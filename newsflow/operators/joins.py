@@ -1,26 +1,12 @@
-"""Join helpers: broadcast only behind a checked size; materialize to cut lineage.
+"""Cutting lineage: ``materialize`` writes an intermediate once for several readers.
 
-``bounded_broadcast`` counts at most ``max_rows + 1`` rows of the small side (a
-``limit`` stops the scan early when the side is big). Under the bound the side is
-broadcast; above it the plain join remains, where AQE splits skewed partitions.
+Join strategies are left to the planner: AQE broadcasts a side by its measured
+bytes and splits skewed partitions of the others.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-
-
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads no more than ``max_rows + 1``)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its row count is within ``max_rows``; ``df`` unchanged otherwise."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

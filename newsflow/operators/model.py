@@ -19,6 +19,9 @@ from newsflow.operators.text import build_ml_pipeline
 
 log = logging.getLogger(__name__)
 POINTER = "CURRENT"
+#: What an error about a missing or broken version says.
+UNREADABLE = ("PATH_NOT_FOUND", "does not exist", "InvalidInputException", "FileNotFoundException", "empty collection",
+              "MappingException", "JsonParseException", "UNABLE_TO_INFER_SCHEMA", "CANNOT_READ_FILE_FOOTER")
 
 
 class ModelStore:
@@ -27,7 +30,7 @@ class ModelStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._model = None
+        self._model = self._version = None
 
     def _fs(self, path: str):
         jvm = self.spark.sparkContext._jvm
@@ -54,17 +57,23 @@ class ModelStore:
             out.write(bytearray(version.encode("utf-8")))
         finally:
             out.close()
+        # One rename that replaces the old pointer: a reader sees the old version or the new one.
+        jvm = self.spark.sparkContext._jvm
         dst, _ = self._fs(f"{self.root}/{POINTER}")
-        fs.delete(dst, False)
-        if not fs.rename(tmp, dst):
-            raise OSError(f"could not publish model pointer {dst}")
+        rename = jvm.org.apache.hadoop.fs.Options.Rename
+        how = self.spark.sparkContext._gateway.new_array(rename, 1)
+        how[0] = rename.OVERWRITE
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            dst.toUri(), self.spark.sparkContext._jsc.hadoopConfiguration()).rename(
+                tmp.makeQualified(fs.getUri(), fs.getWorkingDirectory()),
+                dst.makeQualified(fs.getUri(), fs.getWorkingDirectory()), how)
 
     def save(self, model) -> str:
         """ML-6: write ``model`` as a new version, then switch the pointer to it."""
         version = dt.datetime.now(dt.timezone.utc).strftime("v%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
         model.write().save(f"{self.root}/{version}")
         self._write_pointer(version)
-        self._model = model
+        self._model, self._version = model, version
         return version
 
     def load(self):
@@ -73,7 +82,8 @@ class ModelStore:
         version = self.current_version()
         if version is None:
             return None
-        self._model = PipelineModel.load(f"{self.root}/{version}")
+        if self._model is None or version != self._version:
+            self._model, self._version = PipelineModel.load(f"{self.root}/{version}"), version
         return self._model
 
     def fit_and_save(self, training: DataFrame, pipeline=None):
@@ -83,17 +93,19 @@ class ModelStore:
         return model
 
     def load_or_train(self, training: DataFrame, pipeline=None):
-        """ML-8: cached -> stored -> (on load failure or none) train a new version.
+        """ML-8: the current version (read again when another job has published one), or train a new one.
 
-        Returns None when there is no model and ``training`` is empty (IDF cannot be fitted on nothing).
+        Only a version whose files are missing or cannot be parsed is replaced by a new one; other
+        errors (a file system that is down for a moment) are raised. Returns None when there is no
+        model and ``training`` is empty (IDF cannot be fitted on nothing).
         """
-        if self._model is not None:
-            return self._model
         try:
             if self.load() is not None:
                 return self._model
-        except Exception as exc:  # noqa: BLE001 - any unreadable version: train a new one
-            log.warning("model load failed (%s); training a new version", exc)
+        except Exception as exc:
+            if not any(sign in str(exc) for sign in UNREADABLE):
+                raise
+            log.warning("model version is unreadable (%s); training a new one", exc)
         if training.isEmpty():
             return None
         return self.fit_and_save(training, pipeline)

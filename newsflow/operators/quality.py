@@ -1,4 +1,4 @@
-"""Filters and row rejection (FLT-1 .. FLT-5, AGG-1, AGG-3)."""
+"""Filters and row rejection (FLT-1 .. FLT-4, AGG-1, AGG-3)."""
 
 from __future__ import annotations
 
@@ -39,11 +39,6 @@ def reject_counts(df: DataFrame, valid: Column, by: Sequence[str] = ()) -> DataF
     return df.groupBy(*by).agg(*aggs)
 
 
-def is_empty(df: DataFrame) -> bool:
-    """FLT-5: the empty-batch guard (reads at most one row)."""
-    return df.isEmpty()
-
-
 def observe_counts(df: DataFrame, name: str, **conds: Column):
     """AGG-1 as an ``Observation``: counts collected while ``df`` runs, no extra job.
 

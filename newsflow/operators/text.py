@@ -11,9 +11,8 @@ Scale notes
   * term counts: inside the row (sorted tokens, run lengths), no shuffle.
   * document frequency: ``groupBy(term)`` over the per-document pairs, again with a
     partial aggregate, so a term present in every document costs one row per map task.
-  * TF-IDF joins the pairs with the frequencies on ``term``. The vocabulary grows
-    with the corpus, so it is broadcast only under a checked row bound; above it
-    the join shuffles on ``term`` and AQE splits the partitions of hot terms.
+  * TF-IDF joins the pairs with the vocabulary on ``term``. AQE broadcasts the
+    vocabulary by its measured bytes; else it shuffles and splits hot terms.
 """
 
 from __future__ import annotations
@@ -114,29 +113,25 @@ def idf_weight(df_col, n_docs_col, min_doc_freq: int = MIN_DOC_FREQ) -> Column:
 
 
 def tfidf(docs: DataFrame, id_col: str, tokens_col: str,
-          min_doc_freq: int = MIN_DOC_FREQ, materialize_counts: bool = True,
-          max_broadcast_terms: int = 2_000_000) -> DataFrame:
+          min_doc_freq: int = MIN_DOC_FREQ, materialize_counts: bool = True) -> DataFrame:
     """ML-4 twin on unhashed terms: ``(id, term, tf, df, idf, tfidf)``.
 
     The per-document counts feed both the frequencies and the join, so they are
     written once to the shared folder (``materialize_counts``) instead of
-    tokenizing twice. The vocabulary grows with the corpus: it is broadcast only
-    when a bounded count shows at most ``max_broadcast_terms`` terms; otherwise
-    the join shuffles on ``term`` and AQE splits the partitions of hot terms.
-    ``m`` counts every document, also those without a term, as ``IDF.fit`` does;
-    it is a one-row aggregate, a bounded broadcast.
+    tokenizing twice. The weight is computed on the vocabulary (one row per
+    term), which joins the counts on ``term``: AQE broadcasts it by its measured
+    bytes, or shuffles and splits hot terms. ``m`` counts every document, also
+    those without a term, as ``IDF.fit`` does; it is a one-row aggregate.
     """
-    from newsflow.operators.joins import bounded_broadcast, materialize
+    from newsflow.operators.joins import materialize
     tf = term_counts(docs, id_col, tokens_col)
     if materialize_counts:
         tf = materialize(tf, "term_counts")
-    dfreq = bounded_broadcast(document_frequency(tf, id_col), max_broadcast_terms)
     n_docs = docs.agg(F.count(F.lit(1)).alias("n_docs"))
-    weighted = (tf.join(dfreq, "term")
-                .crossJoin(F.broadcast(n_docs))
-                .withColumn("idf", idf_weight("df", "n_docs", min_doc_freq)))
-    return weighted.select(id_col, "term", "tf", "df", "idf",
-                           (F.col("tf") * F.col("idf")).alias("tfidf"))
+    vocabulary = document_frequency(tf, id_col).crossJoin(F.broadcast(n_docs)).select(
+        "term", "df", idf_weight("df", "n_docs", min_doc_freq).alias("idf"))
+    return tf.join(vocabulary, "term").select(id_col, "term", "tf", "df", "idf",
+                                              (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 
 def build_ml_pipeline(input_col: str = "text", num_features: int = NUM_FEATURES,

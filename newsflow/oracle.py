@@ -18,16 +18,20 @@ VIEW = """
 v AS (
   SELECT CAST(e.event_id AS VARCHAR) AS record_id,
          CASE WHEN e.value < 1.0 THEN 'bad' WHEN e.value > 250.0 THEN ''
+              WHEN e.event_id % 31 = 0 THEN strftime(e.ts, '%Y%m%d%H')
               ELSE strftime(e.ts, '%Y%m%d%H%M%S') END AS raw_date,
          d.source AS source,
          CASE WHEN e.event_type = 'error' THEN NULL WHEN e.value < 2.0 THEN '' ELSE p.url END AS url,
          regexp_replace(d.text, '[ \\t\\n\\r]+', ';', 'g') AS themes,
-         d.lang AS locations,
-         e.event_type AS persons,
-         d.source AS organizations,
-         e.event_type AS all_names,
+         d.lang || ';;;' || upper(d.lang) AS locations,
+         ' ' || coalesce(d.source, 'None') || ';;' || upper(e.event_type) || ';' AS persons,
+         array_to_string(string_split_regex(coalesce(d.text, ''), '[ \t\n\r]+')[1:6], ';;') AS organizations,
+         concat_ws(';', '', e.event_type, d.source, '') AS all_names,
          CASE WHEN e.value > 200.0 THEN NULL
-              ELSE CAST(CAST(floor(e.value / 20) AS BIGINT) - 3 AS VARCHAR) || ',' || CAST(e.user_id AS VARCHAR)
+              ELSE CAST(CAST(floor(e.value / 20) AS BIGINT) - 3 AS VARCHAR)
+                   || CASE e.event_id % 4 WHEN 0 THEN '' WHEN 1 THEN '.5' WHEN 2 THEN '.0625' ELSE '.2505' END
+                   || CASE WHEN e.event_id % 23 = 0 THEN 'd' WHEN e.event_id % 29 = 0 THEN 'x' ELSE '' END
+                   || ',' || CAST(e.user_id % 7 AS VARCHAR) || CASE WHEN e.event_id % 3 = 0 THEN '.0005' ELSE '' END
          END AS tone_raw,
          e.event_id AS line_no,
          'feed/' || strftime(e.ts, '%Y%m%d') || '000000.gkg.csv.zip' AS batch_url,
@@ -42,18 +46,22 @@ v AS (
 WIDTH = ("CASE event_type WHEN 'click' THEN 27 WHEN 'view' THEN 27 WHEN 'purchase' THEN 30 "
          "WHEN 'signup' THEN 10 WHEN 'error' THEN 16 ELSE 27 END")
 
+# The batch path reads exactly 14 digits, and takes a number with a type letter (Spark's cast does).
+COMPACT = "CASE WHEN regexp_full_match(raw_date, '[0-9]{14}') THEN try_strptime(raw_date, '%Y%m%d%H%M%S') END"
+BATCH_TONE = "TRY_CAST(regexp_replace(split_part(tone_raw, ',', 1), '[dDfF]$', '') AS FLOAT)"
+
 # Parsed / cleaned columns of the batch path.
 PARSED = """
 parsed AS (
-  SELECT record_id, source, url,
+  SELECT record_id, source AS outlet, url,
          lower(regexp_replace(trim(themes), ';+', '|', 'g')) AS themes,
          lower(regexp_replace(trim(locations), ';+', '|', 'g')) AS locations,
          lower(regexp_replace(trim(persons), ';+', '|', 'g')) AS persons,
          lower(regexp_replace(trim(organizations), ';+', '|', 'g')) AS organizations,
          lower(regexp_replace(trim(all_names), ';+', '|', 'g')) AS all_names,
-         try_strptime(raw_date, '%Y%m%d%H%M%S') AS event_time,
-         TRY_CAST(split_part(tone_raw, ',', 1) AS FLOAT) AS tone_score,
-         regexp_extract(url, 'https?://([^/]+)', 1) AS source_domain
+         """ + COMPACT + """ AS event_time,
+         """ + BATCH_TONE + """ AS tone_score,
+         regexp_extract(url, 'https?://([^/]+)', 1) AS source
   FROM v
 )"""
 
@@ -68,8 +76,13 @@ clean AS (
   QUALIFY row_number() OVER (PARTITION BY url ORDER BY event_time, record_id) = 1
 )"""
 
-ISO = """CASE WHEN regexp_matches(raw_date, '^[0-9]{14}')
-             THEN strftime(try_strptime(substr(raw_date, 1, 14), '%Y%m%d%H%M%S'), '%Y-%m-%dT%H:%M:%S') END"""
+# The producer's strptime: two digits a field where they fit, one where they do not.
+_FIELDS = ("'^([0-9]{4})(1[0-2]|0[1-9]|[1-9])(3[0-1]|[1-2][0-9]|0[1-9]|[1-9]| [1-9])"
+           "(2[0-3]|[0-1][0-9]|[0-9])([0-5][0-9]|[0-9])(6[0-1]|[0-5][0-9]|[0-9])$'")
+_PARTS = " || ".join(f"lpad(trim(regexp_extract(substr(raw_date, 1, 14), {_FIELDS}, {i})), {4 if i == 1 else 2}, '0')"
+                     for i in range(1, 7))
+ISO = f"""CASE WHEN regexp_matches(substr(raw_date, 1, 14), {_FIELDS})
+             THEN strftime(try_strptime({_PARTS}, '%Y%m%d%H%M%S'), '%Y-%m-%dT%H:%M:%S') END"""
 
 INGESTED = "strftime(DATE '1970-01-01' + (batch_id + 1), '%Y-%m-%d') || 'T00:00:00'"
 
@@ -97,6 +110,16 @@ recs AS (
   WHERE url <> '' AND raw_date <> ''
 )"""
 
+# Rounding on the exact binary value, ties to even: a double's digits (up to 20 after the point are exact
+# in printf for the fixture's small numbers) compared with the tie as text.
+_SIXTY = "printf('%.60f', abs(raw))"
+_TAIL = f"substr({_SIXTY}, strpos({_SIXTY}, '.') + 4)"
+_HEAD = f"CAST(replace(substr({_SIXTY}, 1, strpos({_SIXTY}, '.') + 3), '.', '') AS BIGINT)"
+_TIE = "rpad('5', 57, '0')"
+ROUND3 = (f"CASE WHEN raw IS NULL OR isnan(raw) OR isinf(raw) THEN raw ELSE (CASE WHEN raw < 0 THEN -1.0 ELSE 1.0 END) * "
+          f"CAST({_HEAD} + CASE WHEN {_TAIL} > {_TIE} OR ({_TAIL} = {_TIE} AND {_HEAD} % 2 = 1) THEN 1 ELSE 0 END AS DOUBLE)"
+          f" / 1000.0 END")
+
 # Ragged lines: field i of a line of width w, '' past the end.
 def _rf(expr: str, idx: int) -> str:
     return f"CASE WHEN {WIDTH} > {idx} THEN coalesce({expr}, '') ELSE '' END"
@@ -138,7 +161,7 @@ m AS (
 
 
 def _stop_word_twins() -> dict[str, str]:
-    """The three twins that need Spark ML's stop-word list."""
+    """The twins that need Spark ML's stop-word list."""
     q = {}
     q["tokens_filtered"] = _with(_tokens(True)) + "SELECT doc_id, term, tf FROM tf"
     q["doc_freq"] = _with(_tokens(True)) + "SELECT term, count(*) AS df FROM tf GROUP BY term"
@@ -149,6 +172,13 @@ SELECT doc_id, term, tf, df, round(idf, 6) AS idf, round(tf * idf, 6) AS tfidf
 FROM (SELECT tf.doc_id, tf.term, tf.tf, dfq.df,
              CASE WHEN dfq.df >= 2 THEN ln((n.m + 1.0) / (dfq.df + 1.0)) ELSE 0.0 END AS idf
       FROM tf JOIN dfq USING (term) CROSS JOIN n) x"""
+    terms = "list_filter(string_split_regex(lower({c}), '\\W+'), lambda t: length(t) >= 3 AND t NOT IN (" + _stop_list() + "))"
+    q["hashing_tf"] = f"SELECT doc_id, CAST(len({terms.format(c='text')}) AS BIGINT) AS n_terms FROM documents"
+    q["preprocess_features"] = _with(VIEW, PARSED, CLEAN) + f"""
+SELECT record_id, url, sentiment_label, CAST(len({terms.format(c='text')}) AS BIGINT) AS n_terms
+FROM (SELECT record_id, url, sentiment_label,
+             concat_ws(' ', replace(themes, '|', ' '), replace(persons, '|', ' '),
+                       replace(organizations, '|', ' '), replace(all_names, '|', ' ')) AS text FROM clean) t"""
     return q
 
 
@@ -166,7 +196,7 @@ def build() -> dict[str, str]:
 
     q["gkg_clean"] = _with(VIEW, PARSED, CLEAN) + """
 SELECT record_id, source, url, themes, locations, persons, organizations, all_names,
-       event_time, tone_score, source_domain, sentiment_label FROM clean"""
+       event_time, tone_score, outlet, sentiment_label FROM clean"""
 
     q["gkg_project"] = _with(VIEW) + "SELECT line_no, " + ", ".join(
         f"coalesce({c}, '') AS {c}" for c in gkg_cols) + " FROM v"
@@ -204,7 +234,7 @@ lr AS (
   FROM wide
 )
 SELECT batch_url, line_no, batch_id, event_date, source_url, themes, locations, persons, organizations,
-       coalesce(round(raw, 3), 0.0) AS sentiment_score,
+       coalesce(""" + ROUND3 + """, 0.0) AS sentiment_score,
        CASE WHEN raw IS NULL OR isnan(raw) THEN 'neutral' WHEN raw > 0 THEN 'positive'
             WHEN raw < 0 THEN 'negative' ELSE 'neutral' END AS sentiment_label,
        event_ts
@@ -229,16 +259,16 @@ SELECT manifest,
 FROM m WHERE contains(value, 'gkg.csv') GROUP BY manifest"""
 
     q["parse_compact_ts"] = _with(VIEW) + \
-        "SELECT record_id, try_strptime(raw_date, '%Y%m%d%H%M%S') AS event_time FROM v"
+        f"SELECT record_id, {COMPACT} AS event_time FROM v"
     q["compact_to_iso"] = _with(VIEW) + f"SELECT record_id, {ISO} AS event_time FROM v"
     q["iso_to_ts"] = _with(VIEW) + f"""
 SELECT record_id, iso, TRY_CAST(iso AS TIMESTAMP) AS event_time FROM (SELECT record_id, {ISO} AS iso FROM v)"""
     q["tone_score"] = _with(VIEW) + \
-        "SELECT record_id, TRY_CAST(split_part(tone_raw, ',', 1) AS FLOAT) AS tone_score FROM v"
+        f"SELECT record_id, {BATCH_TONE} AS tone_score FROM v"
     q["tone_label"] = _with(VIEW) + "SELECT record_id, tone_score, " + LABEL.format(s="tone_score") + \
-        " AS sentiment_label FROM (SELECT record_id, TRY_CAST(split_part(tone_raw, ',', 1) AS FLOAT) AS tone_score FROM v)"
+        f" AS sentiment_label FROM (SELECT record_id, {BATCH_TONE} AS tone_score FROM v)"
     q["polarity"] = _with(VIEW) + """
-SELECT record_id, coalesce(round(raw, 3), 0.0) AS sentiment_score,
+SELECT record_id, coalesce(""" + ROUND3 + """, 0.0) AS sentiment_score,
        CASE WHEN raw IS NULL OR isnan(raw) THEN 'neutral' WHEN raw > 0 THEN 'positive'
             WHEN raw < 0 THEN 'negative' ELSE 'neutral' END AS sentiment_label
 FROM (SELECT record_id, """ + polarity_raw.format(t="coalesce(tone_raw, '')") + """ AS raw FROM v)"""
@@ -261,7 +291,7 @@ FROM parsed"""
 
     q["required_fields"] = _with(VIEW, PARSED) + """
 SELECT record_id, source, url, themes, locations, persons, organizations, all_names,
-       CAST(event_time AS TIMESTAMP) AS event_time, tone_score, source_domain
+       CAST(event_time AS TIMESTAMP) AS event_time, tone_score, outlet
 FROM parsed WHERE url IS NOT NULL AND event_time IS NOT NULL"""
     q["required_nonempty"] = _with(VIEW) + \
         "SELECT record_id, url, raw_date FROM v WHERE coalesce(url, '') <> '' AND coalesce(raw_date, '') <> ''"
@@ -272,7 +302,7 @@ SELECT batch_url,
 FROM v GROUP BY batch_url"""
 
     dedup_in = _with(VIEW) + """
-SELECT record_id, url, raw_date, source, tone_raw, try_strptime(raw_date, '%Y%m%d%H%M%S') AS event_time
+SELECT record_id, url, raw_date, source, tone_raw, """ + COMPACT + """ AS event_time
 FROM v WHERE url IS NOT NULL
 QUALIFY row_number() OVER (PARTITION BY url ORDER BY event_time NULLS LAST, record_id) = 1"""
     q["dedup_url"] = dedup_in
@@ -282,12 +312,12 @@ SELECT url, record_id, batch_id, batch_url, line_no FROM v WHERE url IS NOT NULL
 QUALIFY row_number() OVER (PARTITION BY url ORDER BY batch_id, line_no) = 1"""
 
     q["preprocess"] = _with(VIEW, PARSED, CLEAN) + """
-SELECT record_id, url, event_time, tone_score, sentiment_label, source_domain,
+SELECT record_id, url, event_time, tone_score, sentiment_label, source,
        concat_ws(' ', replace(themes, '|', ' '), replace(persons, '|', ' '),
                  replace(organizations, '|', ' '), replace(all_names, '|', ' ')) AS text
 FROM clean"""
     q["preview_topn"] = _with(VIEW, PARSED, CLEAN) + """
-SELECT url, event_time, tone_score, sentiment_label, source_domain FROM clean
+SELECT url, event_time, tone_score, sentiment_label, source FROM clean
 ORDER BY event_time, url LIMIT 20"""
 
     q["normalize_records"] = _with(VIEW, RECORDS) + """
@@ -342,6 +372,9 @@ FROM events"""
         f"nullif(coalesce({c}, ''), '') AS {c}" for c in gkg_cols) + " FROM v"
     q["zip_scan"] = _with(VIEW) + "SELECT replace(replace(batch_url, 'feed/', ''), '.zip', '') AS member, " + \
         ", ".join(f"coalesce({c}, '') AS {c}" for c in gkg_cols) + " FROM v"
+    q["stream_job"] = "SELECT * EXCLUDE (batch_id) FROM (" + q["output_rows"] + ") o"
+    q["stream_dedup"] = _with(VIEW, RECORDS) + \
+        "SELECT DISTINCT url FROM recs WHERE url IS NOT NULL AND TRY_CAST(event_time AS TIMESTAMP) IS NOT NULL"
     q["write_partitioned"] = q["output_rows"]
     q["idempotent_sink"] = q["output_rows"]
     q["stream_ingest"] = _with(VIEW, RECORDS) + """

@@ -7,6 +7,7 @@ the dedup aggregate, and the NULL keys never reach the shuffle.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from newsflow.functions import build_text, clean_list, parse_compact_ts, tone_label, tone_score, url_host
 from newsflow.operators.dedup import first_per_key, first_per_key_window
@@ -18,13 +19,14 @@ GKG_NAMES = list(GKG_COLUMNS.values())
 def parse_fields(df: DataFrame) -> DataFrame:
     """PRJ-1, PRJ-4, PRJ-5 x5, PRJ-8, PRJ-17: typed, cleaned columns; ``raw_date``/``tone_raw`` dropped.
 
-    ``source`` keeps the outlet name; ``source_domain`` is the URL host (the batch
-    path of the reference overwrote ``source`` with the host).
+    ``source`` becomes the URL host, as in the reference's batch path; the outlet
+    name of the raw line stays as ``outlet``.
     """
     replaced = {
         "event_time": parse_compact_ts("raw_date"),
         "tone_score": tone_score("tone_raw"),
-        "source_domain": url_host("url"),
+        "outlet": F.col("source"),
+        "source": url_host("url"),
         **{c: clean_list(c) for c in LIST_COLUMNS if c in df.columns},
     }
     return df.withColumns(replaced).drop("raw_date", "tone_raw")
@@ -56,26 +58,27 @@ def clean(df: DataFrame, dedup: str = "aggregate", label: bool = True) -> DataFr
 
 
 def preprocess(df: DataFrame) -> DataFrame:
-    """JOB-2 without the model: ``record_id, url, event_time, tone_score, sentiment_label, source_domain, text``.
+    """JOB-2 without the model: ``record_id, url, event_time, tone_score, sentiment_label, source, text``.
 
     ``newsflow.operators.model.featurize`` adds the TF-IDF vector with a fitted model.
     """
     out = add_text(clean(df))
     return out.select("record_id", "url", "event_time", "tone_score", "sentiment_label",
-                      "source_domain", "text")
+                      "source", "text")
 
 
 def preprocess_batch(spark, path: str, model=None, store=None) -> DataFrame:
     """JOB-2 on a GKG file: scan -> clean -> label -> text -> (fit and save if no model) -> features.
 
     ``model``: a fitted ``PipelineModel`` to reuse; otherwise ``store`` (a
-    ``ModelStore``) loads the current version or trains and saves a new one. With
-    neither, a model is fitted on this batch and not saved.
+    ``ModelStore``) loads the current version or trains and saves a new one; by
+    default the store of the shared folder.
     """
-    from newsflow.operators.model import featurize
-    from newsflow.operators.text import build_ml_pipeline
+    from newsflow.operators.model import ModelStore, featurize
+    from newsflow.session import shared_path
     from newsflow.sources.gkg import read_gkg
     prepared = preprocess(read_gkg(spark, path))
     if model is None:
-        model = store.load_or_train(prepared) if store is not None else build_ml_pipeline().fit(prepared)
+        store = store if store is not None else ModelStore(spark, shared_path(spark, "models", unique=False))
+        model = store.load_or_train(prepared)
     return featurize(model, prepared) if model is not None else prepared

@@ -1,13 +1,18 @@
 """The producer as one distributed batch job (SRC-7, SRC-9, SRC-6, JOB-4, SNK-1, SNK-3, SNK-6).
 
 manifests -> latest archive URL per manifest -> not yet published (anti-join with
-the status table) -> those archives unzipped in parallel -> records (JOB-4, no
-Python per row) -> messages (Kafka topic or a messages table) -> one status row
-per archive appended -> raw lines kept in a landing table.
+the status table on the archive's file name) -> those archives unzipped once, one a
+task, into the landing table -> records (JOB-4, no Python per row), messages (Kafka
+topic or a messages table), counts and status, all from the landing table.
 
 The reference did this in one Python process per poll; here many archives and
-manifests are handled at once, each archive by one task. Downloading is not part
-of it: archive files are looked up by name under ``archive_root``.
+manifests are handled at once. Downloading is not part of it: archive files are
+looked up by name under ``archive_root``.
+
+Replay: landing and messages are replaced per archive, the status is written last
+in one append. A pass that failed before it leaves no status row, so the next pass
+publishes the same archives again and overwrites what the failed one wrote. (A Kafka
+topic keeps both; its consumers drop repeated keys.)
 """
 
 from __future__ import annotations
@@ -18,11 +23,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsflow.operators.dedup import drop_seen
-from newsflow.plans.normalize import normalize, producer_valid, project_lines
 from newsflow.operators.quality import reject_counts
-from newsflow.schemas import STATUS_SCHEMA
+from newsflow.plans.normalize import normalize, producer_valid, project_lines
+from newsflow.schemas import STATUS_EVENT, STATUS_SCHEMA
+from newsflow.session import shared_path
 from newsflow.sinks.parquet import land_raw, path_exists
-from newsflow.sinks.publish import publish, to_messages
+from newsflow.sinks.publish import publish, publish_status, to_messages
 from newsflow.sources.archives import read_archives
 from newsflow.sources.manifest import latest_urls, read_manifests
 
@@ -35,6 +41,11 @@ class IngestResult:
     counts: DataFrame
 
 
+def archive_name(url_col: str = "batch_url"):
+    """File name of an archive URL."""
+    return F.element_at(F.split(url_col, "/"), -1)
+
+
 def announced_archives(spark: SparkSession, manifest_path: str, kind: str = "gkg") -> DataFrame:
     """``batch_url`` of the latest archive of ``kind`` named by each manifest (distinct)."""
     latest = latest_urls(read_manifests(spark, manifest_path), "manifest", "line_no")
@@ -44,42 +55,45 @@ def announced_archives(spark: SparkSession, manifest_path: str, kind: str = "gkg
 def ingest(spark: SparkSession, manifest_path: str, archive_root: str, status_path: str,
            messages_path: str | None = None, landing_path: str | None = None,
            kafka: dict | None = None, ingested_at=None) -> IngestResult:
-    """Run one ingest pass; returns the frames it wrote (already persisted to their sinks).
+    """Run one ingest pass; returns the frames it wrote (read from the landing and status tables).
 
-    Records are cached for the several sinks (MEMORY_AND_DISK; a lost executor only
-    means recomputing from the archives). ``is_first_batch`` is true for the
-    earliest archive of the very first pass (no status table yet).
+    An archive announced under several URLs (hosts, schemes) is published once, under the
+    smallest. ``is_first_batch`` is true for the earliest archive of the very first pass (no
+    status table yet). ``kafka``: ``bootstrap_servers``, ``topic``, optional ``status_topic``.
     """
-    announced = announced_archives(spark, manifest_path)
+    announced = announced_archives(spark, manifest_path).withColumn("archive_name", archive_name())
     have_status = path_exists(spark, status_path)
     published = spark.read.parquet(status_path) if have_status else spark.createDataFrame([], STATUS_SCHEMA)
-    new = drop_seen(announced, published, ["batch_url"]).withColumn(
-        "archive_name", F.element_at(F.split("batch_url", "/"), -1))
-    lines = (read_archives(spark, archive_root, only_names=new)
-             .withColumn("archive_name", F.element_at(F.split("archive", "/"), -1))
-             .join(new, "archive_name").drop("archive_name"))
-    found = lines.select("batch_url").distinct()
+    new = drop_seen(announced, published.select(archive_name().alias("archive_name")), ["archive_name"])
+    new = new.groupBy("archive_name").agg(F.min("batch_url").alias("batch_url"))
+    unzipped = (read_archives(spark, archive_root, only_names=new)
+                .withColumn("archive_name", archive_name("archive")).join(new, "archive_name"))
+    landing_path = landing_path or shared_path(spark, "landing")
+    land_raw(unzipped.select("batch_url", "line_no", "value", "first_width"), landing_path)
+    landed = spark.read.schema("line_no long, value string, first_width int, batch_url string").parquet(landing_path)
+    lines = landed.join(new.select("batch_url"), "batch_url", "left_semi")
+
+    found = lines.groupBy("batch_url").agg(F.count(F.lit(1)).alias("lines")).select("batch_url")
     if have_status:
         first = found.select("batch_url", F.lit(False).alias("is_first_batch"))
     else:
         lowest = found.agg(F.min("batch_url").alias("__first"))
         first = found.crossJoin(F.broadcast(lowest)).select(
             "batch_url", (F.col("batch_url") == F.col("__first")).alias("is_first_batch"))
-    recs = normalize(lines, ingested_at=ingested_at, keep=("batch_url",)).join(first, "batch_url").cache()
+    recs = normalize(lines, ingested_at=ingested_at, keep=("batch_url",)).join(first, "batch_url")
+    if messages_path:
+        (to_messages(recs, keep=("batch_url",)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_url").parquet(messages_path))
     if kafka:
         publish(recs, kafka["topic"], kafka["bootstrap_servers"], key_col="url")
-    if messages_path:
-        (to_messages(recs).withColumn("batch_url", F.get_json_object(F.col("value").cast("string"), "$.batch_url"))
-         .write.mode("append").partitionBy("batch_url").parquet(messages_path))
-    if landing_path:
-        land_raw(lines.select("batch_url", "line_no", "value"), landing_path)
-    sent = recs.groupBy("batch_url").agg(F.count(F.lit(1)).alias("record_count"))
+    counts = reject_counts(project_lines(lines, keep=("batch_url",)), producer_valid(), by=["batch_url"])
     ts = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss")
     # An archive without one valid row is still published (with a count of 0).
-    status = (first.join(sent, "batch_url", "left")
-              .select(F.lit("batch_published").alias("event"), "batch_url",
-                      F.coalesce("record_count", F.lit(0)).cast("long").alias("record_count"),
-                      F.col("is_first_batch").alias("is_first"), ts.alias("timestamp")))
+    status = counts.join(first, "batch_url").select(
+        F.lit(STATUS_EVENT).alias("event"), "batch_url", F.col("sent").cast("long").alias("record_count"),
+        F.col("is_first_batch").alias("is_first"), ts.alias("timestamp"))
     status.write.mode("append").parquet(status_path)
-    counts = reject_counts(project_lines(lines, keep=("batch_url",)), producer_valid(), by=["batch_url"])
+    if kafka and kafka.get("status_topic"):
+        mine = spark.read.parquet(status_path).join(new.select("batch_url"), "batch_url", "left_semi")
+        publish_status(mine.select(*STATUS_SCHEMA.names), kafka["status_topic"], kafka["bootstrap_servers"])
     return IngestResult(new, recs, spark.read.parquet(status_path), counts)

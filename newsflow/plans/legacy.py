@@ -13,17 +13,15 @@ COMMA_COLUMNS = ["themes", "locations", "persons", "organizations"]
 
 def wide_scan_skip_bad(lines: DataFrame, column_map: dict[int, str], group_col: str,
                        order_col: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """SRC-5 + PRJ-18 per archive (``group_col``): the first line (by ``order_col``) sets the width;
-    wider lines are dropped, narrower ones padded; blank lines skipped; NULL -> ``''``.
+    """SRC-5 + PRJ-18 per archive (``group_col``): the first line sets the width; wider lines are
+    dropped, narrower ones padded; blank lines skipped; NULL -> ``''``.
 
-    The width per archive is a grouped ``min_by`` (one row per archive, partial
-    aggregation), joined back on the archive key.
+    ``lines`` carries its archive's ``first_width`` (the archive reader and the landing table give
+    it), so each line is judged alone: no join, no shuffle of raw lines.
     """
     parts = lines.filter(F.trim(F.col("value")) != "").withColumn("__f", split_fields("value"))
-    widths = (parts.groupBy(group_col)
-              .agg(F.min_by(F.size("__f"), F.col(order_col)).alias("__width")))
-    kept = parts.join(widths, group_col).filter(F.size("__f") <= F.col("__width"))
-    cols = [F.when(F.lit(i) < F.col("__width"), F.coalesce(F.get(F.col("__f"), i), F.lit("")))
+    kept = parts.filter(F.size("__f") <= F.col("first_width"))
+    cols = [F.when(F.lit(i) < F.col("first_width"), F.coalesce(F.get(F.col("__f"), i), F.lit("")))
             .alias(name) for i, name in column_map.items()]
     return kept.select(group_col, order_col, *keep, *cols)
 

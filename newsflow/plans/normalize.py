@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsflow.functions import compact_to_iso, field_at, list_pipe, split_fields, tone_score
+from newsflow.functions import compact_to_iso, field_at, list_pipe, producer_tone_score, split_fields
 from newsflow.operators.quality import nonempty
 from newsflow.schemas import GKG_COLUMNS
 
@@ -38,7 +38,7 @@ def to_records(fields: DataFrame, ingested_at: Column | None = None) -> DataFram
     """PRJ-2, PRJ-4 (double, as a Python float), PRJ-6, PRJ-14 over already-valid named fields."""
     ingested = ingested_at if ingested_at is not None else F.date_format(
         F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    tone = F.when(F.coalesce(F.col("tone_raw"), F.lit("")) != "", tone_score("tone_raw", "double"))
+    tone = producer_tone_score("tone_raw")
     extra = [c for c in fields.columns if c not in GKG_COLUMNS.values()]
     return fields.select(
         "record_id",

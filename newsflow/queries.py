@@ -191,7 +191,7 @@ def q_preprocess(spark, sf_dir):
 def q_preview_topn(spark, sf_dir):
     """SNK-7: the preview, ordered so it is reproducible (``show(20)``)."""
     out = clean_plan.clean(_gkg(spark, sf_dir))
-    return (out.select("url", "event_time", "tone_score", "sentiment_label", "source_domain")
+    return (out.select("url", "event_time", "tone_score", "sentiment_label", "source")
             .orderBy("event_time", "url").limit(20))
 
 
@@ -263,15 +263,15 @@ def q_legacy_readback(spark, sf_dir):
     """SNK-2 + SRC-11 + FLT-4: legacy messages (no key) read back with the 5-field reader schema."""
     from newsflow.schemas import LEGACY_READ_SCHEMA
     from newsflow.sinks.publish import to_messages
+    from newsflow.streaming.job import parse_wire
     msgs = to_messages(q_legacy_records(spark, sf_dir).drop("batch_url", "line_no", "batch_id"), key_col=None)
-    parsed = msgs.selectExpr("CAST(value AS STRING) AS j").select(F.from_json("j", LEGACY_READ_SCHEMA).alias("d"))
-    return parsed.select("d.*").filter(F.col("source_url").isNotNull())
+    return parse_wire(msgs, LEGACY_READ_SCHEMA).filter(F.col("source_url").isNotNull())
 
 
 # --- text -----------------------------------------------------------------------------------
 
 def _docs(spark, sf_dir):
-    return read_table(spark, sf_dir, "documents", spread="doc_id").select("doc_id", "text")
+    return read_table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 def q_tokens(spark, sf_dir):
@@ -296,10 +296,11 @@ def q_tfidf(spark, sf_dir):
 
 
 def q_hashing_tf(spark, sf_dir):
-    """ML-3: Spark ML hashed term frequencies (10,000 buckets); no SQL twin of the hash."""
-    docs = _docs(spark, sf_dir)
-    out = text.hashed_term_frequencies(docs, "text")
-    return out.select("doc_id", F.size("filtered_tokens").alias("n_terms"), "raw_features")
+    """ML-3: Spark ML hashed term frequencies (10,000 buckets), checked on each vector's sum (its number of terms)."""
+    from pyspark.ml.functions import vector_to_array
+    out = text.hashed_term_frequencies(_docs(spark, sf_dir), "text")
+    counted = F.aggregate(vector_to_array("raw_features"), F.lit(0.0), lambda a, x: a + x)
+    return out.select("doc_id", counted.cast("long").alias("n_terms"))
 
 
 # --- aggregates and round trips ---------------------------------------------------------------
@@ -403,19 +404,14 @@ def q_idempotent_sink(spark, sf_dir):
     return read_output(spark, path, "r0").drop("run")
 
 
-def _stream_input(spark, sf_dir, files: int = 8) -> str:
-    """Wire messages (JSON lines) as ``files`` files, each holding whole batches (hash of ``batch_id``).
-
-    The assignment of batches to files is deterministic, so the micro-batches of
-    a stream over these files, and its per-micro-batch dedup, repeat exactly.
-    """
+def _stream_input(spark, sf_dir) -> str:
+    """Wire messages (JSON lines), one file per batch: the hash of ``batch_id`` brings a batch into one task."""
     from newsflow.session import shared_path
     path = shared_path(spark, "wire")
     recs = q_batch_lineage_records(spark, sf_dir)
     fields = [c for c in recs.columns if c != "batch_id"]
-    lines = (recs.withColumn("value", F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}))
-             .repartition(files, "batch_id").select("value"))
-    lines.write.mode("overwrite").text(path)
+    lines = recs.select("batch_id", F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"))
+    lines.repartition("batch_id").write.mode("overwrite").partitionBy("batch_id").text(path)
     return path
 
 
@@ -433,7 +429,8 @@ def q_stream_ingest(spark, sf_dir):
 
 
 def q_stream_job(spark, sf_dir):
-    """JOB-3: the micro-batch job over a file stream, idempotent output, read back (batch ids are the stream's)."""
+    """JOB-3: the micro-batch job over a file stream (one batch file per trigger), idempotent output, read
+    back without the stream's own run and batch numbers."""
     from newsflow.session import shared_path
     from newsflow.sinks.parquet import read_output
     from newsflow.streaming.job import run_key, start_stream, stream_source
@@ -442,14 +439,15 @@ def q_stream_job(spark, sf_dir):
     q = start_stream(stream_source(spark, "files", {"maxFilesPerTrigger": 1}, path=src), out, ckpt,
                      trigger={"availableNow": True})
     q.awaitTermination()
-    return read_output(spark, out, run_key(ckpt)).drop("run")
+    return read_output(spark, out, run_key(ckpt)).drop("run", "batch_id")
 
 
 def q_stream_dedup(spark, sf_dir):
     """DUP-2 (stream form): first arrival of each URL within the watermark, across micro-batches.
 
-    The input files mix days, so the delay (31 days) covers the whole 30-day span
-    and no row depends on file order; the late-row drop itself is unit-tested.
+    The delay (31 days) covers the whole 30-day span, so no row depends on file order
+    (the late-row drop itself is unit-tested); which record of a URL arrives first does,
+    so the result is the URLs.
     """
     from newsflow.session import shared_path
     from newsflow.streaming.dedup import dedup_within_watermark
@@ -462,18 +460,22 @@ def q_stream_dedup(spark, sf_dir):
     q = (deduped.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).select("url")
 
 
 def q_preprocess_features(spark, sf_dir):
-    """JOB-2 with the model (ML-5 .. ML-9): fit TF-IDF on the cleaned text, save a version, load, score."""
+    """JOB-2 with the model (ML-5 .. ML-9): fit TF-IDF on the cleaned text, save a version, load, score;
+    the vectors are checked on their number of terms."""
     from newsflow.operators.model import ModelStore, featurize
     from newsflow.session import shared_path
     prepared = clean_plan.preprocess(_gkg(spark, sf_dir))
     store = ModelStore(spark, shared_path(spark, "models"))
     store.fit_and_save(prepared)
     model = ModelStore(spark, store.root).load()
-    return featurize(model, prepared).select("record_id", "url", "sentiment_label", "features")
+    from pyspark.ml.functions import vector_to_array
+    scored = featurize(model, prepared)
+    counted = F.aggregate(vector_to_array("raw_features"), F.lit(0.0), lambda a, x: a + x)
+    return scored.select("record_id", "url", "sentiment_label", counted.cast("long").alias("n_terms"))
 
 
 QUERIES.update({

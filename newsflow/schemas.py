@@ -77,6 +77,7 @@ MIN_DOC_FREQ = 2
 MAX_RECORDS_PER_TRIGGER = 50_000
 TRIGGER_INTERVAL = "60 seconds"
 STATUS_EVENT = "batch_published"
+STATUS_KEY = "status"
 
 
 def raw_gkg_schema(width: int = GKG_WIDTH) -> T.StructType:

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsflow.operators.dedup import row_digest
 from newsflow.session import shared_path
 
 
@@ -46,42 +47,46 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str] =
     """
     out = df
     if files_per_partition:
-        salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition))
+        salt = F.pmod(row_digest(df), F.lit(files_per_partition))
         width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         out = df.repartition(width, *partition_cols, salt)
     out.write.mode(mode).partitionBy(*partition_cols).parquet(path)
 
 
+def few_files(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Rows clustered by ``cols`` into tasks of the advisory size (AQE rebalance).
+
+    The number of files follows the bytes: small partition values share one task and get
+    one file each, a value that holds most of the rows is split over many tasks.
+    """
+    return df.hint("rebalance", *[F.col(c) for c in cols])
+
+
 def write_batch(df: DataFrame, path: str, batch_id: int, run: str,
                 partition_cols: Sequence[str] = ("sentiment_label",)) -> None:
     """STR-5: idempotent write of one micro-batch under ``run=<run>/batch_id=<batch_id>``."""
     spark = df.sparkSession
     delete_path(spark, f"{path.rstrip('/')}/run={run}/batch_id={batch_id}")
-    (df.drop("run", "batch_id")
-       .selectExpr("*", f"'{run}' AS run", f"CAST({int(batch_id)} AS INT) AS batch_id")
+    out = (df.drop("run", "batch_id")
+             .selectExpr("*", f"'{run}' AS run", f"CAST({int(batch_id)} AS INT) AS batch_id"))
+    (few_files(out, partition_cols)
        .write.mode("append").partitionBy("run", "batch_id", *partition_cols).parquet(path))
 
 
 def write_batches(df: DataFrame, path: str, run: str, batch_col: str = "batch_id",
-                  partition_cols: Sequence[str] = ("sentiment_label",),
-                  files_per_partition: int | None = None) -> None:
+                  partition_cols: Sequence[str] = ("sentiment_label",)) -> None:
     """STR-5 for many batches in one job: dynamic partition overwrite of ``run/batch_id/...``.
 
     Only the partitions present in ``df`` are replaced, so writing the same batches
-    again (a replay) leaves one copy of each. ``files_per_partition`` clusters the
-    rows (with a hash salt, see ``write_partitioned``) so each partition gets few files.
+    again (a replay) leaves one copy of each. Each partition gets few files (``few_files``).
     """
     out = df.withColumn("run", F.lit(run)).withColumn(batch_col, F.col(batch_col).cast("int"))
     keys = ["run", batch_col, *partition_cols]
-    if files_per_partition:
-        salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition))
-        out = out.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys, salt)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (few_files(out, keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys).parquet(path))
 
 
-def compact(spark: SparkSession, path: str, run: str, files_per_partition: int = 1,
-            batch_col: str = "batch_id") -> None:
+def compact(spark: SparkSession, path: str, run: str, batch_col: str = "batch_id") -> None:
     """R7: rewrite one run's output with few files per partition.
 
     The run is first copied to the shared folder (a path cannot be overwritten
@@ -90,7 +95,7 @@ def compact(spark: SparkSession, path: str, run: str, files_per_partition: int =
     """
     from newsflow.operators.joins import materialize
     staged = materialize(read_output(spark, path, run).drop("run"), "compact")
-    write_batches(staged, path, run, batch_col, files_per_partition=files_per_partition)
+    write_batches(staged, path, run, batch_col)
 
 
 def read_output(spark: SparkSession, path: str, run: str | None = None) -> DataFrame:
@@ -107,5 +112,6 @@ def roundtrip(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 
 def land_raw(lines: DataFrame, path: str, partition_col: str = "batch_url") -> None:
-    """SNK-6: keep the raw lines of each archive in a landing table (Parquet, by archive)."""
-    lines.write.mode("append").partitionBy(partition_col).parquet(path)
+    """SNK-6: keep the raw lines of each archive in a landing table (Parquet, replaced per archive)."""
+    (lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition_col).parquet(path))

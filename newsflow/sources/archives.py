@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LINE_SCHEMA = "archive string, member string, line_no long, value string"
+LINE_SCHEMA = "archive string, member string, line_no long, value string, first_width int"
 WRITE_SCHEMA = "archive string, lines long"
 
 
@@ -49,17 +49,23 @@ def _worker_helpers():
             member = names[0]
             with zf.open(member) as fh:
                 text = io.TextIOWrapper(fh, encoding="utf-8", errors="replace", newline=None)
-                buf, start = [], 0
+                buf, start, width = [], 0, None
+
+                def frame():
+                    return pd.DataFrame({"archive": uri, "member": member, "line_no": range(start, start + len(buf)),
+                                         "value": buf, "first_width": pd.array([width] * len(buf), "Int32")})
+
                 for line in text:
-                    buf.append(line.rstrip("\n"))
+                    line = line.rstrip("\n")
+                    if width is None and line.strip():
+                        width = line.count("\t") + 1
+                    buf.append(line)
                     if len(buf) >= chunk:
-                        yield pd.DataFrame({"archive": uri, "member": member,
-                                            "line_no": range(start, start + len(buf)), "value": buf})
+                        yield frame()
                         start += len(buf)
                         buf = []
                 if buf:
-                    yield pd.DataFrame({"archive": uri, "member": member,
-                                        "line_no": range(start, start + len(buf)), "value": buf})
+                    yield frame()
 
     return open_fs, archive_lines
 
@@ -67,16 +73,20 @@ def _worker_helpers():
 def read_archives(spark: SparkSession, path: str, member_suffix: str = ".csv",
                   chunk_rows: int = 50_000, spread: int | None = None,
                   only_names: DataFrame | None = None) -> DataFrame:
-    """``(archive, member, line_no, value)`` for every line of the first ``member_suffix`` member.
+    """``(archive, member, line_no, value, first_width)`` for every line of the first ``member_suffix`` member.
 
-    ``only_names`` (a column ``archive_name``: file names) restricts the scan to
-    those archives before any is opened (a semi-join on the listing).
+    ``first_width`` is the number of tab-separated fields of the member's first line that is not
+    blank (NULL on the lines before it). ``only_names`` (a column ``archive_name``: file names)
+    restricts the scan to those archives before any is opened (a semi-join on the listing).
+    The paths are then dealt out one archive a partition: a listing of few bytes would
+    otherwise be coalesced into one task that unzips every archive.
     """
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.zip")
              .option("recursiveFileLookup", "true").load(path).select("path"))
     if only_names is not None:
         files = (files.withColumn("archive_name", F.element_at(F.split("path", "/"), -1))
                  .join(only_names.select("archive_name"), "archive_name", "left_semi").select("path"))
+        files = files.repartition(max(1, only_names.count()), "path")
 
     _, archive_lines = _worker_helpers()
 

@@ -14,7 +14,10 @@ only when its measured size is under the threshold, and splits a skewed user.
 Bad values are injected from data attributes, never by filtering rows:
   * ``raw_date`` is ``'bad'`` when ``value < 1`` and empty when ``value > 250``
   * ``url`` is NULL for ``event_type = 'error'`` and empty when ``value < 2``
-  * ``tone_raw`` is NULL when ``value > 200``
+  * ``tone_raw`` is NULL when ``value > 200``; its numbers have fractions, and some
+    end in a letter (``d`` is a number to Spark's cast and none to the producers)
+  * ``raw_date`` of some events has 10 digits
+  * list fields hold runs of ``;``, capitals and outer blanks
 """
 
 from __future__ import annotations
@@ -22,35 +25,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.operators.joins import bounded_broadcast
+from newsflow.session import shared_path
 from newsflow.schemas import GKG_COLUMNS, GKG_WIDTH, LEGACY_PRODUCER_COLUMNS
 
 # Width of each raw line by event type, for ragged-row operators (rows are never dropped here).
 WIDTH_BY_EVENT_TYPE = {"click": 27, "view": 27, "purchase": 30, "signup": 10, "error": 16}
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: str | bool | None = None) -> DataFrame:
-    """One driver table. ``spread`` widens a scan that is narrower than the cluster.
-
-    A table stored as one Parquet row group is read by one task, so all row-wise
-    work before the first shuffle would run on one core. When the scan has fewer
-    partitions than ``defaultParallelism`` it is hash-partitioned on ``spread``
-    (a column name: the key of the join or aggregation that follows, so that
-    operator reuses the partitioning instead of shuffling again) or round-robin
-    (``spread=True``), into two partitions per core. Inputs of cluster size have
-    many splits and are left alone: no extra shuffle.
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if not spread:
-        return df
-    parallelism = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= parallelism:
-        return df
-    # Two tasks per core: the row-wise work after the spread (regexes over whole
-    # texts) is CPU-bound, so AQE must not coalesce it below the core count.
-    if isinstance(spread, str):
-        return df.repartition(2 * parallelism, spread)
-    return df.repartition(2 * parallelism)
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def batch_url_col(ts: Column) -> Column:
@@ -65,31 +49,38 @@ def batch_id_col(ts: Column) -> Column:
 
 def gkg_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw GKG projection (10 named string columns) plus lineage: ``line_no``, ``batch_url``, ``batch_id``."""
-    e = read_table(spark, sf_dir, "events", spread="event_id").select("event_id", "ts", "user_id", "event_type",
-                                                                       "value")
-    d = read_table(spark, sf_dir, "documents", spread="doc_id").select("doc_id", "text", "lang", "source")
-    # The URL lookup grows with the data: broadcast only under a checked row bound.
-    p = bounded_broadcast(read_table(spark, sf_dir, "pages").select("page_id", "url"))
+    e = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    p = read_table(spark, sf_dir, "pages").select("page_id", "url")
     j = (e.join(d, e.event_id == d.doc_id, "left")
          .join(p, e.user_id == p.page_id, "left"))
     value = F.col("value")
-    tone = F.concat(
-        (F.floor(value / 20) - 3).cast("bigint").cast("string"), F.lit(","),
-        F.col("user_id").cast("string"))
+    # Quarters and sixteenths are exact in binary: both engines print and parse them alike.
+    whole = (F.floor(value / 20) - 3).cast("bigint").cast("string")
+    part = F.when(F.col("event_id") % 4 == 0, F.lit("")).when(F.col("event_id") % 4 == 1, F.lit(".5")).when(
+        F.col("event_id") % 4 == 2, F.lit(".0625")).otherwise(F.lit(".2505"))
+    bad = F.when(F.col("event_id") % 23 == 0, F.lit("d")).when(F.col("event_id") % 29 == 0, F.lit("x")).otherwise(
+        F.lit(""))
+    tone = F.concat(whole, part, bad, F.lit(","), (F.col("user_id") % 7).cast("string"),
+                    F.when(F.col("event_id") % 3 == 0, F.lit(".0005")).otherwise(F.lit("")))
+    # Lists with runs of separators, capitals and blanks, from the text's words and other columns.
+    words = F.slice(F.split(F.coalesce("text", F.lit("")), r"[ \t\n\r]+"), 1, 6)
+    names = F.concat(F.lit(" "), F.coalesce("source", F.lit("None")), F.lit(";;"), F.upper("event_type"), F.lit(";"))
     return j.select(
         F.col("event_id").cast("string").alias("record_id"),
         F.when(value < 1.0, F.lit("bad"))
          .when(value > 250.0, F.lit(""))
+         .when(F.col("event_id") % 31 == 0, F.date_format("ts", "yyyyMMddHH"))
          .otherwise(F.date_format("ts", "yyyyMMddHHmmss")).alias("raw_date"),
         F.col("source").alias("source"),
         F.when(F.col("event_type") == "error", F.lit(None).cast("string"))
          .when(value < 2.0, F.lit(""))
          .otherwise(F.col("url")).alias("url"),
         F.regexp_replace("text", r"[ \t\n\r]+", ";").alias("themes"),
-        F.col("lang").alias("locations"),
-        F.col("event_type").alias("persons"),
-        F.col("source").alias("organizations"),
-        F.col("event_type").alias("all_names"),
+        F.concat(F.col("lang"), F.lit(";;;"), F.upper("lang")).alias("locations"),
+        names.alias("persons"),
+        F.array_join(words, ";;").alias("organizations"),
+        F.concat_ws(";", F.lit(""), F.col("event_type"), F.col("source"), F.lit("")).alias("all_names"),
         F.when(value > 200.0, F.lit(None).cast("string")).otherwise(tone).alias("tone_raw"),
         F.col("event_id").alias("line_no"),
         batch_url_col(F.col("ts")).alias("batch_url"),
@@ -119,38 +110,35 @@ def gkg_lines(spark: SparkSession, sf_dir: str, ragged: bool = False) -> DataFra
     widest = max(WIDTH_BY_EVENT_TYPE.values()) if ragged else GKG_WIDTH
     fields = F.array(*gkg_fields(v, widest))
     if ragged:
-        width = F.coalesce(
-            *[F.when(F.col("event_type") == k, F.lit(w)) for k, w in WIDTH_BY_EVENT_TYPE.items()],
-            F.lit(GKG_WIDTH))
-        fields = F.slice(fields, 1, width)
+        fields = F.slice(fields, 1, line_width())
     return v.select("line_no", "batch_url", "batch_id", F.array_join(fields, "\t").alias("value"))
 
 
 def landed_lines(spark: SparkSession, sf_dir: str, ragged: bool = False) -> DataFrame:
-    """The raw lines as a landing table (SNK-6 layout), written once per session and input set.
+    """The raw lines as a landing table (SNK-6 layout): ``(line_no, batch_url, batch_id, first_width, value)``.
 
-    Producer-side operators read raw lines from storage in production. Reading
-    them from a written table keeps the fixture honest: a filter that Catalyst
-    pushes below the field projections re-splits a stored string instead of
-    rebuilding the line from the joined tables. The table lives in the shared
-    checkpoint folder, keyed by the input files (path, size, modification time).
+    Producer-side operators read raw lines from storage in production; the table is
+    written once per session and input. ``first_width`` is the number of fields of
+    the batch's first line, as the archive reader gives it.
     """
-    import hashlib
-
-    from newsflow.session import shared_path
-    from newsflow.sinks.parquet import path_exists
-    sig = [sf_dir, str(ragged)]
-    for name in ("events", "documents", "pages"):
-        p = f"{sf_dir.rstrip('/')}/{name}.parquet"
-        jvm = spark.sparkContext._jvm
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        st = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(hp)
-        sig += [str(st.getLen()), str(st.getModificationTime())]
-    key = hashlib.sha1("|".join(sig).encode("utf-8")).hexdigest()[:16]
-    path = shared_path(spark, "landing", key, unique=False)
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        gkg_lines(spark, sf_dir, ragged).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    key = (spark.sparkContext.applicationId, sf_dir, ragged)
+    if key not in _LANDED:
+        path = shared_path(spark, "landing")
+        v = gkg_view(spark, sf_dir).select("batch_url", "line_no", "event_type")
+        width = line_width() if ragged else F.lit(GKG_WIDTH)
+        first = v.groupBy("batch_url").agg(F.min_by(width, F.col("line_no")).alias("first_width"))
+        gkg_lines(spark, sf_dir, ragged).join(first, "batch_url").write.mode("overwrite").parquet(path)
+        _LANDED[key] = path
+    return spark.read.parquet(_LANDED[key])
+
+
+_LANDED: dict[tuple, str] = {}
+
+
+def line_width() -> Column:
+    """Fields of a ragged line, by event type."""
+    return F.coalesce(*[F.when(F.col("event_type") == k, F.lit(w)) for k, w in WIDTH_BY_EVENT_TYPE.items()],
+                      F.lit(GKG_WIDTH))
 
 
 MANIFEST_KINDS = ("export", "mentions", "gkg")
@@ -163,7 +151,7 @@ def manifest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive; the kind follows the event type (click: export, view: mentions,
     purchase/signup: gkg); error events give a two-part line without a URL.
     """
-    e = read_table(spark, sf_dir, "events", spread=True).select("event_id", "ts", "event_type", "value")
+    e = read_table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
     kind = (F.when(F.col("event_type") == "click", F.lit("export"))
             .when(F.col("event_type") == "view", F.lit("mentions"))
             .otherwise(F.lit("gkg")))
