@@ -28,7 +28,8 @@ def test_parse_compact_ts_v1_no_exception(spark):
 def test_compact_to_iso_v7(spark):
     out = one_col(spark, DATES, compact_to_iso)
     assert out[0] == "2026-05-17T12:00:00"
-    assert out[1] is None  # short digit run: NULL, not an invented date
+    assert out[1] == "2026-05-01T07:01:02"  # a short digit run, as the producer's strptime reads it
+    assert one_col(spark, DATES, lambda c: compact_to_iso(c, strict=True))[1] is None
     assert out[2] == "2026-05-17T12:00:00"  # 17 digits: first 14 parsed
     assert out[3:] == [None, None, None]
 
@@ -91,3 +92,45 @@ def test_build_text_v10_never_null(spark):
 def test_url_host_v5(spark):
     urls = ["http://a.com/x", "HTTPS://a.com", "ftp://z/", "https://b.org?q=1", "", None, "http://u:p@h:8080/x"]
     assert one_col(spark, urls, url_host) == ["a.com", "", "", "b.org?q=1", "", None, "u:p@h:8080"]
+
+
+def test_producer_numbers_and_rounding_agree_with_python(spark):
+    from newsflow.functions import polarity_score, producer_tone_score
+    texts = ["1.5", "1.5d", "1.5f", " 2 ", "1_000", "1__0", "inf", "-Infinity", "nan", "+nan", ".5", "5.", "1e3", "", "x", "0x1"]
+
+    def python(t):
+        try:
+            return float(t)
+        except ValueError:
+            return None
+
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for r in df.select("t", producer_tone_score("t").alias("n")).collect():
+        want = python(r.t)
+        assert (r.n is None) == (want is None) and (want is None or r.n == want or want != want), r
+    import random
+    rng = random.Random(5)
+    pairs = [(round(rng.uniform(-9, 9), rng.randint(1, 6)), round(rng.uniform(0, 3), rng.randint(1, 6))) for _ in range(3000)]
+    pairs += [(1.0005, 0.0), (0.0625, 0.0), (2.0015, 0.0), (0.0025, 0.0), (-0.0625, 0.0), (1e15, 0.5)]
+    df = spark.createDataFrame([(f"{a},{b}", round(a - abs(b), 3)) for a, b in pairs], "t string, want double")
+    assert [r for r in df.select("t", "want", polarity_score("t").alias("got")).collect() if r.got != r.want] == []
+
+
+def test_short_dates_read_as_strptime_reads_them(spark):
+    from datetime import datetime
+
+    from newsflow.functions import compact_to_iso
+    texts = ["20260517123045", "2026051712", "202605171", "20261131000000", "2026051712304", "20260517123060", "2026",
+             "2026051712304599", "bad", "", "20260230010203"]
+
+    def python(t):
+        try:
+            return datetime.strptime(t[:14], "%Y%m%d%H%M%S").isoformat()
+        except ValueError:
+            return None
+
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r.t: (r.loose, r.strict) for r in df.select("t", compact_to_iso("t").alias("loose"),
+                                                       compact_to_iso("t", strict=True).alias("strict")).collect()}
+    assert {t: v[0] for t, v in got.items()} == {t: python(t) for t in texts}
+    assert got["2026051712"][1] is None and got["20260517123045"][1] == "2026-05-17T12:30:45"

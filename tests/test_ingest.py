@@ -52,6 +52,74 @@ def test_ingest_two_passes(spark, scratch):
     assert spark.read.parquet(status).count() == 2
 
 
+def archives_and_manifest(scratch, n, hosts=("http://h",)):
+    man, arc = os.path.join(scratch, "man"), os.path.join(scratch, "arc")
+    os.makedirs(man)
+    os.makedirs(arc)
+    for i in range(n):
+        name = f"202601{i:02d}000000.gkg.csv"
+        make_archive(os.path.join(arc, name + ".zip"), name, [gkg_line(27, f"r{i}", url=f"http://x.com/{i}")])
+        for k, host in enumerate(hosts if i == 0 else hosts[:1]):
+            with open(os.path.join(man, f"m{i}-{k}.txt"), "w") as fh:
+                fh.write(f"1 a {host}/{name}.zip\n")
+    return man, arc
+
+
+def test_archive_announced_under_two_hosts_is_published_once(spark, scratch):
+    man, arc = archives_and_manifest(scratch, 40, ("http://h", "https://mirror"))
+    status, msgs = os.path.join(scratch, "status"), os.path.join(scratch, "msgs")
+    assert ingest(spark, man, arc, status, messages_path=msgs, ingested_at=F.lit("t")).records.count() == 40
+    assert spark.read.parquet(msgs).count() == 40
+    # the other host's URL is the same archive: nothing new
+    assert ingest(spark, man, arc, status, messages_path=msgs, ingested_at=F.lit("t")).new_archives.count() == 0
+
+
+def test_pass_after_a_crash_before_the_status_replaces_what_it_wrote(spark, scratch):
+    import shutil
+    man, arc = archives_and_manifest(scratch, 3)
+    status, msgs, land = (os.path.join(scratch, n) for n in ("status", "msgs", "land"))
+    ingest(spark, man, arc, status, messages_path=msgs, landing_path=land, ingested_at=F.lit("t"))
+    shutil.move(status, status + "-lost")  # the status of that pass was never written
+    ingest(spark, man, arc, status, messages_path=msgs, landing_path=land, ingested_at=F.lit("t"))
+    assert spark.read.parquet(msgs).count() == 3 and spark.read.parquet(land).count() == 3
+    assert spark.read.parquet(status).count() == 3
+
+
+def test_archives_are_unzipped_in_many_tasks_without_broadcast(spark, scratch):
+    from newsflow.sources.archives import read_archives
+    _, arc = archives_and_manifest(scratch, 16)
+    names = spark.createDataFrame([(f"202601{i:02d}000000.gkg.csv.zip",) for i in range(16)], "archive_name string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = read_archives(spark, arc, only_names=names)
+        assert lines.select(F.spark_partition_id()).distinct().count() > 4
+        assert lines.filter("first_width = 27").count() == 16
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_status_message_and_cli_options(spark):
+    from newsflow.__main__ import kafka_of, parser, source_of, trigger_of
+    from newsflow.sinks.publish import kafka_options, status_messages
+    row = spark.createDataFrame([("batch_published", "u", 3, True, "t")],
+                                "event string, batch_url string, record_count long, is_first boolean, timestamp string")
+    m = status_messages(row).first()
+    assert bytes(m.key) == b"status" and json.loads(bytes(m.value))["record_count"] == 3
+    assert "__key" not in json.loads(bytes(m.value))
+    args = parser().parse_args(["stream", "out", "ckpt", "--kafka-bootstrap", "b:9092", "--topic", "raw",
+                                "--max-offsets", "7", "--trigger", "5 seconds"])
+    kind, options, path = source_of(args)
+    assert kind == "kafka" and path is None and trigger_of(args) == {"processingTime": "5 seconds"}
+    assert options == {"kafka.bootstrap.servers": "b:9092", "subscribe": "raw", "startingOffsets": "earliest",
+                       "maxOffsetsPerTrigger": "7"}
+    args = parser().parse_args(["ingest", "m", "a", "s", "--kafka-bootstrap", "b:9092", "--topic", "raw",
+                                "--status-topic", "st"])
+    assert kafka_of(args) == {"bootstrap_servers": "b:9092", "topic": "raw", "status_topic": "st"}
+    assert kafka_options("b:9092", "raw") == {"kafka.bootstrap.servers": "b:9092", "topic": "raw"}
+
+
 def test_split_valid_and_observe(spark):
     df = spark.createDataFrame([("a", 1), ("", 2), (None, 3)], "url string, n int")
     ok, bad = split_valid(df, F.col("url") != "")

@@ -25,7 +25,7 @@ def test_preprocess_batch_with_store(spark, scratch):
     rows = {r.url: r for r in out.collect()}
     assert set(rows) == {"http://a.com/1", "http://b.org/2"}
     assert rows["http://a.com/1"].record_id == "r2" and rows["http://a.com/1"].sentiment_label == "positive"
-    assert rows["http://a.com/1"].source_domain == "a.com" and rows["http://b.org/2"].features.size == 10_000
+    assert rows["http://a.com/1"].source == "a.com" and rows["http://b.org/2"].features.size == 10_000
     assert store.current_version() is not None
     again = preprocess_batch(spark, src, store=ModelStore(spark, store.root))  # loads, does not retrain
     assert again.count() == 2

@@ -5,8 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from newsflow.operators.dedup import first_per_key, first_per_key_window
-from newsflow.operators.joins import bounded_broadcast
-from newsflow.operators.text import term_counts, tokenize
+from newsflow.operators.text import term_counts, tfidf, tokenize
 from newsflow.sinks.parquet import write_partitioned
 from newsflow.sources.gkg import read_gkg
 
@@ -26,7 +25,8 @@ def hot_key_rows(spark):
 def test_dedup_is_partial_before_shuffle(spark):
     df = first_per_key(hot_key_rows(spark), ["url"], ["t", "record_id"])
     p = plan(df)
-    assert "partial_min" in p and p.index("Exchange") < p.index("partial_min")  # partial agg below the exchange
+    # One row per key and task leaves the map side.
+    assert "WindowGroupLimit" in p and p.index("Exchange") < p.rindex("WindowGroupLimit")
     got = {r.url: r.t for r in df.collect()}
     assert got["hot"] == 0 and len(got) == 2001
 
@@ -41,18 +41,44 @@ def test_term_counts_have_no_shuffle(spark):
     assert "Exchange" not in plan(term_counts(docs, "doc_id", "t"))
 
 
-def test_bounded_broadcast(spark):
-    small = spark.range(10).withColumnRenamed("id", "k")
-    big = spark.range(1000).withColumnRenamed("id", "k")
-    assert "BroadcastHashJoin" in plan(big.join(bounded_broadcast(small, 100), "k"))
-    # above the bound: no hint, the planner decides (here the static threshold is disabled)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        assert "BroadcastHashJoin" not in plan(big.join(bounded_broadcast(small, 5), "k"))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+def test_tfidf_counts_terms_once_and_leaves_the_join_to_the_planner(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", tokenize("text").alias("t"))
+    p = plan(tfidf(docs, "doc_id", "t"))
+    final = p.split("== Initial Plan ==")[0]
+    assert final.count("keys=[term") == 2  # one aggregation, partial and final
+    assert "rightHint" not in p and "leftHint" not in p
+
+
+def test_wide_scan_shuffles_no_lines(spark):
+    from newsflow.plans.legacy import wide_scan_skip_bad
+    from newsflow.schemas import LEGACY_PRODUCER_COLUMNS
+    from newsflow.sources.tables import landed_lines
+    lines = landed_lines(spark, SF, ragged=True)
+    p = plan(wide_scan_skip_bad(lines, LEGACY_PRODUCER_COLUMNS, "batch_url", "line_no"))
+    assert "Exchange" not in p and "Join" not in p
+
+
+def test_dedup_takes_map_columns_and_settles_ties(spark):
+    rows = [("u", 1, {"a": i}, str(i)) for i in range(20)]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "url string, t long, m map<string,int>, s string")
+        got = first_per_key(df, ["url"], ["t"]).collect()
+        assert len(got) == 1
+        rows_kept = {r.s for r in got} if order is rows else rows_kept | {r.s for r in got}
+    assert len(rows_kept) == 1
+
+
+def test_batch_writes_follow_the_bytes(spark, scratch):
+    """Many tasks, few rows: one file per label and batch."""
+    from newsflow.sinks.parquet import write_batch, write_batches
+    df = spark.range(0, 3000, 1, 16).select(
+        F.col("id").cast("string").alias("record_id"), (F.col("id") % 2).cast("int").alias("batch_id"),
+        F.when(F.col("id") % 10 < 2, "positive").otherwise("neutral").alias("sentiment_label"))
+    one, many = os.path.join(scratch, "one"), os.path.join(scratch, "many")
+    write_batch(df, one, 0, "r")
+    write_batches(df, many, "r")
+    count = lambda top: sum(f.endswith(".parquet") for _, _, names in os.walk(top) for f in names)
+    assert count(one) == 2 and count(many) == 4
 
 
 def test_tsv_scan_prunes_columns(spark, scratch):

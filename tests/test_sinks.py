@@ -63,7 +63,7 @@ def test_compact_keeps_rows_and_reduces_files(spark, scratch):
     write_batch(out_df(spark, 5, ["negative"]), path, 5, "other")
     before = read_output(spark, path).count()
     from newsflow.sinks.parquet import compact
-    compact(spark, path, "rC", files_per_partition=1)
+    compact(spark, path, "rC")
     assert read_output(spark, path).count() == before
     d = os.path.join(path, "run=rC", "batch_id=2", "sentiment_label=neutral")
     assert len([f for f in os.listdir(d) if f.endswith(".parquet")]) == 1

@@ -58,6 +58,7 @@ def test_ragged_fields_and_producer_rules(spark):
 def test_wide_scan_first_line_sets_width(spark):
     lines = spark.createDataFrame([("z", 0, gkg_line(27, "a")), ("z", 1, gkg_line(30, "b")),
                                    ("z", 2, gkg_line(16, "c")), ("z", 3, "")], "arch string, n int, value string")
+    lines = lines.withColumn("first_width", F.lit(27))  # as the archive reader gives it
     out = {r.event_date: r for r in wide_scan_skip_bad(lines, LEGACY_PRODUCER_COLUMNS, "arch", "n").collect()}
     assert set(out) == {"a", "c"}  # wider than the first line: dropped; blank: skipped
     assert out["c"].persons == "" and out["a"].tone_raw == ""  # narrower: padded; 25 past 27? no: '' value
