@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StructField, StructType
 
-from newsflow.llm.store import stored, worker_cache
+from newsflow.llm.store import stored
 from newsflow.llm.word_ids import slices, strings
 
 BITS = 20
@@ -37,6 +37,8 @@ SHARDS = 8
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 2.0, 0.1
 FOLDS = 5
+#: Texts whose features are in memory at once (about 30 times as many bytes).
+SLICE_BYTES = 1 << 21
 
 
 def held_out(id_col: str) -> Column:
@@ -45,12 +47,10 @@ def held_out(id_col: str) -> Column:
 
 
 class Features:
-    """Hashed features of texts; ``cap`` bounds the memo of word hashes."""
+    """Hashed features of texts."""
 
-    def __init__(self, cap: int = 400_000):
-        self.memo, self.cap = {}, cap
-
-    def _hashes(self, word: str):
+    @staticmethod
+    def _hashes(word: str):
         from zlib import crc32
         raw = word.encode("utf-8")
         size = len(word)
@@ -66,15 +66,7 @@ class Features:
         import pyarrow.compute as pc
         lists = pc.split_pattern(pc.replace_substring_regex(pc.utf8_lower(texts), r"[^\pL\pN]+", " "), " ")
         coded = lists.flatten().dictionary_encode()
-        if len(self.memo) > self.cap:
-            self.memo.clear()
-        memo, rows = self.memo, []
-        for w in coded.dictionary.to_pylist():
-            h = memo.get(w)
-            if h is None:
-                h = memo[w] = self._hashes(w)
-            rows.append(h)
-        hashes = np.array(rows, dtype=np.uint64).reshape(-1, 4)
+        hashes = np.array([self._hashes(w) for w in coded.dictionary.to_pylist()], dtype=np.uint64).reshape(-1, 4)
         offsets = lists.offsets.to_numpy().astype(np.int64)
         text = np.repeat(np.arange(len(texts)), np.diff(offsets))
         codes = coded.indices.to_numpy()
@@ -145,10 +137,10 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
         table = table.take(pa.array(order))
         texts, made = table.column("text").combine_chunks(), []
         feats = Features()
-        for a, b in slices(texts):
+        for a, b in slices(texts, SLICE_BYTES):
             which, at = feats.pairs(texts.slice(a, b - a))
             bounds = np.searchsorted(which, np.arange(b - a + 1))
-            made += [np.append(0, at[bounds[i]:bounds[i + 1]]) for i in range(b - a)]
+            made += [np.append(0, at[bounds[i]:bounds[i + 1]]).astype(np.int32) for i in range(b - a)]
         z, n = train(list(zip(made, table.column("label").to_pylist())))
         seen = np.flatnonzero(n)
         return pa.table({"at": pa.array(seen, pa.int32()), "z": pa.array(z[seen]), "n": pa.array(n[seen])})
@@ -192,9 +184,9 @@ def _sums(weights: dict[int, float]):
         full[at] = values
         wanted = full != 0
         wanted[0] = False
-        feats = worker_cache("toxicity features", Features)
+        feats = Features()
         texts, out = strings(column), np.full(len(column), full[0])
-        for a, b in slices(texts):
+        for a, b in slices(texts, SLICE_BYTES):
             which, coordinate = feats.pairs(texts.slice(a, b - a), wanted)
             out[a:b] += np.bincount(which, weights=full[coordinate], minlength=b - a)
         return pa.array(out)
