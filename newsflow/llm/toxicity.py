@@ -5,7 +5,7 @@ into ``2 ** BITS`` coordinates: words, word beginnings of 4 to 6 characters (ste
 that inflected forms share), word pairs, and pairs with one word between them.
 
 Learning: a bounded sample of labelled rows (at most ``SAMPLE`` rows, those with the
-smallest hashes of their ids), dealt by hash to ``SHARDS`` shards. Each shard runs
+smallest hashes of their ids), dealt by hash to shards of about ``SHARD_ROWS``. Each shard runs
 FTRL-proximal (a learning rate per coordinate, L1 for sparsity) over its rows in
 hash order; the shards' states are averaged per coordinate in Spark. L1 leaves few
 weights: only those come to the driver (at most ``2 ** BITS``, whatever the input)
@@ -33,7 +33,7 @@ from newsflow.llm.word_ids import slices, strings
 
 BITS = 20
 SAMPLE = 20_000
-SHARDS = 8
+SHARD_ROWS = 2_500
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 2.0, 0.1
 FOLDS = 5
@@ -123,10 +123,12 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
              .filter(F.col("id").isNotNull() & F.col("label").isNotNull()))
     known = known.filter(~held_out("id")).groupBy("id").agg(F.max("label").alias("label"))
     # At most ``sample`` rows of two numbers: a proven bound for the broadcast.
-    chosen = F.broadcast(known.orderBy(F.xxhash64("id"), "id").limit(sample))
+    chosen = stored(known.orderBy(F.xxhash64("id"), "id").limit(sample), "toxicity_labels")
+    shards = max(1, -(-chosen.count() // SHARD_ROWS))
+    chosen = F.broadcast(chosen)
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = stored(texts.join(chosen, "id").groupBy("id", "label").agg(F.min("text").alias("text")).select(
-        F.pmod(F.xxhash64("id", F.lit(1)), F.lit(SHARDS)).cast("int").alias("shard"), "id", "label", "text"),
+        F.pmod(F.xxhash64("id", F.lit(1)), F.lit(shards)).cast("int").alias("shard"), "id", "label", "text"),
         "toxicity_sample")
 
     def learn(table):
@@ -146,7 +148,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
         return pa.table({"at": pa.array(seen, pa.int32()), "z": pa.array(z[seen]), "n": pa.array(n[seen])})
 
     states = rows.groupBy("shard").applyInArrow(learn, "at int, z double, n double")
-    merged = states.groupBy("at").agg((F.sum("z") / SHARDS).alias("z"), (F.sum("n") / SHARDS).alias("n"))
+    merged = states.groupBy("at").agg((F.sum("z") / shards).alias("z"), (F.sum("n") / shards).alias("n"))
     rate = (F.lit(BETA) + F.sqrt("n")) / ALPHA
     weight = F.when(F.col("at") == 0, -F.col("z") / rate).when(
         F.abs("z") > L1, -(F.col("z") - F.signum("z") * L1) / (rate + L2)).otherwise(F.lit(0.0))
