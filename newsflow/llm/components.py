@@ -19,13 +19,15 @@ def components(edges: DataFrame, name: str, most: int = 60) -> DataFrame:
     mark = None
     for _ in range(most):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+        # Written first: the join of two exchanges can be split at a node with very many edges.
+        least = stored(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), name)
         # Large star: every larger neighbour moves to the node's smallest neighbour.
         e = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter(
             "u <> v").distinct()
         # Small star: the node and its smaller neighbours move to the smallest of them.
         down = e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        low = down.groupBy("u").agg(F.min("v").alias("m"))
+        down = stored(down, name)
+        low = stored(down.groupBy("u").agg(F.min("v").alias("m")), name)
         e = stored(down.join(low, "u").select(F.explode(F.array(
             F.struct(F.col("u").alias("u"), F.col("m").alias("v")),
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*")

@@ -155,7 +155,8 @@ def candidate_links(classes: DataFrame, runs: int, depth: int = DEPTH, small: in
     found = []
     for d in range(1, depth + 1):
         at = f"p{d}"
-        shared = paths.groupBy(at).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        # Written first, so that the join can be split at a path that very many sets share.
+        shared = stored(paths.groupBy(at).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), f"shared_{d}")
         paths = stored(paths.join(shared, at).drop(*[f"p{k}" for k in range(1, d)]), f"paths_{d}")
         found.append(paths.filter(F.col("n") <= small).select(F.col(at).alias("leaf"), "cls"))
         paths = paths.filter(F.col("n") > small).drop("n")
@@ -193,7 +194,7 @@ def candidate_links(classes: DataFrame, runs: int, depth: int = DEPTH, small: in
 
     compared = buckets.select("members").mapInArrow(compare, "a binary, b binary")
     deep = paths.select(F.col(f"p{depth}").alias("leaf"), "cls")
-    star = deep.join(deep.groupBy("leaf").agg(F.min("cls").alias("a")), "leaf").select("a", F.col("cls").alias("b"))
+    star = deep.join(stored(deep.groupBy("leaf").agg(F.min("cls").alias("a")), "deep"), "leaf").select("a", F.col("cls").alias("b"))
     return compared.unionByName(star).filter("a <> b").distinct()
 
 

@@ -30,7 +30,8 @@ from newsflow.llm.word_ids import CLOSED, slices, strings
 UNITS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Below this code point the pattern library and the tokenizer agree on letters, numbers and white space.
 AGREED = "\u0530"
-OTHER_SPACE = "\t\x0b\x0c\r\x85\xa0  -     　"
+#: The white space other than blank and line end, as a character class.
+OTHER_SPACE = "\t\x0b\x0c\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def merges(symbols: list, ranks: dict) -> int:
