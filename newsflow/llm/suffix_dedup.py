@@ -57,23 +57,15 @@ def gram_hashes(data):
 
 
 def winnowed(data):
-    """``(hash at every byte, position of the kept string of the run that starts there)`` of one text."""
+    """For every run of ``LENGTH`` bytes of one text, by its start: the least hash of a ``GRAM``-byte string in it."""
     import numpy as np
     runs = LENGTH - GRAM + 1
-    h = gram_hashes(data)
+    least, span = gram_hashes(data), 1
     n = len(data) - LENGTH + 1
-    least, span = h.copy(), 1
     while span * 2 <= runs:
-        least[:-span] = np.minimum(least[:-span], least[span:])
+        least = np.minimum(least[:-span], least[span:])
         span *= 2
-    kept = np.minimum(least[:n], least[runs - span:runs - span + n])
-    # The first position of that hash at or after the run's start.
-    at = np.arange(len(data))
-    place = np.full(n, -1)
-    for k in range(runs):
-        hit = (place < 0) & (h[k:k + n] == kept)
-        place[hit] = at[:n][hit] + k
-    return h, place
+    return np.minimum(least[:n], least[runs - span:runs - span + n])
 
 
 def _bytes(texts):
@@ -100,8 +92,8 @@ def pieces(keyed: DataFrame) -> DataFrame:
                 hashes, owner = [], []
                 for i, data in enumerate(_bytes(texts.slice(a, b - a))):
                     if len(data) >= LENGTH:
-                        h, place = winnowed(data)
-                        own = np.unique(h[np.unique(place)])
+                        kept = winnowed(data)
+                        own = np.unique(kept[np.append(True, kept[1:] != kept[:-1])])
                         hashes.append(own.view(np.int64))
                         owner.append(np.full(len(own), a + i))
                 if hashes:
@@ -122,8 +114,7 @@ def pieces(keyed: DataFrame) -> DataFrame:
             texts, grams = strings(batch.column(2)), batch.column(3)
             out = [], [], [], []
             for i, data in enumerate(_bytes(texts)):
-                h, place = winnowed(data)
-                start = np.isin(h[place], np.array(grams[i].as_py(), dtype=np.int64).view(np.uint64))
+                start = np.isin(winnowed(data), grams[i].values.to_numpy().view(np.uint64))
                 edge = np.flatnonzero(np.diff(np.concatenate(([0], start.view(np.int8), [0]))))
                 for first, stop in edge.reshape(-1, 2).tolist():
                     for at in range(first, stop, PIECE):

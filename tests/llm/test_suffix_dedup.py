@@ -70,9 +70,9 @@ def test_every_run_keeps_a_string_it_shares():
         data = np.concatenate([rng.integers(97, 101, rng.integers(0, 90), dtype=np.uint8), run_,
                                rng.integers(97, 101, 30, dtype=np.uint8)])
         at = data.tobytes().find(run_.tobytes())
-        h, place = op.winnowed(data)
-        assert all(p <= q <= p + LENGTH - op.GRAM for p, q in enumerate(place.tolist()))
-        kept.append([int(h[place[at + k]]) for k in range(len(run_) - LENGTH + 1)])
+        h, least = op.gram_hashes(data), op.winnowed(data)
+        assert least.tolist() == [min(h[p:p + LENGTH - op.GRAM + 1].tolist()) for p in range(len(least))]
+        kept.append(least[at:at + len(run_) - LENGTH + 1].tolist())
     assert all(k == kept[0] for k in kept)
 
 
