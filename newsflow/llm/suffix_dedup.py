@@ -7,7 +7,9 @@ smaller id is removed; strings are judged on the input, and never cross document
    documents. Winnowing keeps of every run of ``LENGTH`` bytes one ``GRAM``-byte string (the
    least hash), the same one wherever the run occurs; where that string is in one
    document only, no such suffix repeats. This is exact for what it keeps: hash
-   collisions only keep more. The rest is cut into pieces of bounded length.
+   collisions only keep more. The rest is cut into pieces of bounded length, at places
+   set by content, and equal pieces are sorted once, under their smallest document
+   (in larger documents every suffix of the piece is covered).
 2. *Sort sampled triples*: positions 1 and 2 modulo 3 (a difference cover of 3) get
    triples of 6-byte words; the distinct triples are range-sorted over the
    cluster and named by their place, so names keep the order.
@@ -38,6 +40,7 @@ from newsflow.llm.word_ids import slices, strings
 LENGTH = 50
 GRAM = 16
 PIECE = 1 << 14
+CUT_BITS = 3
 WORD = 6
 LAST = (1 << 63) - 1
 RUN = "ord long, row long, pos int"
@@ -114,13 +117,18 @@ def pieces(keyed: DataFrame) -> DataFrame:
             texts, grams = strings(batch.column(2)), batch.column(3)
             out = [], [], [], []
             for i, data in enumerate(_bytes(texts)):
-                start = np.isin(winnowed(data), grams[i].values.to_numpy().view(np.uint64))
+                kept = winnowed(data)
+                start = np.isin(kept, grams[i].values.to_numpy().view(np.uint64))
+                # A run's kept string changes and the new one's hash ends in zeros: a cut set by content.
+                cut = np.append(False, kept[1:] != kept[:-1]) & (kept & np.uint64((1 << CUT_BITS) - 1) == 0)
                 edge = np.flatnonzero(np.diff(np.concatenate(([0], start.view(np.int8), [0]))))
                 for first, stop in edge.reshape(-1, 2).tolist():
-                    for at in range(first, stop, PIECE):
-                        end = min(at + PIECE, stop) + LENGTH - 1
-                        for column, value in zip(out, (i, at, data[at:end].tobytes())):
-                            column.append(value)
+                    inner = (first + np.flatnonzero(cut[first:stop])).tolist()
+                    for low, high in zip([first, *inner], [*inner, stop]):
+                        for at in range(low, high, PIECE):
+                            end = min(at + PIECE, high) + LENGTH - 1
+                            for column, value in zip(out, (i, at, data[at:end].tobytes())):
+                                column.append(value)
             which = pa.array(out[0], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(which), batch.column(1).take(which), pa.array(out[1], pa.int32()),
@@ -155,7 +163,7 @@ def _sampled(n: int):
 
 
 def covered(parts: DataFrame) -> DataFrame:
-    """``(ord, row, pos)``: starts of the ``LENGTH``-byte strings that start in a smaller document too."""
+    """``(ord, row, pos, start)``: places in the pieces whose ``LENGTH``-byte string starts in a smaller document too."""
     def first(batches):
         import numpy as np
         import pyarrow as pa
@@ -210,21 +218,35 @@ def covered(parts: DataFrame) -> DataFrame:
                         ends = ends * 256 + raw[q + k]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(q), r[c])) for c in ("ord", "row")]
-                        + [pa.array((q + r["pos"]).astype(np.int32)), pa.array(ends), pa.array(names[q + offset])],
-                        names=["ord", "row", "pos", "ends", "name"])
+                        + [pa.array(np.full(len(q), r["pos"], np.int32)), pa.array(q.astype(np.int32)), pa.array(ends),
+                           pa.array(names[q + offset])],
+                        names=["ord", "row", "pos", "start", "ends", "name"])
 
     whole = parts.join(gathered(level), ["ord", "row", "pos"])
-    entries = stored(whole.mapInArrow(merge, key + ", ends long, name long"), "suffix_entries")
-    smallest = entries.groupBy("ends", "name").agg(F.min("ord").alias("low"), F.max("ord").alias("high")).filter(
-        "low < high").drop("high")
-    return entries.join(smallest, ["ends", "name"]).filter("low < ord").select("ord", "row", "pos")
+    entries = stored(whole.mapInArrow(merge, key + ", start int, ends long, name long"), "suffix_entries")
+    smallest = stored(entries.groupBy("ends", "name").agg(F.min("ord").alias("low"), F.max("ord").alias("high")).filter(
+        "low < high").drop("high"), "suffix_smallest")
+    return entries.join(smallest, ["ends", "name"]).filter("low < ord").select("ord", "row", "pos", "start")
 
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, n_bytes, n_removed, n_spans, kept)`` for every row: ``kept`` is the remaining bytes (binary)."""
     keyed = _keyed(docs, id_col, text_col)
-    starts = covered(stored(pieces(keyed), "suffix_pieces"))
-    per_text = starts.groupBy("ord", "row").agg(F.sort_array(F.collect_set("pos")).alias("starts"))
+    parts = stored(pieces(keyed).withColumn("key", F.sha2("data", 256)), "suffix_pieces")
+    # Equal pieces once. The pair (row, pos) of hashes names a piece in the sort.
+    once = stored(parts.groupBy("key", "data").agg(F.min("ord").alias("ord")).select(
+        "key", "ord", F.xxhash64("key").alias("row"), F.hash("key").alias("pos"), "data"), "suffix_once")
+    found = covered(once.select("ord", "row", "pos", "data")).groupBy("row", "pos").agg(
+        F.collect_set("start").alias("found"))
+    known = stored(once.select("key", F.col("ord").alias("low"), "row", "pos").join(found, ["row", "pos"], "left")
+                   .select("key", "low", "found"), "suffix_known")
+    # A piece of a larger document is covered whole (``n`` bytes), else at the places found (``n`` = 0).
+    larger = F.col("ord") > F.col("low")
+    gone = parts.select("ord", "row", "pos", "key", F.length("data").alias("size")).join(known, "key").filter(
+        larger | F.col("found").isNotNull()).select("ord", "row", F.struct(
+            "pos", F.when(larger, F.col("size")).otherwise(0).alias("n"),
+            F.when(larger, F.array().cast("array<int>")).otherwise(F.col("found")).alias("found")).alias("gone"))
+    per_text = gone.groupBy("ord", "row").agg(F.collect_set("gone").alias("gone"))
     kind = keyed.schema["id"].dataType.simpleString()
 
     def remove(batches):
@@ -234,10 +256,14 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             found, out = batch.column(2), ([], [], [], [])
             for i, data in enumerate(_bytes(strings(batch.column(1)))):
                 gone = np.zeros(len(data) + 1, dtype=np.int32)
-                if found[i].is_valid:
-                    at = found[i].values.to_numpy()
-                    np.add.at(gone, at, 1)
-                    np.add.at(gone, at + LENGTH, -1)
+                for part in found[i].as_py() or ():
+                    if part["n"]:
+                        gone[part["pos"]] += 1
+                        gone[part["pos"] + part["n"]] -= 1
+                    else:
+                        at = np.array(part["found"], dtype=np.int64) + part["pos"]
+                        np.add.at(gone, at, 1)
+                        np.add.at(gone, at + LENGTH, -1)
                 gone = np.cumsum(gone)[:len(data)] > 0
                 spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
                 for column, value in zip(out, (len(data), int(gone.sum()), spans, data[~gone].tobytes())):
@@ -246,5 +272,5 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 [batch.column(0), *[pa.array(c, pa.int64()) for c in out[:3]], pa.array(out[3], pa.binary())],
                 names=["id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    joined = keyed.join(per_text, ["ord", "row"], "left").select("id", "text", "starts")
+    joined = keyed.join(per_text, ["ord", "row"], "left").select("id", "text", "gone")
     return joined.mapInArrow(remove, f"id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
