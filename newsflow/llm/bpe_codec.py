@@ -31,7 +31,10 @@ from newsflow.llm.word_ids import WordIds, slices, strings
 
 WINDOW = 32
 CUT_BITS = 9
-CACHE_BYTES = 48 << 20
+CACHE_BYTES = 24 << 20
+#: Texts that are encoded at once, and words whose ids are remembered.
+SLICE_BYTES = 4 << 20
+WORDS = 400_000
 
 
 def rolling(data):
@@ -96,7 +99,7 @@ class Codec:
     """Encodes texts chunk by chunk and decodes ids."""
 
     def __init__(self, path: str):
-        self.words = WordIds(path)
+        self.words = WordIds(path, WORDS)
         self.library = self.words.library
         self.cache, self.held = {}, 0
 
@@ -227,7 +230,7 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
         codec = worker_cache(("codec", path), lambda: Codec(path))
         for batch in batches:
             texts = strings(batch.column(1))
-            for a, b in slices(texts):
+            for a, b in slices(texts, SLICE_BYTES):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array(codec.encode(texts.slice(a, b - a)), pa.binary())],
                     names=schema.names)
@@ -248,7 +251,7 @@ def code_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
         codec = worker_cache(("codec", path), lambda: Codec(path))
         for batch in batches:
             texts = strings(batch.column(1))
-            for a, b in slices(texts):
+            for a, b in slices(texts, SLICE_BYTES):
                 ids = codec.encode(texts.slice(a, b - a))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array([len(x) // 4 for x in ids], pa.int64()),
