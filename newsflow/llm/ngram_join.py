@@ -55,7 +55,7 @@ def runs_for(recall: float = RECALL, threshold: float = THRESHOLD, depth: int =
 class Shingles:
     """Sets of hashed word runs; ``cap`` bounds the memo of word hashes."""
 
-    def __init__(self, words: int = WORDS, cap: int = 400_000):
+    def __init__(self, words: int = WORDS, cap: int = 150_000):
         self.words, self.memo, self.cap = words, {}, cap
 
     def sets(self, texts):

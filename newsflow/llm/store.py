@@ -20,10 +20,15 @@ def width(spark: SparkSession) -> int:
 
 
 def worker_cache(key, make):
-    """A value built once per Python worker process and reused by its later tasks."""
+    """A value built once per Python worker process and reused by its later tasks.
+
+    One value at a time: another operator's memo would only take memory from this one.
+    """
     import sys
     import types
     cache = sys.modules.setdefault("newsflow_worker_cache", types.ModuleType("newsflow_worker_cache")).__dict__
-    if key not in cache:
-        cache[key] = make()
-    return cache[key]
+    values = cache.setdefault("values", {})
+    if key not in values:
+        values.clear()
+        values[key] = make()
+    return values[key]

@@ -21,7 +21,7 @@ SLICE_BYTES = 8 << 20
 class WordIds:
     """Encoder over one tokenizer file; ``cap`` bounds the memo."""
 
-    def __init__(self, path: str, cap: int = 800_000):
+    def __init__(self, path: str, cap: int = 500_000):
         import os
 
         import numpy as np
