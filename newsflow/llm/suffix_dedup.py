@@ -1,4 +1,4 @@
-"""Suffix-array dedup: a distributed difference-cover sort of the suffixes that can repeat.
+"""Suffix-array dedup: a difference-cover sort of the suffixes that can repeat, dealt out by content.
 
 Every byte covered by a ``LENGTH``-byte string that also starts in a document with a
 smaller id is removed; strings are judged on the input, and never cross documents.
@@ -10,18 +10,18 @@ smaller id is removed; strings are judged on the input, and never cross document
    collisions only keep more. The rest is cut into pieces of bounded length, at places
    set by content, and equal pieces are sorted once, under their smallest document
    (in larger documents every suffix of the piece is covered).
-2. *Sort sampled triples*: positions 1 and 2 modulo 3 (a difference cover of 3) get
-   triples of 6-byte words; the distinct triples are range-sorted over the
-   cluster and named by their place, so names keep the order.
-3. *Recurse on names*: the names at +0, +18 and +30 are the next triples; sorted
+2. *Deal out*: equal prefixes have the same kept string, so suffixes are dealt to parts
+   by it, each with the bytes that its prefix needs.
+3. *Sort sampled triples*: in a part, positions 1 and 2 modulo 3 (a difference cover of
+   3) get triples of 6-byte words, which are sorted and named by their order.
+4. *Recurse on names*: the names at +0, +18 and +30 are the next triples; sorted
    and named again, a name stands for 48 bytes. No further level can change an
    answer about ``LENGTH`` = 50 bytes.
-4. *Merge the remaining suffixes*: any two positions share an offset 0, 1 or 2 at which both
+5. *Merge the remaining suffixes*: any two positions share an offset 0, 1 or 2 at which both
    are sampled. Under that offset a suffix is (bytes before, name, bytes after up to
    ``LENGTH``); every suffix takes part under both offsets of its residue.
-5. *Compare adjacent prefixes*: equal entries are neighbours in that order; the
-   smallest document id of an entry is a partial aggregate (an entry that a third of
-   all documents share sends one row per task). Suffixes of larger ids are covered.
+6. *Compare adjacent prefixes*: in that order equal prefixes are neighbours; those whose
+   document is larger than the smallest among their equals are covered.
 
 Defined results: NULL text counts as empty; a NULL id is larger than every other
 (it removes nothing); rows that repeat id and text get the same result and remove
@@ -34,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsflow.llm.store import stored
+from newsflow.llm.store import stored, width
 from newsflow.llm.word_ids import slices, strings
 
 LENGTH = 50
@@ -44,6 +44,8 @@ CUT_BITS = 3
 WORD = 6
 LAST = (1 << 63) - 1
 RUN = "ord long, row long, pos int"
+#: Repeated kept strings go to the tasks as one array up to this many bytes, else by a join.
+MOST_SHARED = 64 << 20
 
 
 def gram_hashes(data):
@@ -84,162 +86,253 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.xxhash64(F.col(id_col), text).alias("row"), text.alias("text"))
 
 
-def pieces(keyed: DataFrame) -> DataFrame:
-    """``(ord, row, pos, data)``: overlapping pieces that hold every run of bytes that two documents may share."""
+def shared_grams(keyed: DataFrame) -> DataFrame:
+    """``(part, grams)``: the kept strings' hashes (sorted, packed) that occur in two texts or more, a written table."""
+    parts = 4 * width(keyed.sparkSession)
+
     def fingerprints(batches):
         import numpy as np
         import pyarrow as pa
         for batch in batches:
-            texts = strings(batch.column(2))
+            texts = strings(batch.column(0))
             for a, b in slices(texts):
-                hashes, owner = [], []
-                for i, data in enumerate(_bytes(texts.slice(a, b - a))):
-                    if len(data) >= LENGTH:
-                        kept = winnowed(data)
-                        own = np.unique(kept[np.append(True, kept[1:] != kept[:-1])])
-                        hashes.append(own.view(np.int64))
-                        owner.append(np.full(len(own), a + i))
-                if hashes:
-                    which = pa.array(np.concatenate(owner))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(hashes)), batch.column(0).take(which), batch.column(1).take(which)],
-                        names=["gram", "ord", "row"])
+                own = [_kept_once(data) for data in _bytes(texts.slice(a, b - a)) if len(data) >= LENGTH]
+                if not own:
+                    continue
+                grams, count = np.unique(np.concatenate(own), return_counts=True)
+                part = ((grams >> np.uint64(32)) % np.uint64(parts)).astype(np.int32)
+                order = np.argsort(part, kind="stable")
+                grams, count, part = grams[order], count[order], part[order]
+                which, start = np.unique(part, return_index=True)
+                stop = np.append(start[1:], len(part))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(which), pa.array([grams[i:j][count[i:j] == 1].tobytes() for i, j in zip(start, stop)]),
+                     pa.array([grams[i:j][count[i:j] > 1].tobytes() for i, j in zip(start, stop)])],
+                    names=["part", "once", "more"])
+
+    def repeated(table):
+        import numpy as np
+        import pyarrow as pa
+        once = np.frombuffer(b"".join(table.column("once").to_pylist()), np.uint64)
+        more = np.frombuffer(b"".join(table.column("more").to_pylist()), np.uint64)
+        grams, count = np.unique(np.concatenate((once, more, more)), return_counts=True)
+        return pa.table({"part": pa.array([table.column("part")[0].as_py()], pa.int32()),
+                         "grams": pa.array([grams[count > 1].tobytes()], pa.binary())})
+
+    found = keyed.select("text").mapInArrow(fingerprints, "part int, once binary, more binary")
+    return stored(found.groupBy("part").applyInArrow(repeated, "part int, grams binary"), "suffix_grams")
+
+
+def _kept_once(data):
+    import numpy as np
+    kept = winnowed(data)
+    return np.unique(kept[np.append(True, kept[1:] != kept[:-1])])
 
-    grams = keyed.select("ord", "row", "text").mapInArrow(fingerprints, "gram long, ord long, row long")
-    shared = grams.groupBy("gram").agg(F.min("ord").alias("low"), F.max("ord").alias("high")).filter(
-        "low < high").select("gram")
-    per_text = grams.join(shared, "gram").groupBy("ord", "row").agg(F.collect_set("gram").alias("grams"))
+
+def _among(kept, grams):
+    """Which of ``kept`` are in the sorted array ``grams`` (looked up once per run of equal values)."""
+    import numpy as np
+    first = np.append(True, kept[1:] != kept[:-1])
+    values = kept[first]
+    at = np.searchsorted(grams, values)
+    return (grams[np.minimum(at, len(grams) - 1)] == values)[np.cumsum(first) - 1] if len(grams) else np.zeros(
+        len(kept), bool)
+
+
+def _cut(data, grams):
+    """``(position, bytes)`` of the pieces of one text whose kept strings are among ``grams``."""
+    import numpy as np
+    kept = winnowed(data)
+    start = _among(kept, grams)
+    # A run's kept string changes and the new one's hash ends in zeros: a cut set by content.
+    cut = np.append(False, kept[1:] != kept[:-1]) & (kept & np.uint64((1 << CUT_BITS) - 1) == 0)
+    edge = np.flatnonzero(np.diff(np.concatenate(([0], start.view(np.int8), [0]))))
+    for first, stop in edge.reshape(-1, 2).tolist():
+        inner = (first + np.flatnonzero(cut[first:stop])).tolist()
+        for low, high in zip([first, *inner], [*inner, stop]):
+            for at in range(low, high, PIECE):
+                yield at, data[at:min(at + PIECE, high) + LENGTH - 1].tobytes()
+
+
+def pieces(keyed: DataFrame) -> DataFrame:
+    """``(ord, row, pos, data)``: overlapping pieces that hold every run of bytes that two documents may share."""
+    shared = shared_grams(keyed)
+    texts = keyed.select("ord", "row", "text")
+    held = None
+    if (shared.agg(F.sum(F.length("grams"))).first()[0] or 0) <= MOST_SHARED:
+        import numpy as np
+        packed = b"".join(bytes(r["grams"]) for r in shared.select("grams").collect())
+        held = keyed.sparkSession.sparkContext.broadcast(np.sort(np.frombuffer(packed, np.uint64)))
+        texts = texts.withColumn("grams", F.lit(None).cast("array<bigint>"))
+    else:
+        texts = texts.dropDuplicates(["ord", "row"]).join(_grams_by_join(keyed, shared), ["ord", "row"])
 
     def cut(batches):
         import numpy as np
         import pyarrow as pa
         for batch in batches:
             texts, grams = strings(batch.column(2)), batch.column(3)
-            out = [], [], [], []
+            out = [], [], []
             for i, data in enumerate(_bytes(texts)):
-                kept = winnowed(data)
-                start = np.isin(kept, grams[i].values.to_numpy().view(np.uint64))
-                # A run's kept string changes and the new one's hash ends in zeros: a cut set by content.
-                cut = np.append(False, kept[1:] != kept[:-1]) & (kept & np.uint64((1 << CUT_BITS) - 1) == 0)
-                edge = np.flatnonzero(np.diff(np.concatenate(([0], start.view(np.int8), [0]))))
-                for first, stop in edge.reshape(-1, 2).tolist():
-                    inner = (first + np.flatnonzero(cut[first:stop])).tolist()
-                    for low, high in zip([first, *inner], [*inner, stop]):
-                        for at in range(low, high, PIECE):
-                            end = min(at + PIECE, high) + LENGTH - 1
-                            for column, value in zip(out, (i, at, data[at:end].tobytes())):
-                                column.append(value)
+                if len(data) >= LENGTH:
+                    known = held.value if held is not None else np.sort(grams[i].values.to_numpy().view(np.uint64))
+                    for at, piece in _cut(data, known):
+                        for column, value in zip(out, (i, at, piece)):
+                            column.append(value)
             which = pa.array(out[0], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(which), batch.column(1).take(which), pa.array(out[1], pa.int32()),
                  pa.array(out[2], pa.binary())], names=["ord", "row", "pos", "data"])
 
-    texts = keyed.select("ord", "row", "text").dropDuplicates(["ord", "row"])
-    return texts.join(per_text, ["ord", "row"]).select("ord", "row", "text", "grams").mapInArrow(
-        cut, RUN + ", data binary")
+    return texts.select("ord", "row", "text", "grams").mapInArrow(cut, RUN + ", data binary")
 
 
-def words_of(raw: bytes):
-    """At every byte the next ``WORD`` bytes as an integer that keeps their order (0 past the end)."""
-    import numpy as np
-    data = np.concatenate((np.frombuffer(raw, np.uint8).astype(np.int64) + 1, np.zeros(LENGTH + WORD, np.int64)))
-    out = np.zeros(len(data) - WORD, dtype=np.int64)
-    for k in range(WORD):
-        out = out * 257 + data[k:k + len(out)]
-    return out
+def _grams_by_join(keyed: DataFrame, shared: DataFrame) -> DataFrame:
+    """``(ord, row, grams)``: each text's repeated kept strings, where they are too many for one array."""
+    def unpack(batches):
+        import numpy as np
+        import pyarrow as pa
+        for batch in batches:
+            for grams in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(grams, np.int64))], names=["gram"])
 
+    def each(batches):
+        import numpy as np
+        import pyarrow as pa
+        for batch in batches:
+            for i, data in enumerate(_bytes(strings(batch.column(2)))):
+                if len(data) >= LENGTH:
+                    own = _kept_once(data).view(np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(own), *[pa.array(np.full(len(own), batch.column(k)[i].as_py())) for k in (0, 1)]],
+                        names=["gram", "ord", "row"])
 
-def named(triples: DataFrame, name: str) -> DataFrame:
-    """``triples`` with ``name``: the place of ``(a, b, c)`` in their range-sorted order (names keep the order)."""
-    places = stored(triples.select("a", "b", "c").distinct().orderBy("a", "b", "c")
-                    .withColumn("name", F.monotonically_increasing_id()), name)
-    return triples.join(places, ["a", "b", "c"]).select("ord", "row", "pos", "at", "name")
+    grams = shared.select("grams").mapInArrow(unpack, "gram long")
+    owned = keyed.select("ord", "row", "text").mapInArrow(each, "gram long, ord long, row long")
+    return owned.join(grams, "gram").groupBy("ord", "row").agg(F.collect_set("gram").alias("grams"))
 
 
-def _sampled(n: int):
+def names_of(a, b, c):
+    """The places of the triples ``(a, b, c)`` in their sorted order; equal triples share one."""
     import numpy as np
-    at = np.arange(n)
-    return at[at % 3 != 0]
+    order = np.lexsort((c, b, a))
+    new = np.ones(len(order), dtype=bool)
+    for x in (a, b, c):
+        if x is a:
+            new[1:] = a[order][1:] != a[order][:-1]
+        else:
+            new[1:] |= x[order][1:] != x[order][:-1]
+    out = np.empty(len(order), dtype=np.int64)
+    out[order] = np.cumsum(new) - 1
+    return out
 
 
-def covered(parts: DataFrame) -> DataFrame:
-    """``(ord, row, pos, start)``: places in the pieces whose ``LENGTH``-byte string starts in a smaller document too."""
-    def first(batches):
-        import numpy as np
-        import pyarrow as pa
-        for batch in batches:
-            for r in batch.to_pylist():
-                w = words_of(r["data"])
-                at = _sampled(len(r["data"]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(at), r[c])) for c in ("ord", "row")]
-                    + [pa.array(np.full(len(at), r["pos"], np.int32)), pa.array(at.astype(np.int32))]
-                    + [pa.array(w[at + d]) for d in (0, WORD, 2 * WORD)],
-                    names=["ord", "row", "pos", "at", "a", "b", "c"])
+def covered_starts(runs: list, ords):
+    """Per run of bytes (of the document in ``ords``) which of its ``LENGTH``-byte strings start in a smaller
+    document's run too: a boolean array over the joined runs, and where each run starts in it."""
+    import numpy as np
+    size = np.array([len(r) for r in runs], dtype=np.int64)
+    gap = LENGTH + WORD
+    start = np.cumsum(size + gap) - size - gap
+    data = np.zeros(int(start[-1] + size[-1]) + 2 * gap, dtype=np.int64)
+    raw = np.frombuffer(b"".join(runs), np.uint8)
+    place = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(len(raw))
+    data[place] = raw.astype(np.int64) + 1
+    word = np.zeros(len(data) - WORD, dtype=np.int64)
+    for k in range(WORD):
+        word = word * 257 + data[k:k + len(word)]
+    inside = place - np.repeat(start, size)
+    at = place[inside % 3 != 0]
+    # Sort the sampled triples of words, then of their names.
+    names = np.full(len(data), -1, dtype=np.int64)
+    names[at] = names_of(word[at], word[at + WORD], word[at + 2 * WORD])
+    names[at] = names_of(names[at], names[at + 18], names[at + 30])
+    # Merge all suffixes under the offsets at which they reach a sampled one; equal ones are neighbours.
+    full = inside <= np.repeat(size, size) - LENGTH
+    at, residue = place[full], inside[full] % 3
+    own = np.repeat(ords, size)[full]
+    out = np.zeros(len(data), dtype=bool)
+    for offset in range(3):
+        take = (residue + offset) % 3 != 0
+        p, ids = at[take], own[take]
+        if not len(p):
+            continue
+        ends = np.zeros(len(p), dtype=np.int64)
+        for k in (*range(offset), *range(offset + 48, LENGTH)):
+            ends = ends * 257 + data[p + k]
+        order = np.lexsort((ids, names[p + offset], ends))
+        e, m, i = ends[order], names[p + offset][order], ids[order]
+        new = np.append(True, (e[1:] != e[:-1]) | (m[1:] != m[:-1]))
+        smallest = i[np.flatnonzero(new)][np.cumsum(new) - 1]
+        out[p[order[i > smallest]]] = True
+    return out, start
 
-    key = "ord long, row long, pos int"
-    triple = key + ", at int, a long, b long, c long"
-    level = named(parts.mapInArrow(first, triple), "suffix_names_18")
 
-    def gathered(level):
-        return level.groupBy("ord", "row", "pos").agg(F.sort_array(F.collect_list(F.struct("at", "name"))).alias("names"))
+def covered(parts: DataFrame) -> DataFrame:
+    """``(row, pos, found)``: places in the pieces whose ``LENGTH``-byte string starts in a smaller document's piece."""
+    deal = 4 * width(parts.sparkSession)
 
-    def again(batches):
+    def runs(batches):
+        """Suffixes of one kept string that follow each other, packed per part."""
         import numpy as np
         import pyarrow as pa
         for batch in batches:
-            for i in range(len(batch)):
-                names = batch.column(3)[i].values
-                at = names.field("at").to_numpy()
-                full = np.full(int(at[-1]) + 64, -1, dtype=np.int64)
-                full[at] = names.field("name").to_numpy()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(at), batch.column(k)[i].as_py())) for k in (0, 1)]
-                    + [pa.array(np.full(len(at), batch.column(2)[i].as_py(), np.int32)), pa.array(at)]
-                    + [pa.array(full[at + d]) for d in (0, 18, 30)],
-                    names=["ord", "row", "pos", "at", "a", "b", "c"])
-
-    level = named(gathered(level).mapInArrow(again, triple), "suffix_names_48")
+            rows = []
+            for i, data in enumerate(batch.column(3).to_pylist()):
+                kept = winnowed(np.frombuffer(data, np.uint8))
+                first = np.flatnonzero(np.append(True, kept[1:] != kept[:-1]))
+                part = ((kept[first] >> np.uint64(20)) % np.uint64(deal)).tolist()
+                for a, b, k in zip(first.tolist(), [*first[1:].tolist(), len(kept)], part):
+                    rows.append((k, i, a, data[a:b + LENGTH - 1]))
+            rows.sort(key=lambda r: r[0])
+            part = np.array([r[0] for r in rows], dtype=np.int32)
+            which, start = np.unique(part, return_index=True)
+            stop = np.append(start[1:], len(part)).tolist()
+            columns = [batch.column(k).to_numpy() for k in range(3)]
+            out = []
+            for low, high in zip(start.tolist(), stop):
+                piece = np.array([r[1] for r in rows[low:high]])
+                out.append([columns[0][piece].astype(np.int64).tobytes(), columns[1][piece].astype(np.int64).tobytes(),
+                            columns[2][piece].astype(np.int32).tobytes(),
+                            np.array([r[2] for r in rows[low:high]], np.int32).tobytes(),
+                            np.array([len(r[3]) for r in rows[low:high]], np.int32).tobytes(),
+                            b"".join(r[3] for r in rows[low:high])])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(which), *[pa.array([o[k] for o in out], pa.binary()) for k in range(6)]],
+                names=["part", "ord", "row", "pos", "at", "size", "data"])
 
-    def merge(batches):
+    def sort(table):
         import numpy as np
         import pyarrow as pa
-        for batch in batches:
-            for r in batch.to_pylist():
-                raw = np.frombuffer(r["data"], np.uint8).astype(np.int64)
-                at = np.array([x["at"] for x in r["names"]])
-                names = np.full(len(raw), -1, dtype=np.int64)
-                names[at] = [x["name"] for x in r["names"]]
-                p = np.arange(len(raw) - LENGTH + 1)
-                for offset in range(3):  # under this offset: positions that reach a sampled one
-                    q = p[(p + offset) % 3 != 0]
-                    ends = np.full(len(q), offset, dtype=np.int64)
-                    for k in (*range(offset), *range(offset + 48, LENGTH)):
-                        ends = ends * 256 + raw[q + k]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(q), r[c])) for c in ("ord", "row")]
-                        + [pa.array(np.full(len(q), r["pos"], np.int32)), pa.array(q.astype(np.int32)), pa.array(ends),
-                           pa.array(names[q + offset])],
-                        names=["ord", "row", "pos", "start", "ends", "name"])
-
-    whole = parts.join(gathered(level), ["ord", "row", "pos"])
-    entries = stored(whole.mapInArrow(merge, key + ", start int, ends long, name long"), "suffix_entries")
-    smallest = stored(entries.groupBy("ends", "name").agg(F.min("ord").alias("low"), F.max("ord").alias("high")).filter(
-        "low < high").drop("high"), "suffix_smallest")
-    return entries.join(smallest, ["ends", "name"]).filter("low < ord").select("ord", "row", "pos", "start")
+        column = lambda n, t: np.frombuffer(b"".join(table.column(n).to_pylist()), t)
+        ords, rows, pos, at = column("ord", np.int64), column("row", np.int64), column("pos", np.int32), column("at", np.int32)
+        size = column("size", np.int32).astype(np.int64)
+        raw = b"".join(table.column("data").to_pylist())
+        stop = np.cumsum(size)
+        gone, start = covered_starts([raw[a:b] for a, b in zip((stop - size).tolist(), stop.tolist())], ords)
+        found = []
+        for i in range(len(size)):
+            hit = np.flatnonzero(gone[start[i]:start[i] + size[i]])
+            if len(hit):
+                found.append((int(rows[i]), int(pos[i]), (hit + int(at[i])).astype(np.int32)))
+        return pa.table({"row": pa.array([f[0] for f in found], pa.int64()), "pos": pa.array([f[1] for f in found], pa.int32()),
+                         "found": pa.array([f[2] for f in found], pa.list_(pa.int32()))})
+
+    packed = parts.select("ord", "row", "pos", "data").mapInArrow(
+        runs, "part int, ord binary, row binary, pos binary, at binary, size binary, data binary")
+    return packed.groupBy("part").applyInArrow(sort, "row long, pos int, found array<int>").groupBy("row", "pos").agg(
+        F.flatten(F.collect_list("found")).alias("found"))
 
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, n_bytes, n_removed, n_spans, kept)`` for every row: ``kept`` is the remaining bytes (binary)."""
     keyed = _keyed(docs, id_col, text_col)
-    parts = stored(pieces(keyed).withColumn("key", F.sha2("data", 256)), "suffix_pieces")
+    parts = stored(pieces(keyed).withColumn("key", F.unhex(F.sha2("data", 256))), "suffix_pieces")
     # Equal pieces once. The pair (row, pos) of hashes names a piece in the sort.
     once = stored(parts.groupBy("key", "data").agg(F.min("ord").alias("ord")).select(
         "key", "ord", F.xxhash64("key").alias("row"), F.hash("key").alias("pos"), "data"), "suffix_once")
-    found = covered(once.select("ord", "row", "pos", "data")).groupBy("row", "pos").agg(
-        F.collect_set("start").alias("found"))
-    known = stored(once.select("key", F.col("ord").alias("low"), "row", "pos").join(found, ["row", "pos"], "left")
-                   .select("key", "low", "found"), "suffix_known")
+    known = stored(once.select("key", F.col("ord").alias("low"), "row", "pos")
+                   .join(covered(once), ["row", "pos"], "left").select("key", "low", "found"), "suffix_known")
     # A piece of a larger document is covered whole (``n`` bytes), else at the places found (``n`` = 0).
     larger = F.col("ord") > F.col("low")
     gone = parts.select("ord", "row", "pos", "key", F.length("data").alias("size")).join(known, "key").filter(

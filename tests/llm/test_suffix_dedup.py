@@ -76,8 +76,16 @@ def test_every_run_keeps_a_string_it_shares():
     assert all(k == kept[0] for k in kept)
 
 
-def test_words_keep_the_order():
-    rng = random.Random(3)
-    texts = [bytes(rng.choice([0, 1, 97, 255]) for _ in range(rng.randint(0, 9))) for _ in range(300)]
-    keys = [(tuple(op.words_of(t)[[0, 6]].tolist()), t) for t in texts]
-    assert [t for _, t in sorted(keys)] == sorted(texts)
+def test_names_keep_the_order_of_triples():
+    rng = np.random.default_rng(3)
+    a, b, c = rng.integers(0, 4, (3, 500))
+    names = op.names_of(a, b, c)
+    triples = list(zip(a.tolist(), b.tolist(), c.tolist()))
+    rank = {t: i for i, t in enumerate(sorted(set(triples)))}
+    assert names.tolist() == [rank[t] for t in triples]
+
+
+def test_grams_by_join_give_the_same(spark, monkeypatch):
+    monkeypatch.setattr(op, "MOST_SHARED", -1)
+    rows = repeats(seed=5, n=30)
+    assert run(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
