@@ -309,10 +309,23 @@ def covered(parts: DataFrame) -> DataFrame:
         size = column("size", np.int32).astype(np.int64)
         raw = b"".join(table.column("data").to_pylist())
         stop = np.cumsum(size)
-        gone, start = covered_starts([raw[a:b] for a, b in zip((stop - size).tolist(), stop.tolist())], ords)
-        found = []
-        for i in range(len(size)):
-            hit = np.flatnonzero(gone[start[i]:start[i] + size[i]])
+        coded = pa.array([raw[a:b] for a, b in zip((stop - size).tolist(), stop.tolist())], pa.binary()).dictionary_encode()
+        code, texts = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        # Equal runs once, under their smallest document; a run alone with its kept string has no equals.
+        low = np.full(len(texts), LAST, dtype=np.int64)
+        np.minimum.at(low, code, ords)
+        length = np.array([len(t) for t in texts], dtype=np.int64)
+        kept = winnowed(np.frombuffer(b"".join(texts), np.uint8))[np.cumsum(length) - length]
+        _, gram, count = np.unique(kept, return_inverse=True, return_counts=True)
+        several = np.flatnonzero(count[gram] > 1)
+        hits = {}
+        if len(several):
+            gone, start = covered_starts([texts[i] for i in several.tolist()], low[several])
+            for i, first in zip(several.tolist(), start.tolist()):
+                hits[i] = np.flatnonzero(gone[first:first + len(texts[i])])
+        none, found = np.zeros(0, dtype=np.int64), []
+        for i, c in enumerate(code.tolist()):
+            hit = np.arange(size[i] - LENGTH + 1) if ords[i] > low[c] else hits.get(c, none)
             if len(hit):
                 found.append((int(rows[i]), int(pos[i]), (hit + int(at[i])).astype(np.int32)))
         return pa.table({"row": pa.array([f[0] for f in found], pa.int64()), "pos": pa.array([f[1] for f in found], pa.int32()),
