@@ -239,6 +239,7 @@ def verified(members: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         copies = table.column("copies").to_numpy()
         lists = table.column("tokens").combine_chunks()
         offsets, tokens = lists.offsets.to_numpy(), lists.values.to_numpy()
+        across = table.column("i")[0].as_py() != table.column("j")[0].as_py()
         out = [], [], []
         low = 0
         while low < len(roots):
@@ -264,7 +265,7 @@ def verified(members: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             linked = both >= threshold * (size[:, None] + size[None, :] - both) - 1e-6
             np.fill_diagonal(linked, False)
             side = block[low:high]
-            if side[0] != side[-1]:  # a tile of two blocks: only the pairs across
+            if across:  # a tile of two blocks, one of which may be empty: only the pairs across
                 linked &= side[:, None] != side[None, :]
             links = (linked * copies[None, low:high]).sum(axis=1)
             for i, parent in enumerate(spanning(linked)):

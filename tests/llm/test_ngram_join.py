@@ -76,6 +76,19 @@ def test_large_group_in_several_tiles(spark, monkeypatch):
     assert run(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
 
 
+def members_of(spark, groups, size, tokens=100):
+    """Groups of near copies as ``verified`` takes them: in each, all members are linked with each other."""
+    rows = [(b"root%d" % g, b"%d of %d" % (i, g), 1, tokens, [g * 10**6 + k for k in range(tokens - 1)] + [-1 - i - g * 10**6])
+            for g in range(groups) for i in range(size)]
+    return spark.createDataFrame(rows, "root binary, cls binary, copies long, size int, tokens array<bigint>")
+
+
+def test_tile_with_an_empty_block(spark, monkeypatch):
+    monkeypatch.setattr(op, "TILE_TOKENS", 100)  # two blocks for two members: often both are in one
+    links = op.verified(members_of(spark, 10, 2)).groupBy("cls").sum("links").collect()
+    assert len(links) == 20 and {r[1] for r in links} == {1}
+
+
 def test_edge_rows(edge, empty):
     assert run(edge) == brute(TEXTS)
     assert run(empty) == Counter() and op.keep_one(empty).count() == 0
