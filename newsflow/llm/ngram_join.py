@@ -44,7 +44,11 @@ THRESHOLD = 0.8
 DEPTH = 4
 SMALL = 32
 RECALL = 0.9999
+#: A block of a component has about so many tokens and members at most; a tile is two blocks.
 TILE_TOKENS = 150_000
+TILE_MEMBERS = 2_000
+#: Pairs of a tile that are judged at once.
+STRIP_PAIRS = 1 << 20
 
 
 def runs_for(recall: float = RECALL, threshold: float = THRESHOLD, depth: int = DEPTH) -> int:
@@ -214,10 +218,11 @@ def spanning(linked):
     return root.tolist()
 
 
-def verified(members: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``(cls, other, links)`` of exact links between ``members(root, cls, copies, size, tokens)`` of one root."""
-    totals = members.groupBy("root").agg(F.sum("size").alias("total"))
-    blocks = totals.withColumn("blocks", F.ceil(F.col("total") / TILE_TOKENS).cast("int"))
+def tiled(members: DataFrame) -> DataFrame:
+    """``(pack, i, j, root, block, cls, copies, tokens)``: every two blocks of a root meet in tile ``i <= j`` of its pack."""
+    totals = members.groupBy("root").agg(F.sum("size").alias("total"), F.count(F.lit(1)).alias("n"))
+    blocks = totals.withColumn("blocks", F.greatest(
+        F.ceil(F.col("total") / TILE_TOKENS), F.ceil(F.col("n") / TILE_MEMBERS)).cast("int")).drop("n")
     small = blocks.filter("blocks = 1").agg(F.sum("total")).first()[0] or 0
     packs = max(1, -(-int(small) // (2 * TILE_TOKENS)))
     placed = members.join(blocks.drop("total"), "root").withColumn(
@@ -225,10 +230,15 @@ def verified(members: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     # Components of one block share tasks; a larger one is its own set of tiles.
     placed = placed.withColumn("pack", F.when(F.col("blocks") == 1, F.lpad(
         F.pmod(F.xxhash64("root"), F.lit(packs)).cast("string"), 12, "0").cast("binary")).otherwise(F.col("root")))
-    tiles = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+    return placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "pack", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "root", "block", "cls",
         "copies", "tokens")
 
+
+def verified(members: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``(cls, other, links)`` of exact links between ``members(root, cls, copies, size, tokens)`` of one root."""
+    strip_pairs = STRIP_PAIRS
+
     def compare(table):
         import numpy as np
         import pyarrow as pa
@@ -262,12 +272,16 @@ def verified(members: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                 has = np.zeros((n, width), dtype=np.float32)
                 has[owner[a:b], code[a:b] - at] = 1.0
                 both += has @ has.T
-            linked = both >= threshold * (size[:, None] + size[None, :] - both) - 1e-6
-            np.fill_diagonal(linked, False)
             side = block[low:high]
-            if across:  # a tile of two blocks, one of which may be empty: only the pairs across
-                linked &= side[:, None] != side[None, :]
-            links = (linked * copies[None, low:high]).sum(axis=1)
+            linked, links = np.zeros((n, n), dtype=bool), np.zeros(n, dtype=np.int64)
+            rows = max(1, strip_pairs // n)
+            for a in range(0, n, rows):
+                b = min(n, a + rows)
+                part = both[a:b] >= threshold * (size[a:b, None] + size[None, :] - both[a:b]) - 1e-6
+                part[np.arange(b - a), np.arange(a, b)] = False
+                if across:  # a tile of two blocks, one of which may be empty: only the pairs across
+                    part &= side[a:b, None] != side[None, :]
+                linked[a:b], links[a:b] = part, part @ copies[low:high]
             for i, parent in enumerate(spanning(linked)):
                 if links[i]:
                     out[0].append(names[low + i])
@@ -277,7 +291,7 @@ def verified(members: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         return pa.table({"cls": pa.array(out[0], pa.binary()), "other": pa.array(out[1], pa.binary()),
                          "links": pa.array(out[2], pa.int64())})
 
-    return tiles.groupBy("pack", "i", "j").applyInArrow(compare, "cls binary, other binary, links long")
+    return tiled(members).groupBy("pack", "i", "j").applyInArrow(compare, "cls binary, other binary, links long")
 
 
 def linked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -89,6 +89,15 @@ def test_tile_with_an_empty_block(spark, monkeypatch):
     assert len(links) == 20 and {r[1] for r in links} == {1}
 
 
+def test_tiles_are_bounded_in_members(spark, monkeypatch):
+    monkeypatch.setattr(op, "TILE_MEMBERS", 50, raising=False)
+    monkeypatch.setattr(op, "STRIP_PAIRS", 700, raising=False)
+    members = members_of(spark, 1, 300, tokens=20)  # 6,000 tokens: one block by tokens alone
+    assert op.tiled(members).groupBy("pack", "i", "j").count().agg({"count": "max"}).first()[0] < 2 * 50 + 60
+    links = op.verified(members).groupBy("cls").sum("links").collect()
+    assert len(links) == 300 and {r[1] for r in links} == {299}
+
+
 def test_edge_rows(edge, empty):
     assert run(edge) == brute(TEXTS)
     assert run(empty) == Counter() and op.keep_one(empty).count() == 0
