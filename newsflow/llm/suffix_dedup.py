@@ -11,7 +11,9 @@ smaller id is removed; strings are judged on the input, and never cross document
    set by content, and equal pieces are sorted once, under their smallest document
    (in larger documents every suffix of the piece is covered).
 2. *Deal out*: equal prefixes have the same kept string, so suffixes are dealt to parts
-   by it, each with the bytes that its prefix needs.
+   by it, each with the bytes that its prefix needs. A kept string with more than
+   ``MOST_RUNS`` runs is no part's work: its equal runs are merged by an aggregation, and
+   the strings of the distinct ones compared by a second, both with partial results per task.
 3. *Sort sampled triples*: in a part, positions 1 and 2 modulo 3 (a difference cover of
    3) get triples of 6-byte words, which are sorted and named by their order.
 4. *Recurse on names*: the names at +0, +18 and +30 are the next triples; sorted
@@ -46,6 +48,10 @@ LAST = (1 << 63) - 1
 RUN = "ord long, row long, pos int"
 #: Repeated kept strings go to the tasks as one array up to this many bytes, else by a join.
 MOST_SHARED = 64 << 20
+#: Kept strings with more runs than this (counted from two in a batch on) are compared by aggregations.
+MOST_RUNS = 20_000
+#: Bytes of pieces that are winnowed at once.
+AT_ONCE = 1 << 20
 
 
 def gram_hashes(data):
@@ -268,22 +274,74 @@ def covered_starts(runs: list, ords):
     return out, start
 
 
-def covered(parts: DataFrame) -> DataFrame:
-    """``(row, pos, found)``: places in the pieces whose ``LENGTH``-byte string starts in a smaller document's piece."""
+def _runs(pieces):
+    """``(kept, piece, at, stop)`` of the runs of suffixes of one kept string, for slices of ``pieces``."""
+    import numpy as np
+    low, sizes = 0, np.array([len(p) for p in pieces], dtype=np.int64)
+    while low < len(sizes):
+        high = max(low + 1, int(np.searchsorted(np.cumsum(sizes[low:]), AT_ONCE)) + low)
+        size = sizes[low:high]
+        n = size - (LENGTH - 1)
+        which = np.repeat(np.arange(len(n)), n)
+        inside = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
+        # No string of a run reaches beyond its piece, so the pieces can be winnowed as one text.
+        kept = winnowed(np.frombuffer(b"".join(pieces[low:high]), np.uint8))[np.repeat(np.cumsum(size) - size, n) + inside]
+        first = np.flatnonzero(np.append(True, (kept[1:] != kept[:-1]) | (which[1:] != which[:-1])))
+        yield kept[first], which[first] + low, inside[first], inside[np.append(first[1:], len(kept)) - 1] + 1
+        low = high
+
+
+def hot_grams(parts: DataFrame) -> DataFrame:
+    """``(gram)``: kept strings of more than ``MOST_RUNS`` runs; a batch leaves out those it has once."""
+    def counts(batches):
+        import numpy as np
+        import pyarrow as pa
+        for batch in batches:
+            own = [kept for kept, *_ in _runs(batch.column(0).to_pylist())]
+            if own:
+                grams, n = np.unique(np.concatenate(own), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(grams[n > 1].view(np.int64)), pa.array(n[n > 1].astype(np.int64))],
+                                                 names=["gram", "n"])
+
+    found = parts.select("data").mapInArrow(counts, "gram long, n long")
+    return found.groupBy("gram").agg(F.sum("n").alias("n")).filter(F.col("n") > MOST_RUNS).select("gram")
+
+
+def covered_by_strings(runs: DataFrame) -> DataFrame:
+    """``(row, pos, found)`` from ``runs(ord, row, pos, at, data)``: equal runs are merged, then their strings."""
+    runs = stored(runs.withColumn("key", F.unhex(F.sha2("data", 256))), "suffix_hot")
+    once = stored(runs.groupBy("key", "data").agg(F.min("ord").alias("low")), "suffix_hot_once")
+    each = once.select("key", "low", F.explode(F.expr(
+        f"transform(sequence(0, length(data) - {LENGTH}), k -> struct(k, substring(data, k + 1, {LENGTH}) as string))")).alias(
+        "s")).select("key", "low", "s.k", "s.string")
+    # Written first, so that the joins can be split at a string or run that very many share.
+    least = stored(each.groupBy("string").agg(F.min("low").alias("least")), "suffix_hot_least")
+    hits = each.join(least, "string").filter("low > least").groupBy("key").agg(F.collect_list("k").alias("hits"))
+    known = stored(once.select("key", "low").join(hits, "key", "left"), "suffix_hot_known")
+    return runs.join(known, "key").filter("ord > low or hits is not null").select("row", "pos", F.expr(
+        f"transform(if(ord > low, sequence(0, length(data) - {LENGTH}), hits), k -> k + at)").alias("found"))
+
+
+def dealt(parts: DataFrame) -> tuple:
+    """The runs of ``parts(ord, row, pos, data)``: packed per part, and ``(ord, row, pos, at, data)`` of the hot kept
+    strings (None: there are none)."""
+    import numpy as np
     deal = 4 * width(parts.sparkSession)
+    # At most one of 20,000 runs' kept strings is in this array.
+    hot = np.sort(np.array([r.gram for r in hot_grams(parts).collect()], dtype=np.int64).view(np.uint64))
+    held = parts.sparkSession.sparkContext.broadcast(hot)
 
     def runs(batches):
         """Suffixes of one kept string that follow each other, packed per part."""
         import numpy as np
         import pyarrow as pa
         for batch in batches:
-            rows = []
-            for i, data in enumerate(batch.column(3).to_pylist()):
-                kept = winnowed(np.frombuffer(data, np.uint8))
-                first = np.flatnonzero(np.append(True, kept[1:] != kept[:-1]))
-                part = ((kept[first] >> np.uint64(20)) % np.uint64(deal)).tolist()
-                for a, b, k in zip(first.tolist(), [*first[1:].tolist(), len(kept)], part):
-                    rows.append((k, i, a, data[a:b + LENGTH - 1]))
+            rows, pieces = [], batch.column(3).to_pylist()
+            for kept, piece, at, end in _runs(pieces):
+                cold = ~_among(kept, held.value)
+                part = (kept >> np.uint64(20)) % np.uint64(deal)
+                rows += [(k, i, a, pieces[i][a:b + LENGTH - 1])
+                         for k, i, a, b in zip(*(x[cold].tolist() for x in (part, piece, at, end)))]
             rows.sort(key=lambda r: r[0])
             part = np.array([r[0] for r in rows], dtype=np.int32)
             which, start = np.unique(part, return_index=True)
@@ -301,6 +359,27 @@ def covered(parts: DataFrame) -> DataFrame:
                 [pa.array(which), *[pa.array([o[k] for o in out], pa.binary()) for k in range(6)]],
                 names=["part", "ord", "row", "pos", "at", "size", "data"])
 
+    def hot_runs(batches):
+        import numpy as np
+        import pyarrow as pa
+        for batch in batches:
+            pieces = batch.column(3).to_pylist()
+            for kept, piece, at, end in _runs(pieces):
+                take = _among(kept, held.value)
+                piece, at, end = piece[take], at[take], end[take]
+                data = [pieces[i][a:b + LENGTH - 1] for i, a, b in zip(piece.tolist(), at.tolist(), end.tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(k).take(pa.array(piece)) for k in range(3)], pa.array(at.astype(np.int32)),
+                     pa.array(data, pa.binary())], names=["ord", "row", "pos", "at", "data"])
+
+    parts = parts.select("ord", "row", "pos", "data")
+    packed = parts.mapInArrow(
+        runs, "part int, ord binary, row binary, pos binary, at binary, size binary, data binary")
+    return packed, parts.mapInArrow(hot_runs, RUN + ", at int, data binary") if len(hot) else None
+
+
+def covered(parts: DataFrame) -> DataFrame:
+    """``(row, pos, found)``: places in the pieces whose ``LENGTH``-byte string starts in a smaller document's piece."""
     def sort(table):
         import numpy as np
         import pyarrow as pa
@@ -331,10 +410,11 @@ def covered(parts: DataFrame) -> DataFrame:
         return pa.table({"row": pa.array([f[0] for f in found], pa.int64()), "pos": pa.array([f[1] for f in found], pa.int32()),
                          "found": pa.array([f[2] for f in found], pa.list_(pa.int32()))})
 
-    packed = parts.select("ord", "row", "pos", "data").mapInArrow(
-        runs, "part int, ord binary, row binary, pos binary, at binary, size binary, data binary")
-    return packed.groupBy("part").applyInArrow(sort, "row long, pos int, found array<int>").groupBy("row", "pos").agg(
-        F.flatten(F.collect_list("found")).alias("found"))
+    packed, hot = dealt(parts)
+    found = packed.groupBy("part").applyInArrow(sort, "row long, pos int, found array<int>")
+    if hot is not None:
+        found = found.unionByName(covered_by_strings(hot))
+    return found.groupBy("row", "pos").agg(F.flatten(F.collect_list("found")).alias("found"))
 
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -89,3 +89,22 @@ def test_grams_by_join_give_the_same(spark, monkeypatch):
     monkeypatch.setattr(op, "MOST_SHARED", -1)
     rows = repeats(seed=5, n=30)
     assert run(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+
+
+def test_string_that_many_share_is_no_parts_work(spark, monkeypatch):
+    monkeypatch.setattr(op, "MOST_RUNS", 50, raising=False)
+    rng = random.Random(4)
+    noise = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    passage, other = noise(70), noise(90)
+    rows = [(i, noise(rng.randint(0, 40)) + passage + noise(rng.randint(0, 40))) for i in rng.sample(range(1000), 300)]
+    rows += [(1000 + i, other[i:] + noise(60) + other) for i in range(9)] + [(2000, "z" * 300), (2001, "z" * 120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    parts = op.pieces(op._keyed(df, "doc_id", "text"))
+    counts = Counter()
+    for r in op.dealt(parts)[0].collect():
+        data, at = bytes(r.data), 0
+        for n in np.frombuffer(r["size"], np.int32).tolist():
+            counts[int(op.winnowed(np.frombuffer(data[at:at + n], np.uint8))[0])] += 1
+            at += n
+    assert max(counts.values()) <= 50 + 2  # before: 300 runs of the passage in one part
+    assert run(df) == brute(rows)
