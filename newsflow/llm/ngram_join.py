@@ -13,6 +13,8 @@ digits; a text of fewer words is one run). Documents with equal sets are one
    samples: it is taken as linked for now, without making its pairs.
 3. *Repeat*: a pair at the threshold survives a run with probability
    ``t ** DEPTH`` at least; ``runs_for`` gives the number of runs for the target recall.
+   All runs use the same samples, so a pair below the brute force's floor is lost in
+   every one: ``least_equal`` sets the floor so that both losses stay within the target.
 4. *Verify*: the candidate links' components bring sets together. Within a
    component all pairs are compared exactly on the sets, in tiles of bounded
    blocks; a tile returns per set its number of links and one spanning link, so a
@@ -30,7 +32,7 @@ other columns are ignored.
 
 from __future__ import annotations
 
-from math import ceil, log
+from math import ceil, comb, log
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -56,6 +58,18 @@ def runs_for(recall: float = RECALL, threshold: float = THRESHOLD, depth: int =
     return ceil(log(1 - recall) / log(1 - threshold ** depth))
 
 
+def least_equal(runs: int, recall: float = RECALL, threshold: float = THRESHOLD, depth: int = DEPTH) -> int:
+    """The most equal samples to ask for, so that a pair at ``threshold`` is lost by that or by its paths with
+    probability ``1 - recall`` at most (0 if the paths alone lose more)."""
+    n = runs * depth
+    lost = (1 - threshold ** depth) ** runs
+    for k in range(n + 1):
+        lost += comb(n, k) * threshold ** k * (1 - threshold) ** (n - k)
+        if lost > 1 - recall:
+            return k
+    return n
+
+
 class Shingles:
     """Sets of hashed word runs; ``cap`` bounds the memo of word hashes."""
 
@@ -148,7 +162,7 @@ def signed_documents(docs: DataFrame, id_col: str, text_col: str, n: int) -> Dat
 
 
 def candidate_links(classes: DataFrame, runs: int, depth: int = DEPTH, small: int = SMALL,
-                    threshold: float = THRESHOLD) -> DataFrame:
+                    threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """Candidate links ``(a, b)`` between classes ``(cls, sig)`` that shared a bucket in some run."""
     def path(r, d):
         return F.xxhash64(r, F.slice("sig", r * depth + 1, F.lit(d)))
@@ -173,7 +187,7 @@ def candidate_links(classes: DataFrame, runs: int, depth: int = DEPTH, small: in
     members = lists.select(F.xxhash64("members").alias("leaf"), F.explode("members").alias("cls"))
     buckets = members.join(classes.select("cls", "sig"), "cls").groupBy("leaf").agg(
         F.collect_list(F.struct("cls", "sig")).alias("members"))
-    floor = threshold - 4 * (threshold * (1 - threshold) / (runs * depth)) ** 0.5
+    floor = least_equal(runs, recall, threshold, depth)
 
     def compare(batches):
         import numpy as np
@@ -189,7 +203,7 @@ def candidate_links(classes: DataFrame, runs: int, depth: int = DEPTH, small: in
             a, b = [], []
             for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
                 part = table[low:high]
-                alike = (part[:, None, :] == part[None, :, :]).sum(axis=2) >= floor * n
+                alike = (part[:, None, :] == part[None, :, :]).sum(axis=2) >= floor
                 for i, parent in enumerate(spanning(alike)):
                     if parent != i:
                         a.append(names[low + i])
@@ -303,7 +317,7 @@ def linked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.min("id").alias("first"), F.min("row").alias("row"), F.count(F.lit(1)).alias("copies"),
         F.max("size").alias("size"), F.min("sig").alias("sig"))
     classes = stored(classes, "ngram_classes")
-    roots = components(candidate_links(classes, runs, threshold=threshold), "ngram_candidates")
+    roots = components(candidate_links(classes, runs, threshold=threshold, recall=recall), "ngram_candidates")
 
     # The sets of the candidates, made again from one document of each class.
     wanted = roots.withColumnRenamed("node", "cls").join(classes.select("cls", "row", "copies"), "cls")

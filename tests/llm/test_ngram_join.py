@@ -113,6 +113,22 @@ def test_runs_reach_the_recall():
     assert 1 - (1 - 0.8 ** 4) ** n >= 0.9999 > 1 - (1 - 0.8 ** 4) ** (n - 1)
 
 
+def test_floor_is_part_of_the_recall(spark):
+    rng = np.random.default_rng(1)
+    n = op.runs_for() * op.DEPTH
+    a = rng.integers(-1 << 31, 1 << 31, n, dtype=np.int64)
+    rows = []
+    # A pair at 0.8 has 43 or 44 of 72 equal samples with a probability of 1.5e-4, above the target's 1e-4.
+    for equal, name in ((43, b"43"), (30, b"30")):
+        shift = a + len(rows)
+        rows += [(name + b"a", shift.tolist()), (name + b"b", np.where(np.arange(n) < equal, shift, shift + 1000).tolist())]
+    rows = [(c, [(v + 2 ** 31) % 2 ** 32 - 2 ** 31 for v in sig]) for c, sig in rows]
+    links = op.candidate_links(spark.createDataFrame(rows, "cls binary, sig array<int>"), op.runs_for()).collect()
+    assert {bytes(x) for r in links for x in r} == {b"43a", b"43b"}
+    hit = np.random.default_rng(2).binomial(n, 0.8, 2_000_000)
+    assert (hit < op.least_equal(op.runs_for())).mean() + (1 - 0.8 ** 4) ** op.runs_for() < 1.2e-4
+
+
 def test_samples_agree_as_often_as_sets_do():
     rng = np.random.default_rng(0)
     pool = np.unique(rng.integers(0, 1 << 63, 3000, dtype=np.uint64))
