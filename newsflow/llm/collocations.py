@@ -6,15 +6,17 @@ pushed towards the root first.
 
 1. *Shards*: texts become chunks of at most about ``CHUNK`` words of one language, a written table
    of word ids with each chunk's own sorted word list. Pieces never span chunks.
-2. *Counts of length k* (1 to 5, one after another): a chunk's phrases of ``k`` words whose two
-   parts of ``k - 1`` words may be frequent are sorted and counted, and count transducers are built
-   incrementally from the sorted phrases, in slices of ``SLICE`` phrases. A phrase is at most as frequent as
-   its parts, so nothing frequent is left out. "May be frequent" is a filter of fixed size
-   (``FILTER_BITS`` bits over the frequent parts): an error of it costs work, never results.
-3. *Union by prefix range*: a bounded sample of the slices' first phrases cuts the sorted phrases into
+2. *Filter*, for lengths 2 to 5 in turn: hashes of a chunk's phrases whose two parts passed the round
+   before are counted in the chunk, then over all chunks (dealt by hash). Hashes seen often enough enter a bitmap of fixed
+   size (``FILTER_BITS``); then the words of such phrases of two words do. A phrase is at most as frequent as its
+   parts and its hash, so nothing frequent is left out; an error of the filter costs work, never
+   results. (Single words rule out few pairs of words in a large corpus, so they are not counted first.)
+3. *Counts*: a shard is some chunks of one task. Its phrases that pass the filter are sorted and counted, and
+   count transducers are built incrementally from the sorted phrases, in slices of ``SLICE`` phrases.
+   *Union by prefix range*: a bounded sample of the slices' first phrases cuts the sorted phrases into
    ranges of about ``RANGE`` entries (as Spark's range partitioner does). A slice is cut where
    ranges begin; a range's transducers are united, weights summed, and what stays
-   below the least count goes. A phrase comes once from a chunk, so no phrase is hot.
+   below the least count goes. A phrase comes once from a shard, so no phrase is hot.
 4. *Part lookups by composition*: every candidate asks for the counts of its parts. The requests are cut into
    ranges of (part, candidate), so that a part of very many candidates is spread; a range's requests
    become an acceptor, which is composed with the count transducers that overlap the range.
@@ -39,13 +41,16 @@ from newsflow.llm.store import stored, width
 LONGEST = 5
 LEAST = 100
 TOP = 2000
-CHUNK = 2_000_000
-SLICE = 1 << 15
-RANGE = 500_000
+CHUNK = 500_000
+SLICE = 1 << 12
+RANGE = 200_000
+PART = 500_000  # words of the input per part of the hashed counts
+HASH_BITS = 40  # of a phrase's hash that are counted
+SHARD = 300_000  # distinct phrases counted together before they leave a task
 REQUESTS = 50_000
 FILTER_BITS = 1 << 26
-FILTER_BLOCK = 1 << 16  # bytes
-BATCH_BYTES = 8 << 20
+BLOCKS = 7  # leading bits of a hash that name its block of the filter
+BATCH_BYTES = 2 << 20
 KEY_BYTES = 64  # of a range boundary; any byte string is a valid one
 SLICES = "lang string, k int, first binary, last binary, n long, words binary, word_ends binary, automaton binary"
 
@@ -210,10 +215,10 @@ def tokenise(texts):
     offsets = np.concatenate([[0], np.cumsum(ends - starts + 1)]).astype(np.int32)
     found = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets.tobytes()),
                                                              pa.py_buffer(bytes_.tobytes())]).dictionary_encode()
-    ids = found.indices.to_numpy().astype(np.int64)
-    marks = np.cumsum(kinds == 2)
+    ids = found.indices.to_numpy()
+    marks = np.cumsum(kinds == 2, dtype=np.int32)
     after = np.flatnonzero(np.concatenate([marks[starts[1:]] > marks[ends[:-1] - 1], [True]])) + 1
-    return found.dictionary, np.insert(ids, after, -1)
+    return found.dictionary, np.insert(ids, after, -1).astype(np.int32)
 
 
 def chunks(docs: DataFrame) -> DataFrame:
@@ -291,38 +296,45 @@ def joined(hashes, more):
 
 
 def probes(hashes, bits: int):
-    """Three bit positions of each hash."""
+    """Three bit positions of each ``HASH_BITS``-bit hash; its leading bits name the block."""
     import numpy as np
-    low, high = hashes & np.uint64(0xFFFFFFFF), hashes >> np.uint64(32)
-    return [((low + np.uint64(i) * (high | np.uint64(1))) % np.uint64(bits)).astype(np.int64) for i in range(3)]
+    block = bits >> BLOCKS
+    mixed = hashes * np.uint64(0x94D049BB133111EB)
+    low, high = mixed & np.uint64(0xFFFFFFFF), mixed >> np.uint64(32)
+    base = (hashes >> np.uint64(HASH_BITS - BLOCKS)) * np.uint64(block)
+    return [(base + (low + np.uint64(i) * (high | np.uint64(1))) % np.uint64(block)).astype(np.int64) for i in range(3)]
 
 
 def maybe(bitmap, hashes):
     """Whether each hash may be in the filter."""
     import numpy as np
     found = np.ones(len(hashes), bool)
-    for p in probes(hashes, len(bitmap) * 8):
+    for p in probes(hashes >> np.uint64(64 - HASH_BITS), len(bitmap) * 8):
         found &= (bitmap[p >> 3] >> (p & 7).astype(np.uint8) & 1).astype(bool)
     return found
 
 
-def shard_rows(ids, k: int, words: int, hashes=None, bitmap=None):
-    """``(rows, counts)``: sorted distinct phrases of ``k`` words of a chunk whose parts pass the filter."""
+def phrases_at(ids, k: int):
+    """Where phrases of ``k`` words begin."""
     import numpy as np
-    if len(ids) < k:
-        return np.zeros((0, k), np.int64), np.zeros(0, np.int64)
-    n = len(ids) - k + 1
+    n = max(len(ids) - k + 1, 0)
     good = np.ones(n, bool)
     for i in range(k):
         good &= ids[i:i + n] >= 0
-    at = np.flatnonzero(good)
-    if bitmap is not None:
-        for first in (0, 1):  # both parts of k - 1 words
-            h = hashes[ids[at + first]]
-            for i in range(first + 1, first + k - 1):
-                h = joined(h, hashes[ids[at + i]])
-            at = at[maybe(bitmap, h)]
-    columns = [ids[at + i] for i in range(k)]
+    return np.flatnonzero(good)
+
+
+def phrase_hashes(ids, at, k: int, hashes):
+    h = hashes[ids[at]]
+    for i in range(1, k):
+        h = joined(h, hashes[ids[at + i]])
+    return h
+
+
+def shard_rows(ids, at, k: int, words: int):
+    """``(rows, counts)``: the sorted distinct phrases of ``k`` words that begin at ``at``."""
+    import numpy as np
+    columns = [ids[at + i].astype(np.int64) for i in range(k)]
     code, size = columns[0], words
     for c in columns[1:]:
         if size > (1 << 62) // max(words, 1):
@@ -333,6 +345,111 @@ def shard_rows(ids, k: int, words: int, hashes=None, bitmap=None):
     return np.stack([c[first] for c in columns], axis=1), counts.astype(np.int64)
 
 
+def _chunks_of(batches):
+    """``(lang, words, their hashes, ids)`` of every chunk."""
+    import numpy as np
+    for batch in batches:
+        for at in range(batch.num_rows):
+            lang, words, ends, ids = (batch.column(c)[at].as_py() for c in ("lang", "words", "word_ends", "ids"))
+            words = words_of(words, ends)
+            yield lang, words, word_hashes(lang, words), np.frombuffer(ids, np.int32)
+
+
+def planes(x) -> bytes:
+    """Ascending 64-bit numbers as byte planes of their differences (the upper planes are mostly zero)."""
+    import numpy as np
+    return np.diff(x, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def from_planes(raw: bytes):
+    import numpy as np
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<u8").ravel(), dtype=np.uint64)
+
+
+def frequent_hashes(chunked: DataFrame, k: int, least: int, parts: int, bitmap=None) -> DataFrame:
+    """``(block, hashes)``: hashes of phrases of ``k`` words that occur ``least`` times or more and whose two parts,
+    where they have two words at least, are in the filter."""
+    shift = parts.bit_length() - 1
+
+    def count(batches):
+        import numpy as np
+        import pyarrow as pa
+        bits = None if bitmap is None else np.frombuffer(bitmap.value, np.uint8)
+        for _, _, hashes, ids in _chunks_of(batches):
+            at = phrases_at(ids, k)
+            for first in (0, 1) if bits is not None else ():
+                at = at[maybe(bits, phrase_hashes(ids, at + first, k - 1, hashes))]
+            seen, counts = np.unique(phrase_hashes(ids, at, k, hashes) >> np.uint64(64 - HASH_BITS), return_counts=True)
+            part = (seen >> np.uint64(HASH_BITS - shift)).astype(np.int64)
+            cuts = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
+            pieces = list(zip(cuts, [*cuts[1:], len(seen)]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part[cuts]), pa.array([planes(seen[a:b]) for a, b in pieces], pa.binary()),
+                 pa.array([counts[a:b].astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes() for a, b in pieces],
+                          pa.binary())], names=["part", "hashes", "counts"])
+
+    def add(key, table):
+        import numpy as np
+        import pyarrow as pa
+        hashes = np.concatenate([from_planes(r) for r in table.column("hashes").to_pylist()])
+        counts = np.concatenate([np.ascontiguousarray(np.frombuffer(r, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+                                 for r in table.column("counts").to_pylist()]).astype(np.int64)
+        order = np.argsort(hashes, kind="stable")
+        hashes, counts = hashes[order], counts[order]
+        new = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+        hashes = hashes[new][np.add.reduceat(counts, new) >= least]
+        return _by_block(hashes, pa.Table.from_arrays)
+
+    counted = chunked.mapInArrow(count, "part long, hashes binary, counts binary")
+    return counted.groupBy("part").applyInArrow(add, "block long, hashes binary")
+
+
+def part_words(chunked: DataFrame, bitmap) -> DataFrame:
+    """``(block, hashes)``: the words of phrases of two words that are in the filter."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        bits = np.frombuffer(bitmap.value, np.uint8)
+        for _, _, hashes, ids in _chunks_of(batches):
+            at = phrases_at(ids, 2)
+            at = at[maybe(bits, phrase_hashes(ids, at, 2, hashes))]
+            used = np.unique(hashes[np.unique(np.concatenate([ids[at], ids[at + 1]]))] >> np.uint64(64 - HASH_BITS))
+            yield _by_block(used, pa.RecordBatch.from_arrays)
+
+    return chunked.mapInArrow(run, "block long, hashes binary")
+
+
+def _by_block(hashes, make):
+    """``(block, hashes)`` rows of ascending hashes, by ``make``."""
+    import numpy as np
+    import pyarrow as pa
+    block = (hashes >> np.uint64(HASH_BITS - BLOCKS)).astype(np.int64)
+    cuts = np.flatnonzero(np.diff(block, prepend=-1)).tolist()
+    return make([pa.array(block[cuts]), pa.array([planes(hashes[a:b]) for a, b in zip(cuts, [*cuts[1:], len(hashes)])],
+                                                 pa.binary())], names=["block", "hashes"])
+
+
+def add_to_filter(bitmap: bytearray, frequent: DataFrame) -> bool:
+    """Put the hashes into ``bitmap`` (its blocks are made by the tasks); whether there were any."""
+    bits, block = len(bitmap) * 8, len(bitmap) >> BLOCKS
+
+    def make(key, table):
+        import numpy as np
+        import pyarrow as pa
+        own = np.zeros(block, np.uint8)
+        for raw in table.column("hashes").to_pylist():
+            for p in probes(from_planes(raw), bits):
+                np.bitwise_or.at(own, (p >> 3) - key[0].as_py() * block, np.uint8(1) << (p & 7).astype(np.uint8))
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([own.tobytes()], pa.binary())})
+
+    import numpy as np
+    found = frequent.groupBy("block").applyInArrow(make, "block long, bits binary").collect()
+    whole = np.frombuffer(bitmap, np.uint8)
+    for r in found:
+        whole[r["block"] * block:(r["block"] + 1) * block] |= np.frombuffer(r["bits"], np.uint8)
+    return bool(found)
+
+
 def slices_of(lang: str, words: list[bytes], rows, counts):
     """Record batches of ``SLICES``: count transducers of at most ``SLICE`` sorted phrases."""
     import numpy as np
@@ -352,27 +469,57 @@ def slices_of(lang: str, words: list[bytes], rows, counts):
             names=["lang", "k", "first", "last", "n", "words", "word_ends", "automaton"])
 
 
-def shard_counts(chunked: DataFrame, k: int, bitmap=None) -> DataFrame:
-    """``SLICES`` of every chunk: counts of its own phrases of ``k`` words."""
+def summed(parts: list):
+    """``(words, rows, counts)`` of several counts ``(words, rows, counts)`` of phrases of one length, sorted."""
+    import numpy as np
+    words, numbers = common([w for w, _, _ in parts])
+    rows = np.concatenate([number[r] for number, (_, r, _) in zip(numbers, parts)])
+    counts = np.concatenate([c for _, _, c in parts])
+    order = np.lexsort(rows.T[::-1])
+    rows, counts = rows[order], counts[order]
+    new = np.flatnonzero(np.concatenate([[True], np.any(rows[1:] != rows[:-1], axis=1)]))
+    return words, rows[new], np.add.reduceat(counts, new)
+
+
+def shard_counts(chunked: DataFrame, longest: int, bitmap) -> DataFrame:
+    """``SLICES`` of every shard: counts of its own phrases of up to ``longest`` words that pass the filter."""
     def run(batches):
         import numpy as np
-        bits = None if bitmap is None else np.frombuffer(bitmap.value, np.uint8)
-        for batch in batches:
-            for at in range(batch.num_rows):
-                lang, words, ends, ids = (batch.column(c)[at].as_py() for c in ("lang", "words", "word_ends", "ids"))
-                words = words_of(words, ends)
-                hashes = None if bits is None else word_hashes(lang, words)
-                rows, counts = shard_rows(np.frombuffer(ids, np.int32).astype(np.int64), k, len(words), hashes, bits)
-                yield from slices_of(lang, words, rows, counts)
+        bits = np.frombuffer(bitmap.value, np.uint8)
+        held, size = {}, 0
+
+        def flush():
+            for (lang, _), parts in sorted(held.items()):
+                yield from slices_of(lang, *summed(parts))
+            held.clear()
+
+        for lang, words, hashes, ids in _chunks_of(batches):
+            for k in range(1, longest + 1):
+                at = phrases_at(ids, k)
+                at = at[maybe(bits, phrase_hashes(ids, at, k, hashes))]
+                if len(at):
+                    rows, counts = shard_rows(ids, at, k, len(words))
+                    used, local = np.unique(rows, return_inverse=True)
+                    held.setdefault((lang, k), []).append(([words[i] for i in used.tolist()], local.reshape(rows.shape), counts))
+                    size += len(rows)
+            if size >= SHARD:
+                for key, parts in held.items():
+                    held[key] = [summed(parts)]
+                size = sum(len(parts[0][1]) for parts in held.values())
+                if size >= SHARD // 2:
+                    yield from flush()
+                    size = 0
+        yield from flush()
 
     return chunked.mapInArrow(run, SLICES)
 
 
-def _sampled(rows: DataFrame, columns: list[str], parts: int) -> list[tuple]:
-    """At most ``parts - 1`` boundaries: quantiles of a sample of ``8 * parts`` rows chosen by hash."""
+def _sampled(rows: DataFrame, columns: list[str], parts: int, weight: str = "1") -> list[tuple]:
+    """At most ``parts - 1`` boundaries: quantiles of a sample of ``8 * parts`` rows, drawn by weight and hash."""
     if parts < 2:
         return []
-    sample = rows.select(*columns).orderBy(F.xxhash64(*columns)).limit(8 * parts).collect()
+    drawn = F.expr(f"ln((pmod(xxhash64({', '.join(columns)}, 7), 2147483647) + 1) / 2147483648D) / ({weight})")
+    sample = rows.orderBy(drawn.desc()).select(*columns).limit(8 * parts).collect()
     keys = sorted(tuple(bytes(x) if isinstance(x, (bytes, bytearray)) else x for x in r) for r in sample)
     return sorted({keys[len(keys) * i // parts] for i in range(1, parts)}) if keys else []
 
@@ -420,12 +567,12 @@ def slice_key(row, end: int):
     return row[0], row[1], bytes(row[end])
 
 
-def common(words: list[list[bytes]]):
-    """``(all words sorted, numbers)``: the numbers of each list's words in the sorted union."""
+def common(words: list):
+    """``(all words sorted, numbers)``: the numbers of each list's (or Arrow array's) words in the sorted union."""
     import numpy as np
     import pyarrow as pa
     sizes = [len(w) for w in words]
-    encoded = pa.array([w for ws in words for w in ws], pa.binary()).dictionary_encode()
+    encoded = pa.concat_arrays([w if isinstance(w, pa.Array) else pa.array(w, pa.binary()) for w in words]).dictionary_encode()
     distinct = encoded.dictionary.to_pylist()
     order = sorted(range(len(distinct)), key=distinct.__getitem__)
     rank = np.empty(len(distinct), np.int64)
@@ -434,6 +581,14 @@ def common(words: list[list[bytes]]):
     return [distinct[i] for i in order], np.split(numbers, np.cumsum(sizes)[:-1])
 
 
+def word_array(data: bytes, ends: bytes):
+    """The words as an Arrow array (a slice's words are far below 2 GB)."""
+    import numpy as np
+    import pyarrow as pa
+    stops = np.concatenate([[0], np.frombuffer(ends, np.int64)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(stops) - 1, [None, pa.py_buffer(stops.tobytes()), pa.py_buffer(data)])
+
+
 def united(slices: DataFrame, bounds: list[tuple], least: int) -> DataFrame:
     """``SLICES``: per range, the union of the transducers with weights summed, phrases below ``least`` left out."""
     def run(key, table):
@@ -443,18 +598,7 @@ def united(slices: DataFrame, bounds: list[tuple], least: int) -> DataFrame:
         for r in table.select(["lang", "k", "words", "word_ends", "automaton"]).to_pylist():
             by.setdefault((r["lang"], r["k"]), []).append(r)
         for (lang, k), rs in sorted(by.items()):
-            own = [words_of(r["words"], r["word_ends"]) for r in rs]
-            words, numbers = common(own)
-            rows, weights = [], []
-            for r, number in zip(rs, numbers):
-                local, counts = paths(load(r["automaton"]))
-                rows.append(number[local])
-                weights.append(counts)
-            rows, weights = np.concatenate(rows), np.concatenate(weights)
-            order = np.lexsort(rows.T[::-1])
-            rows, weights = rows[order], weights[order]
-            new = np.flatnonzero(np.concatenate([[True], np.any(rows[1:] != rows[:-1], axis=1)]))
-            rows, weights = rows[new], np.add.reduceat(weights, new)
+            words, rows, weights = summed([(word_array(r["words"], r["word_ends"]), *paths(load(r["automaton"]))) for r in rs])
             often = weights >= least
             made += slices_of(lang, words, rows[often], weights[often])
         return pa.Table.from_batches(made) if made else table.slice(0, 0).drop_columns(["range"])
@@ -462,56 +606,21 @@ def united(slices: DataFrame, bounds: list[tuple], least: int) -> DataFrame:
     return overlapping(slices, bounds).groupBy("range").applyInArrow(run, SLICES)
 
 
-def frequency_filter(counts: DataFrame) -> bytearray:
-    """A bitmap of ``FILTER_BITS`` bits over the phrases of ``counts``: the tasks' bitmaps, joined block by block."""
-    blocks, block = -(-FILTER_BITS // 8 // FILTER_BLOCK), min(FILTER_BLOCK, FILTER_BITS // 8)
-
-    def mark(batches):
-        import numpy as np
-        import pyarrow as pa
-        bitmap = np.zeros(FILTER_BITS // 8, np.uint8)
-        for batch in batches:
-            for r in batch.to_pylist():
-                rows, _ = paths(load(r["automaton"]))
-                hashes = word_hashes(r["lang"], words_of(r["words"], r["word_ends"]))
-                h = hashes[rows[:, 0]]
-                for c in range(1, rows.shape[1]):
-                    h = joined(h, hashes[rows[:, c]])
-                for p in probes(h, FILTER_BITS):
-                    np.bitwise_or.at(bitmap, p >> 3, np.uint8(1) << (p & 7).astype(np.uint8))
-        for i in range(blocks):
-            part = bitmap[i * block:(i + 1) * block]
-            if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([part.tobytes()], pa.binary())],
-                                                 names=["block", "bits"])
-
-    def either(key, table):
-        import numpy as np
-        import pyarrow as pa
-        bits = np.bitwise_or.reduce([np.frombuffer(b, np.uint8) for b in table.column("bits").to_pylist()])
-        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([bits.tobytes()], pa.binary())})
-
-    marked = counts.select("lang", "words", "word_ends", "automaton").mapInArrow(mark, "block int, bits binary")
-    out = bytearray(FILTER_BITS // 8)
-    for r in marked.groupBy("block").applyInArrow(either, "block int, bits binary").collect():
-        out[r["block"] * block:(r["block"] + 1) * block] = r["bits"]
-    return out
-
-
 def phrase_counts(chunked: DataFrame, longest: int = LONGEST, least: int = LEAST) -> DataFrame:
-    """``SLICES`` of all phrases of 1 to ``longest`` words that occur ``least`` times or more."""
-    spark, bitmap, tables = chunked.sparkSession, None, []
-    for k in range(1, longest + 1):
-        shards = stored(shard_counts(chunked, k, bitmap), f"phrases_{k}")
-        total = shards.agg(F.sum("n")).first()[0] or 0
-        bounds = _sampled(shards, ["lang", "k", "first"], -(-total // RANGE))
-        tables.append(stored(united(shards, bounds, least), f"frequent_{k}"))
-        if k < longest:
-            bitmap = spark.sparkContext.broadcast(bytes(frequency_filter(tables[-1])))
-    out = tables[0]
-    for t in tables[1:]:
-        out = out.unionByName(t)
-    return out
+    """``SLICES`` of all phrases of 2 to ``longest`` words that occur ``least`` times or more, and of their words."""
+    sc, bitmap, sent = chunked.sparkSession.sparkContext, bytearray(FILTER_BITS // 8), None
+    n = chunked.agg(F.sum("n")).first()[0] or 0
+    parts = 1 << (n // PART).bit_length()
+    for k in range(2, longest + 1):
+        if not add_to_filter(bitmap, frequent_hashes(chunked, k, least, parts, sent)):
+            break  # no longer phrase is frequent either
+        sent = sc.broadcast(bytes(bitmap))
+    if sent:
+        add_to_filter(bitmap, part_words(chunked, sent))
+    shards = stored(shard_counts(chunked, longest, sc.broadcast(bytes(bitmap))), "phrases")
+    total = shards.agg(F.sum("n")).first()[0] or 0
+    bounds = _sampled(shards, ["lang", "k", "first"], -(-total // RANGE), "n")
+    return stored(united(shards, bounds, least), "frequent_phrases")
 
 
 # --- part lookups and scores ---------------------------------------------------------------
@@ -550,9 +659,9 @@ def part_counts(asked: DataFrame, counts: DataFrame) -> DataFrame:
     """``asked`` with the count ``f`` of every part, by composition."""
     held = counts.agg(F.sum("n")).first()[0] or 0
     keys = asked.select("lang", "k", F.expr(f"substring(part, 1, {KEY_BYTES})").alias("key"), "phrase")
-    firsts = counts.select("lang", "k", F.col("first").alias("key"), F.lit("").alias("phrase"))
+    firsts = counts.select("lang", "k", F.col("first").alias("key"), F.lit("").alias("phrase"), "n")
     bounds = sorted({*_sampled(keys, keys.columns, -(-asked.count() // REQUESTS)),
-                     *_sampled(firsts, firsts.columns, -(-held // RANGE))})
+                     *_sampled(firsts, firsts.columns[:-1], -(-held // RANGE), "n")})
     schema = "lang string, phrase string, words int, a long, cut int, side int, f long"
 
     def run(key, requests, slices):
@@ -603,7 +712,7 @@ def _ranged_requests(asked: DataFrame, bounds: list[tuple]) -> DataFrame:
 def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, top: int = TOP) -> DataFrame:
     """``(lang, rank, phrase, a, l, r, n, score)``: each language's first ``top`` phrases by score, count and text."""
     spark = docs.sparkSession
-    chunked = stored(chunks(docs), "phrase_chunks")
+    chunked = stored(chunks(docs), "phrase_chunks", "zstd")
     total = chunked.groupBy("lang").agg(F.sum("n").alias("n"))
     counts = phrase_counts(chunked, longest, least)
     wanted = stored(lookups(counts), "part_lookups")

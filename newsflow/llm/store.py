@@ -7,10 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from newsflow.session import shared_path
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet under ``spark.checkpoint.dir`` and read it back (cuts the lineage)."""
     path = shared_path(df.sparkSession, "llm", name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -64,7 +64,7 @@ EDGE = [("en", None), ("en", ""), (None, None), ("fr", " \t "), ("fr", "..,,"),
 def test_against_brute_force(spark, monkeypatch, small):
     if small:  # many chunks, slices, ranges and errors of the filter
         for name, value in (("CHUNK", 500), ("SLICE", 16), ("RANGE", 64), ("REQUESTS", 20), ("BATCH_BYTES", 200),
-                            ("FILTER_BITS", 1 << 10), ("FILTER_BLOCK", 16), ("KEY_BYTES", 3)):
+                            ("FILTER_BITS", 1 << 11), ("PART", 900), ("SHARD", 100), ("HASH_BITS", 12), ("BLOCKS", 2), ("KEY_BYTES", 3)):
             monkeypatch.setattr(op, name, value)
     rows = texts(300) + EDGE
     want = brute(rows, least=6)
