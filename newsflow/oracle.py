@@ -221,6 +221,22 @@ wide AS (SELECT lw.batch_url, lw.line_no, lw.batch_id, {wide_cols}
 SELECT batch_url, line_no, event_date, source_url, themes, locations, persons, organizations, tone_raw
 FROM wide"""
 
+    quoted = {
+        "event_date": (0, "record_id || CASE WHEN line_no % 13 = 0 THEN '\"mid\"' ELSE '' END"),
+        "source_url": (4, "coalesce(source, '') || CASE WHEN line_no % 11 = 0 THEN ' (web)' ELSE '' END"),
+        "themes": (11, "CASE WHEN line_no % 5 = 0 THEN coalesce(persons, '') || chr(9) || 'q\"q\"' || chr(10) || 'next' "
+                       "WHEN line_no % 7 = 0 THEN '' ELSE coalesce(persons, '') END"),
+        "locations": (15, "coalesce(tone_raw, '')"),
+        "persons": (23, "CASE WHEN line_no % 4 = 0 OR line_no % 9 = 0 THEN '' ELSE coalesce(all_names, '') END"),
+        "organizations": (24, "CASE WHEN line_no % 3 = 0 THEN '' ELSE 'n/a too' END"),
+        "tone_raw": (25, "coalesce(tone_raw, '')")}
+    quoted_cols = ", ".join(f"CASE WHEN {i} >= bw THEN NULL WHEN {i} < w THEN {x} ELSE '' END AS {name}"
+                            for name, (i, x) in quoted.items())
+    q["wide_scan_quoted"] = _with(VIEW, f"""
+lw AS (SELECT *, {WIDTH} AS w FROM v),
+bw AS (SELECT batch_url AS b, arg_min(w, line_no) AS bw FROM lw GROUP BY batch_url)
+""") + f"SELECT batch_url, line_no * 4 AS line_no, {quoted_cols} FROM lw JOIN bw ON batch_url = b WHERE w <= bw"
+
     polarity_raw = ("(TRY_CAST(split_part({t}, ',', 1) AS DOUBLE) - abs(TRY_CAST(nullif(split_part({t}, ',', 2), '') AS DOUBLE)))")
     q["legacy_records"] = wide + """,
 lr AS (

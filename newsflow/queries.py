@@ -26,7 +26,7 @@ from newsflow.schemas import (
     GKG_COLUMNS, LEGACY_PRODUCER_COLUMNS, LIST_COLUMNS, TEXT_COLUMNS, WIRE_SCHEMA,
 )
 from newsflow.sources import manifest as manifest_src
-from newsflow.sources.tables import gkg_view, landed_lines, manifest_lines, read_table
+from newsflow.sources.tables import gkg_view, landed_lines, manifest_lines, quoted_lines, read_table
 
 GKG_NAMES = list(GKG_COLUMNS.values())
 DAY_MS = 86_400_000
@@ -67,6 +67,11 @@ def q_wide_scan_skip_bad(spark, sf_dir):
     return legacy.wide_scan_skip_bad(lines, LEGACY_PRODUCER_COLUMNS, "batch_url", "line_no")
 
 
+def q_wide_scan_quoted(spark, sf_dir):
+    """SRC-5 + PRJ-18 with the legacy reader's quotes and missing values."""
+    return legacy.wide_scan_quoted(quoted_lines(spark, sf_dir), LEGACY_PRODUCER_COLUMNS, "batch_url", "line_no")
+
+
 def q_manifest_parse(spark, sf_dir):
     """SRC-7 + FLT-6: latest URL per kind in each manifest."""
     return manifest_src.latest_urls(manifest_lines(spark, sf_dir), "manifest", "line_no")
@@ -323,6 +328,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gkg_project": q_gkg_project,
     "ragged_fields": q_ragged_fields,
     "wide_scan_skip_bad": q_wide_scan_skip_bad,
+    "wide_scan_quoted": q_wide_scan_quoted,
     "manifest_parse": q_manifest_parse,
     "manifest_first": q_manifest_first,
     "parse_compact_ts": q_parse_compact_ts,

@@ -141,6 +141,25 @@ def line_width() -> Column:
                       F.lit(GKG_WIDTH))
 
 
+def quoted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw lines ``(line_no, batch_url, batch_id, value)`` with quoted fields, some over two lines, and missing-value texts.
+
+    Every event is one record of its event type's width; its lines are numbered from four times its id.
+    """
+    v = gkg_view(spark, sf_dir)
+    fields = gkg_fields(v, max(WIDTH_BY_EVENT_TYPE.values()))
+    n, quote = F.col("line_no"), lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    fields[0] = F.when(n % 13 == 0, F.concat(fields[0], F.lit('"mid"'))).otherwise(fields[0])
+    fields[4] = F.when(n % 11 == 0, F.concat(quote(fields[4]), F.lit(" (web)"))).otherwise(fields[4])
+    fields[11] = (F.when(n % 5 == 0, quote(F.concat(fields[11], F.lit('\tq"q"\nnext')))).when(n % 7 == 0, F.lit("NA"))
+                  .otherwise(fields[11]))
+    fields[23] = F.when(n % 4 == 0, F.lit('""')).when(n % 9 == 0, F.lit('"N/A"')).otherwise(fields[23])
+    fields[24] = F.when(n % 3 == 0, F.lit("null")).otherwise(F.lit("n/a too"))
+    value = F.array_join(F.slice(F.array(*fields), 1, line_width()), "\t")
+    lines = v.select("line_no", "batch_url", "batch_id", F.posexplode(F.split(value, "\n", -1)).alias("__i", "value"))
+    return lines.select((F.col("line_no") * 4 + F.col("__i")).alias("line_no"), "batch_url", "batch_id", "value")
+
+
 MANIFEST_KINDS = ("export", "mentions", "gkg")
 
 
