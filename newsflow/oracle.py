@@ -391,6 +391,12 @@ FROM events"""
     q["stream_job"] = "SELECT * EXCLUDE (batch_id) FROM (" + q["output_rows"] + ") o"
     q["stream_dedup"] = _with(VIEW, RECORDS) + \
         "SELECT DISTINCT url FROM recs WHERE url IS NOT NULL AND TRY_CAST(event_time AS TIMESTAMP) IS NOT NULL"
+    q["stream_dedup_bounded"] = _with(VIEW, RECORDS) + "SELECT DISTINCT url FROM recs WHERE url IS NOT NULL"
+    q["drop_seen_indexed"] = _with(VIEW, """
+k AS (SELECT concat_ws('#', url, substr(raw_date, 9, 2)) AS key, batch_id FROM v WHERE url IS NOT NULL),
+m AS (SELECT floor((min(batch_id) + max(batch_id)) / 2) AS middle FROM k)""") + """
+SELECT DISTINCT key FROM k, m WHERE batch_id > middle
+  AND key NOT IN (SELECT key FROM k, m WHERE batch_id <= middle)"""
     q["write_partitioned"] = q["output_rows"]
     q["idempotent_sink"] = q["output_rows"]
     q["stream_ingest"] = _with(VIEW, RECORDS) + """

@@ -235,6 +235,21 @@ def q_new_files(spark, sf_dir):
     return dedup.drop_seen(announced, published, ["batch_url"])
 
 
+def q_drop_seen_indexed(spark, sf_dir):
+    """DUP-2 / DUP-3 over an indexed history: keys (URL and hour) of the later half of the days that no
+    earlier day holds. Every earlier day is one part of the history."""
+    from newsflow.operators.history import KeyHistory
+    from newsflow.session import shared_path
+    v = _view(spark, sf_dir).filter("url IS NOT NULL").select(
+        F.concat_ws("#", "url", F.substring("raw_date", 9, 2)).alias("key"), "batch_id")
+    days = v.agg(F.min("batch_id").alias("lo"), F.max("batch_id").alias("hi")).withColumn(
+        "middle", F.floor((F.col("lo") + F.col("hi")) / 2))
+    v = v.crossJoin(F.broadcast(days.select("middle")))
+    history = KeyHistory(spark, shared_path(spark, "history"))
+    history.append(v.filter("batch_id <= middle"), "key", F.col("batch_id").cast("string"))
+    return history.drop_seen(v.filter("batch_id > middle").select("key").distinct(), "key")
+
+
 def q_output_rows(spark, sf_dir):
     """PRJ-16 over the stream path in batch form: wire parse, dedup per batch, label, 12 columns."""
     from newsflow.streaming.job import consume_records
@@ -355,6 +370,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_lineage": q_batch_lineage,
     "batch_status": q_batch_status,
     "new_files": q_new_files,
+    "drop_seen_indexed": q_drop_seen_indexed,
     "output_rows": q_output_rows,
     "publish_json": q_publish_json,
     "legacy_records": q_legacy_records,
@@ -469,6 +485,25 @@ def q_stream_dedup(spark, sf_dir):
     return spark.read.parquet(out).select("url")
 
 
+def q_stream_dedup_bounded(spark, sf_dir):
+    """DUP-2 with the legacy loop's bound by count: no bucket is full here, so every URL passes once.
+    Which record of a URL comes first depends on the file order, so the result is the URLs."""
+    from newsflow.session import shared_path
+    from newsflow.streaming.dedup import dedup_bounded, use_rocksdb
+    from newsflow.streaming.job import parse_wire, stream_source
+    src = _stream_input(spark, sf_dir)
+    out, ckpt = shared_path(spark, "stream_bounded"), shared_path(spark, "stream_bounded_ckpt")
+    provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    use_rocksdb(spark)
+    recs = parse_wire(stream_source(spark, "files", {"maxFilesPerTrigger": 8}, path=src))
+    recs = recs.dropna(subset=["url"]).select("url", "record_id", "batch_url")
+    q = (dedup_bounded(recs, "url", ["batch_url", "record_id"]).writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination()
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", provider)
+    return spark.read.parquet(out).select("url")
+
+
 def q_preprocess_features(spark, sf_dir):
     """JOB-2 with the model (ML-5 .. ML-9): fit TF-IDF on the cleaned text, save a version, load, score;
     the vectors are checked on their number of terms."""
@@ -492,5 +527,6 @@ QUERIES.update({
     "stream_ingest": q_stream_ingest,
     "stream_job": q_stream_job,
     "stream_dedup": q_stream_dedup,
+    "stream_dedup_bounded": q_stream_dedup_bounded,
     "preprocess_features": q_preprocess_features,
 })
