@@ -1,17 +1,14 @@
 """Zip archives of one CSV member (SRC-6), re-aimed as a distributed scan.
 
-Reading: the ``binaryFile`` source lists the archives (only ``path`` is
-selected, so Spark does not load the bytes into the JVM); ``mapInPandas`` opens
-each archive through ``pyarrow.fs`` and streams the lines of its first ``.csv``
-member in bounded chunks. A zip member is not splittable, so one archive is one
-task; ``spread`` repartitions the lines afterwards so the work downstream of a
-large archive is shared.
+Reading: the ``zip_lines`` data source lists the archives, plans its partitions from
+their sizes and streams the lines of each archive's first ``.csv`` member in bounded chunks
+through ``pyarrow.fs``. A zip member is not splittable, so a large archive is one task;
+``spread`` repartitions the lines afterwards so the work downstream of it is shared.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 LINE_SCHEMA = "archive string, member string, line_no long, value string, first_width int"
 WRITE_SCHEMA = "archive string, lines long"
@@ -72,30 +69,19 @@ def _worker_helpers():
 
 def read_archives(spark: SparkSession, path: str, member_suffix: str = ".csv",
                   chunk_rows: int = 50_000, spread: int | None = None,
-                  only_names: DataFrame | None = None) -> DataFrame:
+                  only_names: DataFrame | None = None, target_bytes: int | None = None) -> DataFrame:
     """``(archive, member, line_no, value, first_width)`` for every line of the first ``member_suffix`` member.
 
     ``first_width`` is the number of tab-separated fields of the member's first line that is not
     blank (NULL on the lines before it). ``only_names`` (a column ``archive_name``: file names)
-    restricts the scan to those archives before any is opened (a semi-join on the listing).
-    The paths are then dealt out one archive a partition: a listing of few bytes would
-    otherwise be coalesced into one task that unzips every archive.
+    restricts the scan to those archives before any is opened.
+    Tasks are planned from the archives' sizes (``archive_source``): an archive of ``target_bytes`` or more is
+    alone in its task, small ones share one. The names of one pass and the listing of files come to the driver.
     """
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.zip")
-             .option("recursiveFileLookup", "true").load(path).select("path"))
-    if only_names is not None:
-        files = (files.withColumn("archive_name", F.element_at(F.split("path", "/"), -1))
-                 .join(only_names.select("archive_name"), "archive_name", "left_semi").select("path"))
-        files = files.repartition(max(1, only_names.count()), "path")
-
-    _, archive_lines = _worker_helpers()
-
-    def unzip(batches):
-        for pdf in batches:
-            for uri in pdf["path"]:
-                yield from archive_lines(uri, member_suffix, chunk_rows)
-
-    out = files.mapInPandas(unzip, LINE_SCHEMA)
+    from newsflow.sources.archive_source import read_zip_lines
+    only = None if only_names is None else [r.archive_name for r in only_names.select("archive_name").distinct().collect()]
+    options = {} if target_bytes is None else {"target_bytes": target_bytes}
+    out = read_zip_lines(spark, path, only, member_suffix=member_suffix, chunk_rows=chunk_rows, **options)
     return out.repartition(spread) if spread else out
 
 
