@@ -12,7 +12,8 @@
 4. *Recompute and merge*: surviving pairs get their double-precision product from the
    original vectors; a tile's k best per query go on, and heaps merge the tiles'.
 
-The result is exact: bounds only drop pairs that cannot be in it.
+The result is exact at every scale: bounds only drop pairs that cannot be in it, and a pair whose bounds
+overflow is recomputed. A score that overflows is infinite; one that is not a number comes last.
 
 Defined results: rows whose id is NULL, or whose vector is NULL, empty, all zero or
 holds a NULL or non-finite component take no part; vectors of different length are
@@ -88,7 +89,13 @@ def quantised(vectors):
     scale[scale == 0] = 1.0  # a subnormal maximum
     q = np.clip(np.rint(vectors / scale[:, None]), -127, 127).astype(np.int8)
     back = q * scale[:, None]
-    norm = lambda m: np.sqrt((m * m).sum(axis=1))
+
+    def norm(m):  # in units of the row's largest component: squares neither overflow nor vanish
+        most = np.abs(m).max(axis=1)
+        most[most == 0] = 1.0
+        part = m / most[:, None]
+        return most * np.sqrt((part * part).sum(axis=1))
+
     return q.astype(np.float32), scale, norm(vectors), norm(back), norm(vectors - back)
 
 
@@ -102,15 +109,19 @@ def tile_best(queries, query_rows, candidates, candidate_rows, ids, k: int, step
     for at in range(0, len(queries), step):
         x = queries[at:at + step]
         qq, qs, qn, qb, qe = quantised(x)
-        score = (qq.astype(exact) @ cq).astype(np.float64) * qs[:, None] * cs
-        slack = (qe[:, None] * cn + qb[:, None] * ce) * (1 + 1e-9) + 1e-12 * qn[:, None] * cn
+        with np.errstate(all="ignore"):  # what overflows has no bound and is recomputed
+            score = (qq.astype(exact) @ cq).astype(np.float64) * qs[:, None] * cs
+            slack = ((qe[:, None] * cn + qb[:, None] * ce) * (1 + 1e-9) + 1e-12 * qn[:, None] * cn
+                     + candidates.shape[1] * 1e-322)
+            high, low = score + slack, score - slack
         own = query_rows[at:at + step][:, None] == candidate_rows
-        low = np.where(own, -np.inf, score - slack)
+        low = np.where(own | ~np.isfinite(low), -np.inf, low)
         floor = np.partition(low, -k, axis=1)[:, -k] if low.shape[1] > k else np.full(len(x), -np.inf)
-        which, cand = np.nonzero((score + slack >= floor[:, None]) & ~own)
+        which, cand = np.nonzero(((high >= floor[:, None]) | ~np.isfinite(score) | ~np.isfinite(slack)) & ~own)
         for a in range(0, len(which), 1 << 16):
             w, c = which[a:a + (1 << 16)], cand[a:a + (1 << 16)]
-            found.append((w + at, c, (x[w] * candidates[c]).sum(axis=1)))
+            with np.errstate(all="ignore"):
+                found.append((w + at, c, (x[w] * candidates[c]).sum(axis=1)))
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
     which, cand, score = map(np.concatenate, zip(*found))
@@ -161,7 +172,7 @@ def nearest(rows: DataFrame, id_col: str, vector_col: str, query_every: int, k:
                 yield from zip(*(c.to_pylist() for c in batch.columns))
 
         for _, run in groupby(rows_of(), key=lambda r: r[0]):
-            top = nsmallest(k, run, key=lambda r: (-r[3], r[2]))
+            top = nsmallest(k, run, key=lambda r: (r[3] != r[3], -r[3] if r[3] == r[3] else 0, r[2]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[1] for r in top], pa.int64()), pa.array(range(1, len(top) + 1), pa.int32()),
                  pa.array([r[2] for r in top], pa.int64()), pa.array([r[3] for r in top], pa.float64())],
