@@ -450,6 +450,21 @@ def q_stream_ingest(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+def q_stream_feed(spark, sf_dir):
+    """SRC-7 + SRC-9 + SRC-6 as a stream: one archive per batch, each announced by a manifest, published once."""
+    from newsflow.session import shared_path
+    from newsflow.sources.archives import write_archives
+    from newsflow.streaming.feed import feed_stream
+    arc, man, out = (shared_path(spark, f"feed_{d}") for d in ("archives", "manifests", "out"))
+    made = write_archives(landed_lines(spark, sf_dir).repartition("batch_url"), arc, "batch_url", "line_no")
+    (made.select(F.md5("archive").alias("m"), F.concat(F.lit("0 0 "), "archive").alias("value"))
+     .write.partitionBy("m").text(man))
+    q = (feed_stream(spark, man, arc).writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", shared_path(spark, "feed_ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return normalize.project_lines(spark.read.parquet(out), keep=("member",))
+
+
 def q_stream_job(spark, sf_dir):
     """JOB-3: the micro-batch job over a file stream (one batch file per trigger), idempotent output, read
     back without the stream's own run and batch numbers."""
@@ -525,6 +540,7 @@ QUERIES.update({
     "write_partitioned": q_write_partitioned,
     "idempotent_sink": q_idempotent_sink,
     "stream_ingest": q_stream_ingest,
+    "stream_feed": q_stream_feed,
     "stream_job": q_stream_job,
     "stream_dedup": q_stream_dedup,
     "stream_dedup_bounded": q_stream_dedup_bounded,
