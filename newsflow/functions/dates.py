@@ -44,7 +44,8 @@ def compact_to_iso(c, strict: bool = False) -> Column:
     else:
         fields = [F.lpad(F.trim(F.regexp_extract(head, COMPACT_FIELDS, i)), 4 if i == 1 else 2, "0")
                   for i in range(1, 7)]
-        full = F.when(head.rlike(COMPACT_FIELDS), F.concat(*fields))
+        # 14 digits can only be read as they stand; the fields are picked out of the rest.
+        full = F.when(head.rlike("^[0-9]{14}$"), head).when(head.rlike(COMPACT_FIELDS), F.concat(*fields))
     return F.date_format(F.try_to_timestamp(full, F.lit(COMPACT_TS_FORMAT)), ISO_TS_FORMAT)
 
 

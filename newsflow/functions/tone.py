@@ -60,7 +60,8 @@ def round_exact(value: Column, digits: int = 3) -> Column:
 
     ``F.round`` rounds the shortest decimal text: 1.0005 (below the tie in binary) goes up
     there. The number is split into two halves whose products with ``10 ** digits`` are
-    exact, so the comparison with the tie is exact too.
+    exact, so the comparison with the tie is exact too. From ``2 ** 53 / 10 ** digits`` on, neighbouring
+    doubles lie so far apart that rounding changes nothing.
     """
     scale = float(10 ** digits)
     a = F.abs(value)
@@ -71,7 +72,7 @@ def round_exact(value: Column, digits: int = 3) -> Column:
     over = ((high * scale - q) - 0.5) + low * scale
     up = (over > 0) | ((over == 0) & (q % 2.0 == 1.0))
     rounded = (q + F.when(up, 1.0).otherwise(0.0)) / scale
-    return F.when((a < 1e12) & ~F.isnan(value), F.when(value < 0, -rounded).otherwise(rounded)).otherwise(value)
+    return F.when((a < 2.0 ** 53 / scale) & ~F.isnan(value), F.when(value < 0, -rounded).otherwise(rounded)).otherwise(value)
 
 
 def polarity_score(c, digits: int = 3) -> Column:
