@@ -37,7 +37,8 @@ URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.
 
 def op8_url_filter(spark, sf_dir):
     from newsflow.llm.url_filter import url_verdicts
-    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    rules = spark.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(h).alias("host"), F.lit(p).alias("path"), F.lit(v).alias("verdict")) for h, p, v in URL_RULES])))
     return url_verdicts(table(spark, sf_dir, "pages").select("page_id", "url"), rules).select(
         "page_id", "host", "path", "rule", "verdict")
 
