@@ -392,6 +392,7 @@ FROM events"""
     q["stream_dedup"] = _with(VIEW, RECORDS) + \
         "SELECT DISTINCT url FROM recs WHERE url IS NOT NULL AND TRY_CAST(event_time AS TIMESTAMP) IS NOT NULL"
     q["stream_dedup_bounded"] = _with(VIEW, RECORDS) + "SELECT DISTINCT url FROM recs WHERE url IS NOT NULL"
+    q["idf_refit"] = "SELECT count(*) AS n_docs, 0::BIGINT AS other_counts, 0::BIGINT AS other_weights FROM documents"
     q["stream_feed"] = q["zip_scan"]
     q["drop_seen_indexed"] = _with(VIEW, """
 k AS (SELECT concat_ws('#', url, substr(raw_date, 9, 2)) AS key, batch_id FROM v WHERE url IS NOT NULL),

@@ -534,7 +534,24 @@ def q_preprocess_features(spark, sf_dir):
     return scored.select("record_id", "url", "sentiment_label", counted.cast("long").alias("n_terms"))
 
 
+def q_idf_refit(spark, sf_dir):
+    """AGG-4 + ML-4: counts kept per batch (the document's source), one batch written twice, merged into a model and
+    held against ``IDF.fit`` on all documents: the hashed terms whose frequency or weight differs."""
+    from newsflow.operators.idf_state import IdfState
+    from newsflow.session import shared_path
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "source")
+    state, batch = IdfState(spark, shared_path(spark, "idf_state")), F.coalesce("source", F.lit("none"))
+    state.add(docs, batch)
+    state.add(docs, batch)  # a replay
+    mine, fitted = state.model(), text.build_ml_pipeline().fit(docs).stages[-1]
+    pairs = zip(mine.docFreq, fitted.docFreq, mine.idf.toArray().tolist(), fitted.idf.toArray().tolist())
+    found = spark.createDataFrame(list(pairs), "f long, g long, w double, v double")
+    return found.agg(F.lit(mine.numDocs).cast("long").alias("n_docs"), F.count_if(F.col("f") != F.col("g")).alias("other_counts"),
+                     F.count_if(F.abs(F.col("w") - F.col("v")) > 1e-12).alias("other_weights"))
+
+
 QUERIES.update({
+    "idf_refit": q_idf_refit,
     "scan_gkg": q_scan_gkg,
     "zip_scan": q_zip_scan,
     "write_partitioned": q_write_partitioned,
