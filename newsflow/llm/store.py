@@ -5,13 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from newsflow.session import shared_path
+from newsflow.sinks.parquet import delete_path
 
 
-def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
-    """Write ``df`` as Parquet under ``spark.checkpoint.dir`` and read it back (cuts the lineage)."""
-    path = shared_path(df.sparkSession, "llm", name)
+def stored(df: DataFrame, name: str, compression: str | None = None, bucket: tuple[int, str] | None = None) -> DataFrame:
+    """Write ``df`` as Parquet under ``spark.checkpoint.dir`` and read it back (cuts the lineage).
+
+    ``bucket``: ``(files, column)`` of a bucketed table, whose grouping by that column needs no shuffle.
+    """
+    spark = df.sparkSession
+    path = shared_path(spark, "llm", name)
+    if bucket:
+        table = f"newsflow_{name}_{path.rsplit('/', 1)[-1]}"
+        (df.write.bucketBy(*bucket).option("path", path).option("compression", compression or "snappy")
+         .format("parquet").saveAsTable(table))
+        return spark.table(table)
     df.write.mode("overwrite").parquet(path, compression=compression)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a ``stored`` table that no later step reads."""
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        delete_path(df.sparkSession, folder)
 
 
 def width(spark: SparkSession) -> int:

@@ -36,8 +36,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsflow.llm.store import stored, width
-from newsflow.llm.word_ids import slices, strings
+from newsflow.llm.store import discard, stored
+from newsflow.llm.word_ids import strings
 
 LENGTH = 50
 GRAM = 16
@@ -46,8 +46,13 @@ CUT_BITS = 3
 WORD = 6
 LAST = (1 << 63) - 1
 RUN = "ord long, row long, pos int"
-#: Repeated kept strings go to the tasks as one array up to this many bytes, else by a join.
-MOST_SHARED = 64 << 20
+#: Bytes of texts per file, and per part of the kept strings; bytes of texts that are cut together.
+PART_BYTES = 16 << 20
+BUCKET_BYTES = 2 << 20
+#: Spark's limit for the files of a bucketed table.
+MOST_FILES = 100_000
+#: Bytes of distinct pieces whose runs are sorted together.
+SORTED_BYTES = 1 << 20
 #: Kept strings with more runs than this (counted from two in a batch on) are compared by aggregations.
 MOST_RUNS = 20_000
 #: Bytes of pieces that are winnowed at once.
@@ -92,64 +97,85 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.xxhash64(F.col(id_col), text).alias("row"), text.alias("text"))
 
 
-def shared_grams(keyed: DataFrame) -> DataFrame:
-    """``(part, grams)``: the kept strings' hashes (sorted, packed) that occur in two texts or more, a written table."""
-    parts = 4 * width(keyed.sparkSession)
+def bucketed(keyed: DataFrame) -> tuple[DataFrame, int]:
+    """The texts as a written table, bucketed by ``bucket`` (about ``BUCKET_BYTES`` of texts have one), and how many
+    files it has. Whatever is found out about a bucket's texts later joins them without moving them again."""
+    size = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    files = min(MOST_FILES, 1 + size // PART_BYTES)
+    dealt_out = keyed.withColumn("bucket", F.pmod("row", F.lit(1 + size // BUCKET_BYTES)))
+    return stored(dealt_out.repartition(files, "bucket"), "suffix_texts", "zstd", bucket=(files, "bucket")), files
 
+
+def _code(kept, parts):
+    """A kept string's part (upper half) and its 32-bit fingerprint there; a part has about a million."""
+    import numpy as np
+    return (kept >> np.uint64(32)) % np.uint64(parts) << np.uint64(32) | kept & np.uint64(0xFFFFFFFF)
+
+
+def shared_grams(texts: DataFrame, parts: int) -> DataFrame:
+    """``(bucket, part, grams)``: of each bucket's kept strings the fingerprints that occur in two texts or more."""
     def fingerprints(batches):
         import numpy as np
         import pyarrow as pa
         for batch in batches:
-            texts = strings(batch.column(0))
-            for a, b in slices(texts):
-                own = [_kept_once(data) for data in _bytes(texts.slice(a, b - a)) if len(data) >= LENGTH]
+            buckets, data = batch.column(0).to_numpy(), strings(batch.column(1))
+            edge = [0, *(np.flatnonzero(np.diff(buckets)) + 1).tolist(), len(buckets)]
+            for low, high in zip(edge, edge[1:]):
+                own = [_kept_once(d) for d in _bytes(data.slice(low, high - low)) if len(d) >= LENGTH]
                 if not own:
                     continue
-                grams, count = np.unique(np.concatenate(own), return_counts=True)
-                part = ((grams >> np.uint64(32)) % np.uint64(parts)).astype(np.int32)
-                order = np.argsort(part, kind="stable")
-                grams, count, part = grams[order], count[order], part[order]
-                which, start = np.unique(part, return_index=True)
-                stop = np.append(start[1:], len(part))
+                codes, count = np.unique(_code(np.concatenate([np.unique(o) for o in own]), parts), return_counts=True)
+                codes = np.repeat(codes, np.minimum(count, 2))
+                which, start = np.unique(codes >> np.uint64(32), return_index=True)
+                stop = np.append(start[1:], len(codes)).tolist()
+                short = codes.astype(np.uint32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(which), pa.array([grams[i:j][count[i:j] == 1].tobytes() for i, j in zip(start, stop)]),
-                     pa.array([grams[i:j][count[i:j] > 1].tobytes() for i, j in zip(start, stop)])],
-                    names=["part", "once", "more"])
+                    [pa.array(np.full(len(which), buckets[low])), pa.array(which.astype(np.int32)),
+                     pa.array([short[i:j].tobytes() for i, j in zip(start.tolist(), stop)], pa.binary())],
+                    names=["bucket", "part", "grams"])
 
     def repeated(table):
         import numpy as np
         import pyarrow as pa
-        once = np.frombuffer(b"".join(table.column("once").to_pylist()), np.uint64)
-        more = np.frombuffer(b"".join(table.column("more").to_pylist()), np.uint64)
-        grams, count = np.unique(np.concatenate((once, more, more)), return_counts=True)
-        return pa.table({"part": pa.array([table.column("part")[0].as_py()], pa.int32()),
-                         "grams": pa.array([grams[count > 1].tobytes()], pa.binary())})
+        each = [np.frombuffer(g, np.uint32) for g in table.column("grams").to_pylist()]
+        grams, count = np.unique(np.concatenate(each), return_counts=True)
+        grams = grams[count > 1]
+        own = [np.unique(g[_found(g, grams)]).tobytes() for g in each]
+        return pa.table({"bucket": table.column("bucket"), "part": table.column("part"),
+                         "grams": pa.array(own, pa.binary())})
 
-    found = keyed.select("text").mapInArrow(fingerprints, "part int, once binary, more binary")
-    return stored(found.groupBy("part").applyInArrow(repeated, "part int, grams binary"), "suffix_grams")
+    schema = "bucket long, part int, grams binary"
+    found = texts.select("bucket", "text").mapInArrow(fingerprints, schema)
+    return found.groupBy("part").applyInArrow(repeated, schema).filter("length(grams) > 0")
 
 
 def _kept_once(data):
     import numpy as np
     kept = winnowed(data)
-    return np.unique(kept[np.append(True, kept[1:] != kept[:-1])])
+    return kept[np.append(True, kept[1:] != kept[:-1])]
 
 
-def _among(kept, grams):
+def _found(values, known):
+    """Which of ``values`` are in the sorted array ``known``."""
+    import numpy as np
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
+def _among(kept, grams, parts=None):
     """Which of ``kept`` are in the sorted array ``grams`` (looked up once per run of equal values)."""
     import numpy as np
     first = np.append(True, kept[1:] != kept[:-1])
-    values = kept[first]
-    at = np.searchsorted(grams, values)
-    return (grams[np.minimum(at, len(grams) - 1)] == values)[np.cumsum(first) - 1] if len(grams) else np.zeros(
-        len(kept), bool)
+    values = kept[first] if parts is None else _code(kept[first], parts)
+    return _found(values, grams)[np.cumsum(first) - 1]
 
 
-def _cut(data, grams):
+def _cut(data, grams, parts):
     """``(position, bytes)`` of the pieces of one text whose kept strings are among ``grams``."""
     import numpy as np
     kept = winnowed(data)
-    start = _among(kept, grams)
+    start = _among(kept, grams, parts)
     # A run's kept string changes and the new one's hash ends in zeros: a cut set by content.
     cut = np.append(False, kept[1:] != kept[:-1]) & (kept & np.uint64((1 << CUT_BITS) - 1) == 0)
     edge = np.flatnonzero(np.diff(np.concatenate(([0], start.view(np.int8), [0]))))
@@ -160,77 +186,52 @@ def _cut(data, grams):
                 yield at, data[at:min(at + PIECE, high) + LENGTH - 1].tobytes()
 
 
-def pieces(keyed: DataFrame) -> DataFrame:
-    """``(ord, row, pos, data)``: overlapping pieces that hold every run of bytes that two documents may share."""
-    shared = shared_grams(keyed)
-    texts = keyed.select("ord", "row", "text")
-    held = None
-    if (shared.agg(F.sum(F.length("grams"))).first()[0] or 0) <= MOST_SHARED:
-        import numpy as np
-        packed = b"".join(bytes(r["grams"]) for r in shared.select("grams").collect())
-        held = keyed.sparkSession.sparkContext.broadcast(np.sort(np.frombuffer(packed, np.uint64)))
-        texts = texts.withColumn("grams", F.lit(None).cast("array<bigint>"))
-    else:
-        texts = texts.dropDuplicates(["ord", "row"]).join(_grams_by_join(keyed, shared), ["ord", "row"])
-
-    def cut(batches):
-        import numpy as np
-        import pyarrow as pa
-        for batch in batches:
-            texts, grams = strings(batch.column(2)), batch.column(3)
-            out = [], [], []
-            for i, data in enumerate(_bytes(texts)):
-                if len(data) >= LENGTH:
-                    known = held.value if held is not None else np.sort(grams[i].values.to_numpy().view(np.uint64))
-                    for at, piece in _cut(data, known):
-                        for column, value in zip(out, (i, at, piece)):
-                            column.append(value)
-            which = pa.array(out[0], pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(which), batch.column(1).take(which), pa.array(out[1], pa.int32()),
-                 pa.array(out[2], pa.binary())], names=["ord", "row", "pos", "data"])
-
-    return texts.select("ord", "row", "text", "grams").mapInArrow(cut, RUN + ", data binary")
-
-
-def _grams_by_join(keyed: DataFrame, shared: DataFrame) -> DataFrame:
-    """``(ord, row, grams)``: each text's repeated kept strings, where they are too many for one array."""
-    def unpack(batches):
+def pieces(texts: DataFrame, parts: int) -> DataFrame:
+    """``(bucket, ord, row, pos, data)``: overlapping pieces that hold every run of bytes that two documents may share."""
+    def cut(own, shared):
         import numpy as np
         import pyarrow as pa
-        for batch in batches:
-            for grams in batch.column(0).to_pylist():
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(grams, np.int64))], names=["gram"])
+        known = [np.uint64(p) << np.uint64(32) | np.frombuffer(g, np.uint32).astype(np.uint64)
+                 for p, g in zip(shared.column("part").to_pylist(), shared.column("grams").to_pylist())]
+        known = np.unique(np.concatenate(known)) if known else np.zeros(0, np.uint64)
+        out = [], [], []
+        for i, data in enumerate(_bytes(own.column("text"))):
+            if len(known) and len(data) >= LENGTH:
+                for at, piece in _cut(data, known, parts):
+                    for column, value in zip(out, (i, at, piece)):
+                        column.append(value)
+        which = pa.array(out[0], pa.int64())
+        return pa.table([*[own.column(c).take(which) for c in ("bucket", "ord", "row")], pa.array(out[1], pa.int32()),
+                         pa.array(out[2], pa.binary())], names=["bucket", "ord", "row", "pos", "data"])
+
+    shared = shared_grams(texts, parts).groupBy("bucket")
+    return (texts.select("bucket", "ord", "row", "text").groupBy("bucket").cogroup(shared)
+            .applyInArrow(cut, "bucket long, " + RUN + ", data binary"))
+
+
+def ranked(values):
+    """Each value's place among the distinct ones, from 0."""
+    import numpy as np
+    order = np.argsort(values)
+    by = values[order]
+    out = np.empty(len(order), dtype=np.int64)
+    out[order] = np.cumsum(np.append(False, by[1:] != by[:-1])[:len(by)])
+    return out
 
-    def each(batches):
-        import numpy as np
-        import pyarrow as pa
-        for batch in batches:
-            for i, data in enumerate(_bytes(strings(batch.column(2)))):
-                if len(data) >= LENGTH:
-                    own = _kept_once(data).view(np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(own), *[pa.array(np.full(len(own), batch.column(k)[i].as_py())) for k in (0, 1)]],
-                        names=["gram", "ord", "row"])
 
-    grams = shared.select("grams").mapInArrow(unpack, "gram long")
-    owned = keyed.select("ord", "row", "text").mapInArrow(each, "gram long, ord long, row long")
-    return owned.join(grams, "gram").groupBy("ord", "row").agg(F.collect_set("gram").alias("grams"))
+def joined_keys(a, b):
+    """One integer per pair that orders as ``(a, b)`` does; values that are too wide give way to their places."""
+    bits = lambda x: int(x.max(initial=0)).bit_length()
+    if bits(a) + bits(b) > 62:
+        a = ranked(a)
+    if bits(a) + bits(b) > 62:
+        b = ranked(b)
+    return a << bits(b) | b
 
 
 def names_of(a, b, c):
     """The places of the triples ``(a, b, c)`` in their sorted order; equal triples share one."""
-    import numpy as np
-    order = np.lexsort((c, b, a))
-    new = np.ones(len(order), dtype=bool)
-    for x in (a, b, c):
-        if x is a:
-            new[1:] = a[order][1:] != a[order][:-1]
-        else:
-            new[1:] |= x[order][1:] != x[order][:-1]
-    out = np.empty(len(order), dtype=np.int64)
-    out[order] = np.cumsum(new) - 1
-    return out
+    return ranked(joined_keys(joined_keys(a, b), c))
 
 
 def covered_starts(runs: list, ords):
@@ -248,13 +249,15 @@ def covered_starts(runs: list, ords):
     for k in range(WORD):
         word = word * 257 + data[k:k + len(word)]
     inside = place - np.repeat(start, size)
-    at = place[inside % 3 != 0]
-    # Sort the sampled triples of words, then of their names.
-    names = np.full(len(data), -1, dtype=np.int64)
+    ahead = np.repeat(size, size) - LENGTH - inside
+    # Sort the sampled triples of words, then of their names, as far as a suffix of full length reaches.
+    names = np.zeros(len(data), dtype=np.int64)
+    at = place[(inside % 3 != 0) & (ahead >= -32)]
     names[at] = names_of(word[at], word[at + WORD], word[at + 2 * WORD])
+    at = place[(inside % 3 != 0) & (ahead >= -2)]
     names[at] = names_of(names[at], names[at + 18], names[at + 30])
     # Merge all suffixes under the offsets at which they reach a sampled one; equal ones are neighbours.
-    full = inside <= np.repeat(size, size) - LENGTH
+    full = ahead >= 0
     at, residue = place[full], inside[full] % 3
     own = np.repeat(ords, size)[full]
     out = np.zeros(len(data), dtype=bool)
@@ -266,10 +269,11 @@ def covered_starts(runs: list, ords):
         ends = np.zeros(len(p), dtype=np.int64)
         for k in (*range(offset), *range(offset + 48, LENGTH)):
             ends = ends * 257 + data[p + k]
-        order = np.lexsort((ids, names[p + offset], ends))
-        e, m, i = ends[order], names[p + offset][order], ids[order]
-        new = np.append(True, (e[1:] != e[:-1]) | (m[1:] != m[:-1]))
-        smallest = i[np.flatnonzero(new)][np.cumsum(new) - 1]
+        key = joined_keys(ends, names[p + offset])
+        order = np.argsort(key)
+        by, i = key[order], ids[order]
+        new = np.append(True, by[1:] != by[:-1])
+        smallest = np.minimum.reduceat(i, np.flatnonzero(new))[np.cumsum(new) - 1]
         out[p[order[i > smallest]]] = True
     return out, start
 
@@ -326,7 +330,7 @@ def dealt(parts: DataFrame) -> tuple:
     """The runs of ``parts(ord, row, pos, data)``: packed per part, and ``(ord, row, pos, at, data)`` of the hot kept
     strings (None: there are none)."""
     import numpy as np
-    deal = 4 * width(parts.sparkSession)
+    deal = 1 + (parts.agg(F.sum(F.length("data"))).first()[0] or 0) // SORTED_BYTES
     # At most one of 20,000 runs' kept strings is in this array.
     hot = np.sort(np.array([r.gram for r in hot_grams(parts).collect()], dtype=np.int64).view(np.uint64))
     held = parts.sparkSession.sparkContext.broadcast(hot)
@@ -419,44 +423,48 @@ def covered(parts: DataFrame) -> DataFrame:
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, n_bytes, n_removed, n_spans, kept)`` for every row: ``kept`` is the remaining bytes (binary)."""
-    keyed = _keyed(docs, id_col, text_col)
-    parts = stored(pieces(keyed).withColumn("key", F.unhex(F.sha2("data", 256))), "suffix_pieces")
+    texts, files = bucketed(_keyed(docs, id_col, text_col))
+    parts = stored(pieces(texts, files).withColumn("key", F.substring(F.unhex(F.sha2("data", 256)), 1, 16)),
+                   "suffix_pieces", "zstd")
     # Equal pieces once. The pair (row, pos) of hashes names a piece in the sort.
     once = stored(parts.groupBy("key", "data").agg(F.min("ord").alias("ord")).select(
-        "key", "ord", F.xxhash64("key").alias("row"), F.hash("key").alias("pos"), "data"), "suffix_once")
+        "key", "ord", F.xxhash64("key").alias("row"), F.hash("key").alias("pos"), "data"), "suffix_once", "zstd")
     known = stored(once.select("key", F.col("ord").alias("low"), "row", "pos")
-                   .join(covered(once), ["row", "pos"], "left").select("key", "low", "found"), "suffix_known")
+                   .join(covered(once), ["row", "pos"], "left").select("key", "low", "found"), "suffix_known", "zstd")
+    discard(once)
     # A piece of a larger document is covered whole (``n`` bytes), else at the places found (``n`` = 0).
     larger = F.col("ord") > F.col("low")
-    gone = parts.select("ord", "row", "pos", "key", F.length("data").alias("size")).join(known, "key").filter(
-        larger | F.col("found").isNotNull()).select("ord", "row", F.struct(
-            "pos", F.when(larger, F.col("size")).otherwise(0).alias("n"),
-            F.when(larger, F.array().cast("array<int>")).otherwise(F.col("found")).alias("found")).alias("gone"))
-    per_text = gone.groupBy("ord", "row").agg(F.collect_set("gone").alias("gone"))
-    kind = keyed.schema["id"].dataType.simpleString()
-
-    def remove(batches):
+    gone = parts.select("bucket", "ord", "row", "pos", "key", F.length("data").alias("size")).join(known, "key").filter(
+        larger | F.col("found").isNotNull()).select(
+            "bucket", "ord", "row", "pos", F.when(larger, F.col("size")).otherwise(0).alias("n"),
+            F.when(larger, F.array().cast("array<int>")).otherwise(F.col("found")).alias("found"))
+    kind = texts.schema["id"].dataType.simpleString()
+
+    def remove(own, covered):
         import numpy as np
         import pyarrow as pa
-        for batch in batches:
-            found, out = batch.column(2), ([], [], [], [])
-            for i, data in enumerate(_bytes(strings(batch.column(1)))):
-                gone = np.zeros(len(data) + 1, dtype=np.int32)
-                for part in found[i].as_py() or ():
-                    if part["n"]:
-                        gone[part["pos"]] += 1
-                        gone[part["pos"] + part["n"]] -= 1
-                    else:
-                        at = np.array(part["found"], dtype=np.int64) + part["pos"]
-                        np.add.at(gone, at, 1)
-                        np.add.at(gone, at + LENGTH, -1)
-                gone = np.cumsum(gone)[:len(data)] > 0
-                spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
-                for column, value in zip(out, (len(data), int(gone.sum()), spans, data[~gone].tobytes())):
-                    column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[pa.array(c, pa.int64()) for c in out[:3]], pa.array(out[3], pa.binary())],
-                names=["id", "n_bytes", "n_removed", "n_spans", "kept"])
-
-    joined = keyed.join(per_text, ["ord", "row"], "left").select("id", "text", "gone")
-    return joined.mapInArrow(remove, f"id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
+        ords, rows = ([t.column(c).to_pylist() for t in (own, covered)] for c in ("ord", "row"))
+        of = {}
+        for k, name in enumerate(zip(ords[1], rows[1])):
+            of.setdefault(name, []).append(k)
+        pos, n, found = (covered.column(c).to_pylist() for c in ("pos", "n", "found"))
+        out = [], [], [], []
+        for data, name in zip(_bytes(own.column("text")), zip(ords[0], rows[0])):
+            gone = np.zeros(len(data) + 1, dtype=np.int32)
+            for k in of.get(name, ()):
+                if n[k]:
+                    gone[pos[k]] += 1
+                    gone[pos[k] + n[k]] -= 1
+                else:
+                    at = np.array(found[k], dtype=np.int64) + pos[k]
+                    np.add.at(gone, at, 1)
+                    np.add.at(gone, at + LENGTH, -1)
+            gone = np.cumsum(gone)[:len(data)] > 0
+            spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
+            for column, value in zip(out, (len(data), int(gone.sum()), spans, data[~gone].tobytes())):
+                column.append(value)
+        return pa.table([own.column("id"), *[pa.array(c, pa.int64()) for c in out[:3]], pa.array(out[3], pa.binary())],
+                        names=["id", "n_bytes", "n_removed", "n_spans", "kept"])
+
+    return texts.groupBy("bucket").cogroup(gone.groupBy("bucket")).applyInArrow(
+        remove, f"id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")

@@ -85,12 +85,32 @@ def test_names_keep_the_order_of_triples():
     assert names.tolist() == [rank[t] for t in triples]
 
 
-def test_grams_by_join_give_the_same(spark, monkeypatch):
-    monkeypatch.setattr(op, "MOST_SHARED", -1)
+@pytest.mark.parametrize("size", [1, 300, 4000])
+def test_any_number_of_parts_and_buckets(spark, monkeypatch, size):
+    for name in ("PART_BYTES", "BUCKET_BYTES", "SORTED_BYTES"):
+        monkeypatch.setattr(op, name, size)
+    monkeypatch.setattr(op, "MOST_FILES", 20)
     rows = repeats(seed=5, n=30)
     assert run(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
 
 
+def test_texts_are_not_shuffled_again(spark):
+    texts, files = op.bucketed(op._keyed(spark.createDataFrame(repeats(), "doc_id long, text string"), "doc_id", "text"))
+    plan = op.pieces(texts, files)._jdf.queryExecution().executedPlan().toString()
+    own = [line for line in plan.splitlines() if "Exchange" in line]
+    assert "FlatMapCoGroupsInArrow" in plan and all("text" not in line for line in own), plan
+
+
+def test_keys_order_as_pairs():
+    rng = np.random.default_rng(1)
+    for high in (3, 1 << 40, 1 << 62):
+        a, b = rng.integers(0, high, (2, 300))
+        a[:100] = a[0]
+        key = op.joined_keys(a, b)
+        assert np.lexsort((b, a)).tolist() == np.argsort(key, kind="stable").tolist()
+    assert op.ranked(np.array([], dtype=np.int64)).tolist() == [] and op.ranked(np.array([7, 3, 7])).tolist() == [1, 0, 1]
+
+
 def test_string_that_many_share_is_no_parts_work(spark, monkeypatch):
     monkeypatch.setattr(op, "MOST_RUNS", 50, raising=False)
     rng = random.Random(4)
@@ -99,7 +119,7 @@ def test_string_that_many_share_is_no_parts_work(spark, monkeypatch):
     rows = [(i, noise(rng.randint(0, 40)) + passage + noise(rng.randint(0, 40))) for i in rng.sample(range(1000), 300)]
     rows += [(1000 + i, other[i:] + noise(60) + other) for i in range(9)] + [(2000, "z" * 300), (2001, "z" * 120)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
-    parts = op.pieces(op._keyed(df, "doc_id", "text"))
+    parts = op.pieces(*op.bucketed(op._keyed(df, "doc_id", "text")))
     counts = Counter()
     for r in op.dealt(parts)[0].collect():
         data, at = bytes(r.data), 0
