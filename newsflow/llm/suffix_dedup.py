@@ -7,13 +7,16 @@ smaller id is removed; strings are judged on the input, and never cross document
    documents. Winnowing keeps of every run of ``LENGTH`` bytes one ``GRAM``-byte string (the
    least hash), the same one wherever the run occurs; where that string is in one
    document only, no such suffix repeats. This is exact for what it keeps: hash
-   collisions only keep more. The rest is cut into pieces of bounded length, at places
+   collisions only keep more. Which kept strings repeat is found per part of their hashes and
+   returns to the texts by a join on buckets of texts; the texts are a bucketed table, so they are
+   shuffled once. What is left is cut into pieces of bounded length, at places
    set by content, and equal pieces are sorted once, under their smallest document
    (in larger documents every suffix of the piece is covered).
 2. *Deal out*: equal prefixes have the same kept string, so suffixes are dealt to parts
    by it, each with the bytes that its prefix needs. A kept string with more than
    ``MOST_RUNS`` runs is no part's work: its equal runs are merged by an aggregation, and
    the strings of the distinct ones compared by a second, both with partial results per task.
+   In a part, runs none of whose strings has a hash that is there twice are left out too.
 3. *Sort sampled triples*: in a part, positions 1 and 2 modulo 3 (a difference cover of
    3) get triples of 6-byte words, which are sorted and named by their order.
 4. *Recurse on names*: the names at +0, +18 and +30 are the next triples; sorted
@@ -163,27 +166,26 @@ def _found(values, known):
     return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
 
 
-def _among(kept, grams, parts=None):
+def _among(kept, grams):
     """Which of ``kept`` are in the sorted array ``grams`` (looked up once per run of equal values)."""
     import numpy as np
     first = np.append(True, kept[1:] != kept[:-1])
-    values = kept[first] if parts is None else _code(kept[first], parts)
-    return _found(values, grams)[np.cumsum(first) - 1]
+    return _found(kept[first], grams)[np.cumsum(first) - 1]
 
 
 def _cut(data, grams, parts):
     """``(position, bytes)`` of the pieces of one text whose kept strings are among ``grams``."""
     import numpy as np
     kept = winnowed(data)
-    start = _among(kept, grams, parts)
+    first = np.flatnonzero(np.append(True, kept[1:] != kept[:-1]))
+    values = kept[first]
+    hit = _found(_code(values, parts), grams)
     # A run's kept string changes and the new one's hash ends in zeros: a cut set by content.
-    cut = np.append(False, kept[1:] != kept[:-1]) & (kept & np.uint64((1 << CUT_BITS) - 1) == 0)
-    edge = np.flatnonzero(np.diff(np.concatenate(([0], start.view(np.int8), [0]))))
-    for first, stop in edge.reshape(-1, 2).tolist():
-        inner = (first + np.flatnonzero(cut[first:stop])).tolist()
-        for low, high in zip([first, *inner], [*inner, stop]):
-            for at in range(low, high, PIECE):
-                yield at, data[at:min(at + PIECE, high) + LENGTH - 1].tobytes()
+    begins = hit & (np.append(True, ~hit[:-1]) | (values & np.uint64((1 << CUT_BITS) - 1) == 0))
+    ends = hit & np.append(~hit[1:] | begins[1:], True)
+    for low, high in zip(first[begins].tolist(), np.append(first[1:], len(kept))[ends].tolist()):
+        for at in range(low, high, PIECE):
+            yield at, data[at:min(at + PIECE, high) + LENGTH - 1].tobytes()
 
 
 def pieces(texts: DataFrame, parts: int) -> DataFrame:
@@ -234,32 +236,47 @@ def names_of(a, b, c):
     return ranked(joined_keys(joined_keys(a, b), c))
 
 
+def repeating(runs: list):
+    """Which of ``runs`` hold a ``LENGTH``-byte string whose hash is there twice (collisions only keep more)."""
+    import numpy as np
+    size = np.array([len(r) for r in runs], dtype=np.int64)
+    raw, n = np.frombuffer(b"".join(runs), np.uint8), size - (LENGTH - 1)
+    grams = gram_hashes(raw)
+    whole = grams[:len(raw) - LENGTH + 1].copy()
+    for k in (GRAM, 2 * GRAM, LENGTH - GRAM):
+        whole = whole * np.uint64(0x9E3779B97F4A7C15) + grams[k:k + len(whole)]
+        whole ^= whole >> np.uint64(29)
+    which = np.repeat(np.arange(len(runs)), n)
+    whole = whole[np.arange(len(which)) + np.repeat(np.cumsum(size) - size - (np.cumsum(n) - n), n)]
+    by = np.sort(whole)
+    return np.unique(which[_found(whole, by[1:][by[1:] == by[:-1]])])
+
+
 def covered_starts(runs: list, ords):
     """Per run of bytes (of the document in ``ords``) which of its ``LENGTH``-byte strings start in a smaller
     document's run too: a boolean array over the joined runs, and where each run starts in it."""
     import numpy as np
     size = np.array([len(r) for r in runs], dtype=np.int64)
-    gap = LENGTH + WORD
-    start = np.cumsum(size + gap) - size - gap
-    data = np.zeros(int(start[-1] + size[-1]) + 2 * gap, dtype=np.int64)
-    raw = np.frombuffer(b"".join(runs), np.uint8)
-    place = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(len(raw))
-    data[place] = raw.astype(np.int64) + 1
-    word = np.zeros(len(data) - WORD, dtype=np.int64)
+    start = np.cumsum(size) - size
+    data = np.frombuffer(b"".join(runs), np.uint8).astype(np.int64)
+    word = np.zeros(len(data) - WORD + 1, dtype=np.int64)
     for k in range(WORD):
-        word = word * 257 + data[k:k + len(word)]
-    inside = place - np.repeat(start, size)
+        word = word << 8 | data[k:k + len(word)]
+    inside = np.arange(len(data)) - np.repeat(start, size)
+    # How far a place lies before its run's last string; no step below looks beyond the run's end.
     ahead = np.repeat(size, size) - LENGTH - inside
+    sampled = inside % 3 != 0
     # Sort the sampled triples of words, then of their names, as far as a suffix of full length reaches.
-    names = np.zeros(len(data), dtype=np.int64)
-    at = place[(inside % 3 != 0) & (ahead >= -32)]
-    names[at] = names_of(word[at], word[at + WORD], word[at + 2 * WORD])
-    at = place[(inside % 3 != 0) & (ahead >= -2)]
+    words, names = (np.zeros(len(data), dtype=np.int64) for _ in range(2))
+    at = np.flatnonzero(sampled & (ahead >= WORD - LENGTH))
+    words[at] = ranked(word[at])
+    at = np.flatnonzero(sampled & (ahead >= -32))
+    names[at] = names_of(words[at], words[at + WORD], words[at + 2 * WORD])
+    at = np.flatnonzero(sampled & (ahead >= -2))
     names[at] = names_of(names[at], names[at + 18], names[at + 30])
     # Merge all suffixes under the offsets at which they reach a sampled one; equal ones are neighbours.
-    full = ahead >= 0
-    at, residue = place[full], inside[full] % 3
-    own = np.repeat(ords, size)[full]
+    at = np.flatnonzero(ahead >= 0)
+    residue, own = inside[at] % 3, np.repeat(ords, size)[at]
     out = np.zeros(len(data), dtype=bool)
     for offset in range(3):
         take = (residue + offset) % 3 != 0
@@ -268,7 +285,7 @@ def covered_starts(runs: list, ords):
             continue
         ends = np.zeros(len(p), dtype=np.int64)
         for k in (*range(offset), *range(offset + 48, LENGTH)):
-            ends = ends * 257 + data[p + k]
+            ends = ends << 8 | data[p + k]
         key = joined_keys(ends, names[p + offset])
         order = np.argsort(key)
         by, i = key[order], ids[order]
@@ -394,13 +411,10 @@ def covered(parts: DataFrame) -> DataFrame:
         stop = np.cumsum(size)
         coded = pa.array([raw[a:b] for a, b in zip((stop - size).tolist(), stop.tolist())], pa.binary()).dictionary_encode()
         code, texts = coded.indices.to_numpy(), coded.dictionary.to_pylist()
-        # Equal runs once, under their smallest document; a run alone with its kept string has no equals.
+        # Equal runs once, under their smallest document; those without a string that may repeat are left out.
         low = np.full(len(texts), LAST, dtype=np.int64)
         np.minimum.at(low, code, ords)
-        length = np.array([len(t) for t in texts], dtype=np.int64)
-        kept = winnowed(np.frombuffer(b"".join(texts), np.uint8))[np.cumsum(length) - length]
-        _, gram, count = np.unique(kept, return_inverse=True, return_counts=True)
-        several = np.flatnonzero(count[gram] > 1)
+        several = repeating(texts)
         hits = {}
         if len(several):
             gone, start = covered_starts([texts[i] for i in several.tolist()], low[several])

@@ -111,6 +111,23 @@ def test_keys_order_as_pairs():
     assert op.ranked(np.array([], dtype=np.int64)).tolist() == [] and op.ranked(np.array([7, 3, 7])).tolist() == [1, 0, 1]
 
 
+def test_runs_are_ruled_out_and_covered_as_by_comparing():
+    rng = random.Random(6)
+    base = bytes(rng.choice(b"ab") for _ in range(150))
+    runs = [base[i:i + rng.randint(50, 90)] for i in range(60)] + [bytes(rng.choice(b"cdefgh") for _ in range(70))
+                                                                    for _ in range(20)]
+    ords = np.array(rng.sample(range(100), len(runs)))
+    strings = {}
+    for run_, o in zip(runs, ords.tolist()):
+        for p in range(len(run_) - LENGTH + 1):
+            strings.setdefault(run_[p:p + LENGTH], []).append(o)
+    own = lambda r: [r[p:p + LENGTH] for p in range(len(r) - LENGTH + 1)]
+    assert op.repeating(runs).tolist() == [i for i, r in enumerate(runs) if any(len(strings[w]) > 1 for w in own(r))]
+    gone, start = op.covered_starts(runs, ords)
+    for r, o, first in zip(runs, ords.tolist(), start.tolist()):
+        assert gone[first:first + len(r)].tolist() == [min(strings[w]) < o for w in own(r)] + [False] * (LENGTH - 1)
+
+
 def test_string_that_many_share_is_no_parts_work(spark, monkeypatch):
     monkeypatch.setattr(op, "MOST_RUNS", 50, raising=False)
     rng = random.Random(4)
