@@ -11,13 +11,13 @@ from newsflow.sinks.parquet import delete_path
 def stored(df: DataFrame, name: str, compression: str | None = None, bucket: tuple[int, str] | None = None) -> DataFrame:
     """Write ``df`` as Parquet under ``spark.checkpoint.dir`` and read it back (cuts the lineage).
 
-    ``bucket``: ``(files, column)`` of a bucketed table, whose grouping by that column needs no shuffle.
+    ``bucket``: ``(files, column)`` of a bucketed, sorted table, whose grouping by that column needs no shuffle.
     """
     spark = df.sparkSession
     path = shared_path(spark, "llm", name)
     if bucket:
         table = f"newsflow_{name}_{path.rsplit('/', 1)[-1]}"
-        (df.write.bucketBy(*bucket).option("path", path).option("compression", compression or "snappy")
+        (df.write.bucketBy(*bucket).sortBy(bucket[1]).option("path", path).option("compression", compression or "snappy")
          .format("parquet").saveAsTable(table))
         return spark.table(table)
     df.write.mode("overwrite").parquet(path, compression=compression)

@@ -51,7 +51,7 @@ LAST = (1 << 63) - 1
 RUN = "ord long, row long, pos int"
 #: Bytes of texts per file, and per part of the kept strings; bytes of texts that are cut together.
 PART_BYTES = 16 << 20
-BUCKET_BYTES = 2 << 20
+BUCKET_BYTES = 8 << 20
 #: Spark's limit for the files of a bucketed table.
 MOST_FILES = 100_000
 #: Bytes of distinct pieces whose runs are sorted together.
