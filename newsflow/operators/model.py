@@ -13,6 +13,7 @@ import datetime as dt
 import logging
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 from newsflow.operators.text import build_ml_pipeline
@@ -38,7 +39,10 @@ class ModelStore:
         return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
     def current_version(self) -> str | None:
-        p, fs = self._fs(f"{self.root}/{POINTER}")
+        return self._read(POINTER)
+
+    def _read(self, name: str) -> str | None:
+        p, fs = self._fs(f"{self.root}/{name}")
         if not fs.exists(p):
             return None
         stream = fs.open(p)
@@ -50,32 +54,64 @@ class ModelStore:
             stream.close()
         return line.strip() if line else None
 
-    def _write_pointer(self, version: str) -> None:
-        tmp, fs = self._fs(f"{self.root}/.{POINTER}.{uuid.uuid4().hex}")
+    def _put(self, name: str, version: str, replace: bool = True) -> bool:
+        """Put a file that names ``version`` in place by one rename: a reader sees the old content or the new one.
+
+        ``replace=False``: only where there is none yet; returns whether this call made it.
+        """
+        tmp, fs = self._fs(f"{self.root}/.{name.lstrip('.')}.{uuid.uuid4().hex}")
         out = fs.create(tmp, True)
         try:
             out.write(bytearray(version.encode("utf-8")))
         finally:
             out.close()
-        # One rename that replaces the old pointer: a reader sees the old version or the new one.
         jvm = self.spark.sparkContext._jvm
-        dst, _ = self._fs(f"{self.root}/{POINTER}")
+        dst, _ = self._fs(f"{self.root}/{name}")
         rename = jvm.org.apache.hadoop.fs.Options.Rename
         how = self.spark.sparkContext._gateway.new_array(rename, 1)
-        how[0] = rename.OVERWRITE
-        jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-            dst.toUri(), self.spark.sparkContext._jsc.hadoopConfiguration()).rename(
-                tmp.makeQualified(fs.getUri(), fs.getWorkingDirectory()),
-                dst.makeQualified(fs.getUri(), fs.getWorkingDirectory()), how)
+        how[0] = rename.OVERWRITE if replace else rename.NONE
+        try:
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+                dst.toUri(), self.spark.sparkContext._jsc.hadoopConfiguration()).rename(
+                    tmp.makeQualified(fs.getUri(), fs.getWorkingDirectory()),
+                    dst.makeQualified(fs.getUri(), fs.getWorkingDirectory()), how)
+        except Py4JJavaError as exc:
+            if replace or "FileAlreadyExistsException" not in str(exc.java_exception):
+                raise
+            fs.delete(tmp, False)
+            return False
+        return True
 
     def save(self, model) -> str:
         """ML-6: write ``model`` as a new version, then switch the pointer to it."""
+        version = self._write(model)
+        self._put(POINTER, version)
+        self._model, self._version = model, version
+        return version
+
+    def _write(self, model) -> str:
         version = dt.datetime.now(dt.timezone.utc).strftime("v%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
         model.write().save(f"{self.root}/{version}")
-        self._write_pointer(version)
-        self._model, self._version = model, version
         return version
 
+    def succeed(self, model, seen: str | None):
+        """Publish ``model`` as the one version that follows ``seen`` (None: the first one); returns the live model.
+
+        Of several jobs that found the same state, the one that creates the claim on its successor wins. The
+        others drop what they trained and load the winner's model; if the winner ended between its claim
+        and the pointer, they move the pointer for it (the version was complete before it was claimed).
+        """
+        version, claim = self._write(model), f".after-{seen or 'nothing'}"
+        if self._put(claim, version, replace=False):
+            self._put(POINTER, version)
+            self._model, self._version = model, version
+            return model
+        if self.current_version() == seen:
+            self._put(POINTER, self._read(claim))
+        p, fs = self._fs(f"{self.root}/{version}")
+        fs.delete(p, True)
+        return self.load()
+
     def load(self):
         """ML-7: the current model, or None when there is none."""
         from pyspark.ml import PipelineModel
@@ -97,8 +133,10 @@ class ModelStore:
 
         Only a version whose files are missing or cannot be parsed is replaced by a new one; other
         errors (a file system that is down for a moment) are raised. Returns None when there is no
-        model and ``training`` is empty (IDF cannot be fitted on nothing).
+        model and ``training`` is empty (IDF cannot be fitted on nothing). Jobs that train at
+        the same time leave one version (``succeed``).
         """
+        seen = self.current_version()
         try:
             if self.load() is not None:
                 return self._model
@@ -108,7 +146,7 @@ class ModelStore:
             log.warning("model version is unreadable (%s); training a new one", exc)
         if training.isEmpty():
             return None
-        return self.fit_and_save(training, pipeline)
+        return self.succeed((pipeline or build_ml_pipeline()).fit(training), seen)
 
 
 def featurize(model, df: DataFrame) -> DataFrame:

@@ -61,6 +61,47 @@ def test_store_save_load_and_corrupt(spark, scratch):
     assert fresh.current_version() != v1 and os.path.isdir(os.path.join(root, v1))
 
 
+def versions(root):
+    return sorted(d for d in os.listdir(root) if d.startswith("v"))
+
+
+def test_two_jobs_that_train_at_once_leave_one_version(spark, scratch):
+    root = os.path.join(scratch, "models")
+    slow, fast = ModelStore(spark, root), ModelStore(spark, root)
+
+    class Meanwhile:
+        """A pipeline during whose fit another job publishes its model."""
+        def fit(self, training):
+            model = build_ml_pipeline().fit(training)
+            assert fast.load_or_train(docs(spark)) is not None
+            return model
+
+    loaded = slow.load_or_train(docs(spark), Meanwhile())
+    assert versions(root) == [fast.current_version()]  # the loser dropped its own and loaded the winner's
+    assert loaded.uid == fast.load().uid and slow.load() is loaded
+    assert [f for f in os.listdir(root)
+            if f.startswith((".CURRENT.", ".after-nothing.")) and not f.endswith(".crc")] == []
+
+
+def test_threads_that_train_at_once_agree(spark, scratch):
+    from concurrent.futures import ThreadPoolExecutor
+    root = os.path.join(scratch, "models")
+    with ThreadPoolExecutor(3) as pool:
+        models = list(pool.map(lambda _: ModelStore(spark, root).load_or_train(docs(spark)), range(3)))
+    live = ModelStore(spark, root)
+    assert live.current_version() in versions(root)
+    assert all(m is not None for m in models)
+
+
+def test_pointer_is_moved_for_a_winner_that_ended(spark, scratch):
+    root = os.path.join(scratch, "models")
+    gone, store = ModelStore(spark, root), ModelStore(spark, root)
+    won = gone._write(build_ml_pipeline().fit(docs(spark)))
+    assert gone._put(".after-nothing", won, replace=False) and not gone._put(".after-nothing", "other", replace=False)
+    assert store.current_version() is None and store.load_or_train(docs(spark)) is not None
+    assert store.current_version() == won and versions(root) == [won]
+
+
 def test_featurize_on_stream(spark, scratch):
     model = build_ml_pipeline().fit(docs(spark))
     src = os.path.join(scratch, "txt")
