@@ -13,9 +13,9 @@ import datetime as dt
 import logging
 import uuid
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
+from newsflow.files import hadoop_path, put_file, read_file
 from newsflow.operators.text import build_ml_pipeline
 
 log = logging.getLogger(__name__)
@@ -34,53 +34,18 @@ class ModelStore:
         self._model = self._version = None
 
     def _fs(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return hadoop_path(self.spark, path)
 
     def current_version(self) -> str | None:
         return self._read(POINTER)
 
     def _read(self, name: str) -> str | None:
-        p, fs = self._fs(f"{self.root}/{name}")
-        if not fs.exists(p):
-            return None
-        stream = fs.open(p)
-        try:
-            reader = self.spark.sparkContext._jvm.java.io.BufferedReader(
-                self.spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-            line = reader.readLine()
-        finally:
-            stream.close()
-        return line.strip() if line else None
+        text = read_file(self.spark, f"{self.root}/{name}")
+        return text.strip() if text else None
 
     def _put(self, name: str, version: str, replace: bool = True) -> bool:
-        """Put a file that names ``version`` in place by one rename: a reader sees the old content or the new one.
-
-        ``replace=False``: only where there is none yet; returns whether this call made it.
-        """
-        tmp, fs = self._fs(f"{self.root}/.{name.lstrip('.')}.{uuid.uuid4().hex}")
-        out = fs.create(tmp, True)
-        try:
-            out.write(bytearray(version.encode("utf-8")))
-        finally:
-            out.close()
-        jvm = self.spark.sparkContext._jvm
-        dst, _ = self._fs(f"{self.root}/{name}")
-        rename = jvm.org.apache.hadoop.fs.Options.Rename
-        how = self.spark.sparkContext._gateway.new_array(rename, 1)
-        how[0] = rename.OVERWRITE if replace else rename.NONE
-        try:
-            jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-                dst.toUri(), self.spark.sparkContext._jsc.hadoopConfiguration()).rename(
-                    tmp.makeQualified(fs.getUri(), fs.getWorkingDirectory()),
-                    dst.makeQualified(fs.getUri(), fs.getWorkingDirectory()), how)
-        except Py4JJavaError as exc:
-            if replace or "FileAlreadyExistsException" not in str(exc.java_exception):
-                raise
-            fs.delete(tmp, False)
-            return False
-        return True
+        """Put a file that names ``version`` in place; ``replace=False``: only where there is none yet."""
+        return put_file(self.spark, f"{self.root}/{name}", version, replace)
 
     def save(self, model) -> str:
         """ML-6: write ``model`` as a new version, then switch the pointer to it."""
