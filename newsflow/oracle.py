@@ -401,6 +401,17 @@ SELECT DISTINCT key FROM k, m WHERE batch_id > middle
   AND key NOT IN (SELECT key FROM k, m WHERE batch_id <= middle)"""
     q["write_partitioned"] = q["output_rows"]
     q["idempotent_sink"] = q["output_rows"]
+    q["logged_tables"] = "SELECT *, count(*) OVER (PARTITION BY batch_id) AS batch_rows FROM (" + q["output_rows"] + ") o"
+    q["stream_rejects"] = _with(VIEW, RECORDS, """
+sent AS (
+  SELECT CASE WHEN CAST(record_id AS BIGINT) % 17 = 0 THEN 'malformed' WHEN url = '' THEN 'no_url'
+              WHEN """ + ISO + """ IS NULL THEN 'no_time' END AS reason, record_id, batch_url
+  FROM f
+)""") + """
+SELECT reason, CASE WHEN reason <> 'malformed' THEN batch_url END AS batch_url, count(*) AS n,
+       min(CASE WHEN reason <> 'malformed' THEN record_id END) AS first_id,
+       max(CASE WHEN reason <> 'malformed' THEN record_id END) AS last_id
+FROM sent WHERE reason IS NOT NULL GROUP BY ALL"""
     q["stream_ingest"] = _with(VIEW, RECORDS) + """
 SELECT record_id, event_time, source, url, themes, locations, persons, organizations, all_names,
        CAST(tone_score AS FLOAT) AS tone_score, ingested_at, batch_url, is_first_batch

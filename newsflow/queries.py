@@ -426,6 +426,42 @@ def q_idempotent_sink(spark, sf_dir):
     return read_output(spark, path, "r0").drop("run")
 
 
+def q_logged_tables(spark, sf_dir):
+    """SNK-3 + STR-5 + R7: output rows of the batches and their counts as two tables of one commit log. The later
+    half is written twice (a replay), one transaction is never finished (a crash), then the rows are compacted."""
+    from newsflow.session import shared_path
+    from newsflow.sinks.commits import TableLog
+    log = TableLog(spark, shared_path(spark, "logged_tables"))
+    rows = q_output_rows(spark, sf_dir)
+    half = F.col("batch_id") % 2
+    for part in (0, 1, 1):
+        with log.begin(batch=("r0", part)) as tx:
+            mine = tx.write("rows", rows.filter(half == part), ["sentiment_label"])
+            tx.write("counts", mine.groupBy("batch_id").agg(F.count(F.lit(1)).alias("batch_rows")))
+    log.begin().write("rows", log.read("rows"), ["sentiment_label"])
+    log.compact("rows")
+    return log.read("rows").join(log.read("counts"), "batch_id")
+
+
+def q_stream_rejects(spark, sf_dir):
+    """FLT-3 + AGG-3 in the stream's callback: the wire messages it does not use, by reason and archive. Every
+    line is sent; of every 17th the message is no JSON."""
+    from newsflow.session import shared_path
+    from newsflow.sinks.parquet import read_output
+    from newsflow.sinks.publish import to_messages
+    from newsflow.streaming.job import BatchWriter
+    fields = normalize.project_lines(landed_lines(spark, sf_dir), keep=("batch_url",))
+    recs = normalize.to_records(fields).withColumn("url", F.nullif("url", F.lit("")))
+    messages = to_messages(recs, keep=("record_id",))
+    broken = F.concat(F.lit("<").cast("binary"), "value")
+    number = F.col("record_id").try_cast("long")
+    messages = messages.select("key", F.when(number % 17 == 0, broken).otherwise(F.col("value")).alias("value"))
+    out, rejected = shared_path(spark, "stream_rejects"), shared_path(spark, "stream_rejects_rejected")
+    BatchWriter(out, "r0", rejected_path=rejected)(messages, 0)
+    return read_output(spark, rejected, "r0").groupBy("reason", "batch_url").agg(
+        F.count(F.lit(1)).alias("n"), F.min("record_id").alias("first_id"), F.max("record_id").alias("last_id"))
+
+
 def _stream_input(spark, sf_dir) -> str:
     """Wire messages (JSON lines), one file per batch: the hash of ``batch_id`` brings a batch into one task."""
     from newsflow.session import shared_path
@@ -556,6 +592,8 @@ QUERIES.update({
     "zip_scan": q_zip_scan,
     "write_partitioned": q_write_partitioned,
     "idempotent_sink": q_idempotent_sink,
+    "logged_tables": q_logged_tables,
+    "stream_rejects": q_stream_rejects,
     "stream_ingest": q_stream_ingest,
     "stream_feed": q_stream_feed,
     "stream_job": q_stream_job,

@@ -63,14 +63,17 @@ def few_files(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, run: str,
-                partition_cols: Sequence[str] = ("sentiment_label",)) -> None:
-    """STR-5: idempotent write of one micro-batch under ``run=<run>/batch_id=<batch_id>``."""
+                partition_cols: Sequence[str] = ("sentiment_label",), clustered: bool = True) -> None:
+    """STR-5: idempotent write of one micro-batch under ``run=<run>/batch_id=<batch_id>``.
+
+    ``clustered=False`` writes the rows where they are, without a shuffle (more files).
+    """
     spark = df.sparkSession
     delete_path(spark, f"{path.rstrip('/')}/run={run}/batch_id={batch_id}")
     out = (df.drop("run", "batch_id")
              .selectExpr("*", f"'{run}' AS run", f"CAST({int(batch_id)} AS INT) AS batch_id"))
-    (few_files(out, partition_cols)
-       .write.mode("append").partitionBy("run", "batch_id", *partition_cols).parquet(path))
+    out = few_files(out, partition_cols) if clustered else out
+    out.write.mode("append").partitionBy("run", "batch_id", *partition_cols).parquet(path)
 
 
 def write_batches(df: DataFrame, path: str, run: str, batch_col: str = "batch_id",

@@ -5,6 +5,7 @@ import json
 import os
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from newsflow.operators.quality import observe_counts, split_valid
@@ -85,6 +86,58 @@ def test_pass_after_a_crash_before_the_status_replaces_what_it_wrote(spark, scra
     assert spark.read.parquet(status).count() == 3
 
 
+@pytest.mark.parametrize("step", ["land", "messages", "status", "put_file"])
+def test_pass_in_one_commit_dies_at_every_step(spark, scratch, step, monkeypatch):
+    from newsflow.plans import ingest as plan
+    from newsflow.sinks import commits
+    log = commits.TableLog(spark, os.path.join(scratch, "tables"))
+    man, arc = archives_and_manifest(scratch, 3)
+    names = sorted(os.listdir(man))
+    os.makedirs(os.path.join(scratch, "first"))
+    os.link(os.path.join(man, names[0]), os.path.join(scratch, "first", names[0]))
+    ingest(spark, os.path.join(scratch, "first"), arc, tables=log, ingested_at=F.lit("t"))
+    sizes = lambda: [log.read(t).count() for t in ("landing", "messages", "status")]
+    assert sizes() == [1, 1, 1] and log.read("status").first().is_first
+
+    def dies(where, name):
+        def late(*args, **kwargs):
+            if name != "put_file":
+                getattr(plan.Logged, "_" + name)(*args, **kwargs)
+            raise ConnectionError
+        if name != "put_file":
+            monkeypatch.setattr(where, "_" + name, getattr(where, name), raising=False)
+        monkeypatch.setattr(where, name, late)
+
+    dies(commits if step == "put_file" else plan.Logged, step)
+    with pytest.raises(ConnectionError):
+        ingest(spark, man, arc, tables=log, ingested_at=F.lit("t"))
+    monkeypatch.undo()
+    assert sizes() == [1, 1, 1]
+    result = ingest(spark, man, arc, tables=log, ingested_at=F.lit("t"))
+    assert sizes() == [3, 3, 3] and result.status.count() == 3 and result.records.count() == 2
+    assert log.read("status").filter("is_first").count() == 1
+
+
+def test_overtaken_pass_leaves_nothing(spark, scratch, monkeypatch):
+    from newsflow.plans import ingest as plan
+    from newsflow.sinks.commits import Conflict, TableLog
+    log = TableLog(spark, os.path.join(scratch, "tables"))
+    man, arc = archives_and_manifest(scratch, 2)
+    real = plan.Logged.messages
+
+    def overtaken(self, rows):
+        monkeypatch.undo()
+        ingest(spark, man, arc, tables=log, ingested_at=F.lit("t"))
+        real(self, rows)
+
+    monkeypatch.setattr(plan.Logged, "messages", overtaken)
+    with pytest.raises(Conflict):
+        ingest(spark, man, arc, tables=log, ingested_at=F.lit("t"))
+    assert log.version() == 1 and log.read("messages").count() == 2 and log.read("status").count() == 2
+    with pytest.raises(ValueError):
+        ingest(spark, man, arc)
+
+
 def test_archives_are_unzipped_in_many_tasks_without_broadcast(spark, scratch):
     from newsflow.sources.archives import read_archives
     _, arc = archives_and_manifest(scratch, 16)

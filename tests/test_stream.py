@@ -39,11 +39,16 @@ def test_stream_equals_batch_and_replay(spark, scratch):
     src, out, ckpt = (os.path.join(scratch, n) for n in ("src", "out", "ckpt"))
     write_batches(src)
     from newsflow.streaming.job import BatchWriter
-    writer = BatchWriter(out, run_key(ckpt))
+    rejected = os.path.join(scratch, "rejected")
+    writer = BatchWriter(out, run_key(ckpt), rejected_path=rejected)
     q = (stream_source(spark, "files", {"maxFilesPerTrigger": 1}, path=src).writeStream.foreachBatch(writer)
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
     assert [(s["rows"], s["malformed"], s["rejected"]) for s in writer.stats] == [(4, 0, 2), (2, 0, 0), (0, 0, 0), (1, 1, 1)]
+    assert all(s["sent"] + s["rejected"] == s["rows"] for s in writer.stats)
+    gone = read_output(spark, rejected, run_key(ckpt)).collect()
+    assert sorted((r.batch_id, r.reason, r.record_id) for r in gone if r.record_id) == [(0, "no_time", "3"), (0, "no_url", "4")]
+    assert [(r.batch_id, r.url) for r in gone if r.reason == "malformed"] == [(3, None)]
     got = read_output(spark, out, run_key(ckpt)).drop("run")
     rows = sorted((r.record_id, r.sentiment_label, r.batch_id) for r in got.collect())
     assert rows == [("1", "negative", 0), ("5", "positive", 1), ("6", "neutral", 1)]
@@ -59,6 +64,45 @@ def test_stream_equals_batch_and_replay(spark, scratch):
     assert read_output(spark, out, run_key(ckpt)).count() == 3
 
 
+def test_rejects_are_replaced_by_a_replay_and_counted_in_the_same_job(spark, scratch):
+    from newsflow.streaming.job import BatchWriter
+    src, out, rejected = (os.path.join(scratch, n) for n in ("src", "out", "rejected"))
+    write_batches(src)
+    messages = spark.read.text(src).select(F.col("value").cast("binary").alias("value"))
+    writer = BatchWriter(out, "r", rejected_path=rejected)
+    tracker, jobs = spark.sparkContext.statusTracker(), []
+    for attempt in range(2):
+        spark.sparkContext.setJobGroup(f"rejects-{attempt}", "")
+        writer(messages, 5)
+        jobs.append(len(tracker.getJobIdsForGroup(f"rejects-{attempt}")))
+    spark.sparkContext._jsc.clearJobGroup()
+    want = {"batch_id": 5, "rows": 7, "sent": 4, "rejected": 3, "malformed": 1}
+    assert list(writer.stats) == [want, want]
+    assert read_output(spark, rejected, "r").count() == 3
+    writer.rejected_path = None  # the rejects are not kept: the same counters, and no more jobs
+    spark.sparkContext.setJobGroup("rejects-none", "")
+    writer(messages, 6)
+    spark.sparkContext._jsc.clearJobGroup()
+    assert writer.stats[-1] == {**want, "batch_id": 6}
+    assert len(tracker.getJobIdsForGroup("rejects-none")) == jobs[1]
+
+
+def test_bounded_records(spark, scratch, capsys):
+    import pytest
+
+    from newsflow.__main__ import main
+    from newsflow.streaming.job import bounded_records
+    src, out = os.path.join(scratch, "src"), os.path.join(scratch, "out")
+    write_batches(src)
+    assert bounded_records(spark, "files", path=src).filter("url = 'u1'").count() == 3
+    main(["readback", out, "--files", src, "--preview", "3"])
+    assert spark.read.parquet(out).count() == 7 and "record_id" in capsys.readouterr().out
+    with pytest.raises(Exception, match="(?i)kafka"):
+        bounded_records(spark, "kafka", {"kafka.bootstrap.servers": "broker:9092", "subscribe": "raw"})
+    with pytest.raises(ValueError):
+        bounded_records(spark, "socket")
+
+
 def test_watermark_dedup_across_files(spark, scratch):
     src, out, ckpt = (os.path.join(scratch, n) for n in ("src", "out", "ckpt"))
     write_batches(src)
