@@ -8,10 +8,11 @@
    input). Sequences with equal remaining room are one contiguous range, and
    placing all pieces of a length takes whole ranges at a time, so the plan grows
    with the number of distinct lengths, not of documents.
-3. *Place*: a piece's rank within its length picks its slot in the plan. Pieces
-   are dealt to ``BUCKETS`` parts per length when they are written; the rank is the
-   row number in the (length, part) group plus the counts of the parts before it, so
-   a length that most documents share is ranked in many tasks.
+3. *Place*: a piece's rank within its length picks its slot in the plan. The measuring
+   task numbers its pieces per length as it writes them; the rank is that number plus the
+   count of the tasks before it, a prefix sum per length. Nothing is sorted, a length
+   that most documents share is as many parts as there were tasks, and a part is
+   never more than one task's own pieces.
 
 Best-fit puts a piece into the open sequence with the least remaining room that
 holds it; the sequence just used keeps the least room until no further piece of
@@ -35,7 +36,6 @@ from newsflow.llm.word_ids import WordIds, slices, strings
 
 CAPACITY = 4096
 END_ID = 1
-BUCKETS = 64
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:
@@ -81,20 +81,21 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, in
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
-    """``(id, piece, start, length, ids_crc32, part)`` per piece of every text."""
+    """``(id, piece, start, length, ids_crc32, part, nth)`` per piece of every text: the ``nth`` of its length (from 0) in
+    the task ``part``. Write it before use: a task that runs again may see its rows in another order."""
     rows = docs.select(F.col(id_col), F.col(text_col).alias("__text"))
     schema = StructType([rows.schema[id_col], StructField("piece", IntegerType()), StructField("start", LongType()),
                          StructField("length", LongType()), StructField("ids_crc32", LongType()),
-                         StructField("part", IntegerType())])
+                         StructField("part", IntegerType()), StructField("nth", LongType())])
 
     def cut(batches):
-        from itertools import count
         from struct import pack
         from zlib import crc32
 
         import pyarrow as pa
+        from pyspark import TaskContext
         encoder = worker_cache(("word ids", path), lambda: WordIds(path))
-        end, dealt = pack("<I", end_id), count()
+        end, part, seen = pack("<I", end_id), TaskContext.get().partitionId(), [0] * (capacity + 1)
         for batch in batches:
             texts = strings(batch.column(1))
             for a, b in slices(texts):
@@ -109,29 +110,29 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
                         last = start + n == total
                         crc = crc32(raw[4 * (first + start):4 * (first + start + n - last)])
                         for column, value in zip(out, (a + i, k, start, n, crc32(end, crc) if last else crc,
-                                                       next(dealt) % BUCKETS)):
+                                                       seen[n])):
                             column.append(value)
+                        seen[n] += 1
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(out[0], pa.int64())), pa.array(out[1], pa.int32()),
-                     *[pa.array(c, pa.int64()) for c in out[2:5]], pa.array(out[5], pa.int32())],
-                    names=schema.names)
+                     *[pa.array(c, pa.int64()) for c in out[2:5]], pa.array([part] * len(out[0]), pa.int32()),
+                     pa.array(out[5], pa.int64())], names=schema.names)
 
     return rows.mapInArrow(cut, schema)
 
 
 def place(measured: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """``measured`` (a written table with ``length`` and ``part``) plus ``sequence_id, offset``."""
-    per_part = measured.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
+    """``measured`` (a written table with ``length``, ``part`` and ``nth``) plus ``sequence_id, offset``."""
+    # Two numbers per length and task that met it.
+    per_part = stored(measured.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n")), "packing_counts")
     # At most capacity rows of two numbers, whatever the input.
     counts = {r["length"]: r["n"] for r in per_part.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     slots = plan(counts, capacity)
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = per_part.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
-    names = [c for c in measured.columns if c not in ("length", "part")]
-    row = F.row_number().over(Window.partitionBy("length", "part").orderBy(*names))
-    ranked = measured.withColumn("rank", row.cast("long") - 1).join(bases, ["length", "part"]).withColumn(
-        "rank", F.col("rank") + F.col("base")).select(*measured.columns, "rank")
-    schema = StructType([*measured.schema.fields, StructField("sequence_id", LongType()),
+    names = [c for c in measured.columns if c not in ("part", "nth")]
+    ranked = measured.join(bases, ["length", "part"]).select(*names, (F.col("nth") + F.col("base")).alias("rank"))
+    schema = StructType([*[measured.schema[c] for c in names], StructField("sequence_id", LongType()),
                          StructField("offset", LongType())])
 
     def assign(batches):
@@ -155,4 +156,4 @@ def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id:
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, piece, start, length, ids_crc32, sequence_id, offset)`` per piece."""
     measured = stored(pieces(docs, path, capacity, end_id, id_col, text_col), "packing_pieces")
-    return place(measured, capacity).drop("part")
+    return place(measured, capacity)

@@ -115,6 +115,37 @@ def test_packing(edge, capacity):
         assert at <= capacity
 
 
+def test_a_length_that_most_pieces_have(spark):
+    """One length in every part, others beside it: each piece gets a place of its own, in as few sequences as the plan says."""
+    from pyspark.sql import functions as F
+    from newsflow.llm.store import stored
+    rows = spark.range(0, 20_000, 1, 40).select(
+        F.col("id").alias("doc_id"), F.lit(0).alias("piece"),
+        F.when(F.col("id") % 10 < 9, F.lit(30)).otherwise(F.col("id") % 97 + 1).cast("long").alias("length"),
+        F.spark_partition_id().alias("part"))
+    measured = rows.rdd.mapPartitions(numbered).toDF("doc_id long, piece int, length long, part int, nth long")
+    placed = packing.place(stored(measured, "test_measured"), 100)
+    assert placed.columns == ["doc_id", "piece", "length", "sequence_id", "offset"]
+    got = placed.collect()
+    assert len({r.doc_id for r in got}) == len(got) == 20_000
+    places = defaultdict(list)
+    for r in got:
+        places[r.sequence_id].append((r.offset, r.length))
+    for parts in places.values():
+        ends = [0, *(o + n for o, n in sorted(parts))]
+        assert [o for o, _ in sorted(parts)] == ends[:-1] and ends[-1] <= 100
+    assert len(places) >= -(-sum(r.length for r in got) // 100)
+    last = max(places)
+    assert sorted(places) == list(range(last + 1))
+
+
+def numbered(rows):
+    seen = Counter()
+    for r in rows:
+        yield (r.doc_id, r.piece, r.length, r.part, seen[r.length])
+        seen[r.length] += 1
+
+
 def test_packing_empty(empty):
     assert packing.pack_documents(empty, tokenizer("word_bpe_49k.json")).count() == 0
 
