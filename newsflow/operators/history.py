@@ -30,8 +30,9 @@ def _hash(key: str, seed: int) -> Column:
 
 
 def _bits(key: str) -> Column:
-    """The bit positions of a key in its block."""
-    return F.array(*[F.pmod(_hash(key, 1) + i * F.shiftright(_hash(key, 2), 20), F.lit(BLOCK_BITS)) for i in range(PROBES)])
+    """The bit positions of a key in its block (both hashes reduced first: their sum does not fit 64 bits for every key)."""
+    place, step = (F.pmod(h, F.lit(BLOCK_BITS)) for h in (_hash(key, 1), F.shiftright(_hash(key, 2), 20)))
+    return F.array(*[F.pmod(place + i * step, F.lit(BLOCK_BITS)) for i in range(PROBES)])
 
 
 class KeyHistory:

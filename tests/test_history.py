@@ -69,3 +69,10 @@ def test_repeated_and_lost_writes(spark, scratch):
 def test_empty_history(spark, scratch):
     h = KeyHistory(spark, os.path.join(scratch, "none"))
     assert h.may_hold(frame(spark, [("a", "x")]), "key") == [] and h.drop_seen(frame(spark, [("a", "x")]), "key").count() == 1
+
+
+def test_keys_whose_hashes_sum_past_64_bits(spark, scratch):
+    keys = ["k370237", "k585904", "k758001"]  # such keys ended the job
+    h = made(spark, scratch, [(k, "d1") for k in keys])
+    assert h.may_hold(frame(spark, [("k1192841", "x"), (keys[0], "x")]), "key") == ["d1"]
+    assert [r.key for r in h.drop_seen(frame(spark, [(k, "x") for k in [*keys, "k1192841"]]), "key").collect()] == ["k1192841"]
