@@ -103,3 +103,18 @@ def test_salted_partitioned_write_spreads_hot_label(spark, scratch):
     files = [f for f in os.listdir(os.path.join(path, "sentiment_label=neutral")) if f.endswith(".parquet")]
     assert 1 < len(files) <= 4  # the hot label is written by several tasks, but few files
     assert spark.read.parquet(path).count() == 3000
+
+
+def test_texts_are_moved_once_on_the_way_to_the_landing_table(spark):
+    from newsflow.sources.tables import lines_with_width
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(lines_with_width(spark, SF, ragged=True))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # From the top: the widths are broadcast, then the documents, then (below, without texts) the pages.
+    joins = [line.split("Join", 1)[1].split("]")[0] for line in p.splitlines() if "Join [" in line]
+    assert ["batch_url" in joins[0], "event_id" in joins[1], "user_id" in joins[2]] == [True] * 3 and len(joins) == 3
+    assert "BroadcastHashJoin [batch_url" in p and p.count("Exchange hashpartitioning(batch_url") == 1  # of the widths
+    assert p.index("doc_id#") < p.index("SortMergeJoin [user_id")
