@@ -37,7 +37,8 @@ def wide_scan_quoted(lines: DataFrame, column_map: dict[int, str], group_col: st
     records = quoted_records(lines, group_col, order_col, keep, chunk_lines=chunk_lines)
     records = records.withColumn("__f", quoted_fields(F.col("value")))
     width = records.groupBy(group_col).agg(F.min_by(F.size("__f"), order_col).alias("__w"))
-    kept = records.join(width, group_col).filter(F.size("__f") <= F.col("__w"))
+    # One row per archive is sent to the records.
+    kept = records.join(F.broadcast(width), group_col).filter(F.size("__f") <= F.col("__w"))
     field = lambda i: F.coalesce(F.get(F.col("__f"), i), F.lit(""))
     cols = [F.when(F.lit(i) < F.col("__w"), F.when(field(i).isin(MISSING), F.lit("")).otherwise(field(i))).alias(name)
             for i, name in column_map.items()]

@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from newsflow.operators.joins import materialize
+
 CHUNK_LINES = 65_536
 
 #: Texts that count as missing in the legacy reader (the defaults of its library).
@@ -119,7 +121,8 @@ def quoted_records(lines: DataFrame, group_col: str, order_col: str, keep: tuple
     j = a.join(spans, (F.col(f"a.{group_col}") == F.col(f"s.{group_col}")) & (F.col("a.__chunk") == F.col("s.__chunk"))
                & F.col(f"a.{order_col}").between(F.col("s.__start"), F.col("s.__end")), "left")
     cols = [group_col, order_col, *keep, "value"]
-    j = j.select(*[F.col(f"a.{c}").alias(c) for c in cols], "s.__start", "s.__closed")
+    # Written once: both kinds of records are read from it, by every reader of the result.
+    j = materialize(j.select(*[F.col(f"a.{c}").alias(c) for c in cols], "s.__start", "s.__closed"), "quoted")
     single = j.filter(F.col("__start").isNull() & (F.trim("value") != "")).select(*cols)
     parts = j.filter("__closed").groupBy(group_col, "__start").agg(
         *[F.min_by(c, order_col).alias(c) for c in keep],

@@ -80,3 +80,11 @@ def test_lines_without_quotes_are_not_brought_together(spark):
     """No exchange of raw lines is asked for but that of the records of several lines."""
     plan = quoted_records(frame(spark, {"a": "x\ty"}), "archive", "line_no")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("collect_list") == 1
+
+
+def test_lines_are_brought_to_their_chunks_once_and_records_stay(spark):
+    got = wide_scan_quoted(frame(spark, {"a": 'x\t"y\nz"\nu\tv', "b": "x\ty"}), {0: "a", 1: "b"}, "archive", "line_no")
+    p = got._jdf.queryExecution().executedPlan().toString()
+    assert "value#" in p and not any("SortMergeJoin" in line for line in p.splitlines())  # one row per archive is broadcast
+    assert p.count("FileScan parquet") == 4 and "__chunk" not in p  # read as written, for the widths and for the rows
+    assert sorted(tuple(r) for r in got.collect()) == [("a", 0, "x", "y\nz"), ("a", 2, "u", "v"), ("b", 0, "x", "y")]
