@@ -134,3 +134,21 @@ def test_kafka_source_is_wired_but_needs_the_connector(spark):
         stream_source(spark, "kafka", {"kafka.bootstrap.servers": "broker:9092", "subscribe": "raw"})
     with pytest.raises(ValueError):
         stream_source(spark, "socket")
+
+
+def test_a_large_batch_of_wire_messages_is_written_by_several_tasks(spark, monkeypatch):
+    from newsflow import queries
+    made, _stream_input = queries.q_batch_lineage_records, queries._stream_input
+    monkeypatch.setattr(queries, "q_batch_lineage_records", lambda *a: made(*a).repartition(4))  # from several tasks
+    conf = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, "8k")  # a day of the smallest tables is more
+    try:
+        split, whole = (_stream_input(spark, "/root/testdata/sf0.001", whole=w) for w in (False, True))
+    finally:
+        spark.conf.set(conf, before)
+    files = {p: spark.read.text(p).select(F.input_file_name().alias("f"), "batch_id").distinct().groupBy("batch_id")
+             .count().collect() for p in (split, whole)}
+    assert max(r["count"] for r in files[split]) > 1 and {r["count"] for r in files[whole]} == {1}
+    lines = [spark.read.text(p).select("batch_id", "value") for p in (split, whole)]
+    assert lines[0].exceptAll(lines[1]).count() == 0 == lines[1].exceptAll(lines[0]).count()
