@@ -118,3 +118,43 @@ def test_texts_are_moved_once_on_the_way_to_the_landing_table(spark):
     assert ["batch_url" in joins[0], "event_id" in joins[1], "user_id" in joins[2]] == [True] * 3 and len(joins) == 3
     assert "BroadcastHashJoin [batch_url" in p and p.count("Exchange hashpartitioning(batch_url") == 1  # of the widths
     assert p.index("doc_id#") < p.index("SortMergeJoin [user_id")
+
+
+def test_the_landing_step_neither_splits_nor_rewrites_texts_by_a_regular_expression(spark, tmp_path):
+    import datetime as dt
+    from newsflow.sources.tables import gkg_view, lines_with_width, single_spaced
+    texts = ["", " ", "a", " a", "a ", "a b c d e f", "a b c d e f ", "a b  c\td\ne\rf g", "\t\n\r  x ; ;; y\n\n",
+             None, "a  b;c\x0bd\xa0e", "   ", "é 世\n界  z"]
+    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    runs = r"[ \t\n\r]+"
+    assert docs.filter(~F.regexp_replace("text", runs, " ").eqNullSafe(single_spaced(F.col("text")))).count() == 0
+    at = dt.datetime(2026, 1, 1)
+    events = spark.createDataFrame([(i, at, 0, "click", 5.0) for i in range(len(texts) + 1)],
+                                   "event_id long, ts timestamp_ntz, user_id long, event_type string, value double")
+    pages = spark.createDataFrame([(0, "http://a.com/x")], "page_id long, url string")
+    for name, df in {"documents": docs, "events": events, "pages": pages}.items():
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    words = F.slice(F.split(F.coalesce("text", F.lit("")), runs), 1, 6)
+    want = events.join(docs, events.event_id == docs.doc_id, "left").select(
+        F.col("event_id").cast("string"), F.regexp_replace("text", runs, ";"), F.array_join(words, ";;"))
+    got = gkg_view(spark, str(tmp_path)).select("record_id", "themes", "organizations")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    # a whole text is never split, and only a run of blanks is taken out by a regular expression
+    landing = plan(lines_with_width(spark, str(tmp_path)))
+    assert "split(" not in landing and "[ \\t\\n\\r]+" not in landing and "regexp_replace" in landing
+
+
+def test_the_reject_rule_splits_the_head_of_a_line_only(spark):
+    from newsflow.plans.normalize import normalize, producer_valid, project_lines, to_records, valid_line
+    full = ["r", "20260101000000", "", "", "s", "http://a.com/x", "", "a;b;;c", *["x;y"] * 19]
+    lines = [full, full[:6], full[:5], full[:1], [], ["r", "", *full[2:]], [*full[:5], "", *full[6:]], [*full, "more", ""]]
+    df = spark.createDataFrame([(i, "\t".join(v)) for i, v in enumerate(lines)] + [(99, None)], "n int, value string")
+    fields = project_lines(df, keep=("n",))
+    stamp = F.lit("t")
+    want = to_records(fields.filter(producer_valid()), stamp).collect()
+    got = normalize(df, stamp, keep=("n",))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want)) and {r.n for r in want} == {0, 1, 7}
+    assert {r.n for r in df.filter(valid_line(F.col("value"))).collect()} == {0, 1, 7}
+    rule = [x for x in plan(got.select("n")).splitlines() if "Filter" in x]
+    assert rule and all(x.count("split(") == x.count("split(substring_index(") > 0 for x in rule)
+    assert "translate(" not in plan(got) and "replace(themes" in plan(got)
