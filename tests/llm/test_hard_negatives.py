@@ -83,3 +83,45 @@ def test_query_columns_and_relabelling(spark, tmp_path):
     kept = [(i, [float(np.float32(x)) for x in v], (lab + 1) % 10 if i % 7 == 0 else lab) for i, v, lab in rows]
     got = QUERIES["op12_hard_negatives"](spark, path)
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute(kept, every=100)
+
+
+def test_anchors_repeated_for_strips_do_not_pass_the_driver(spark, monkeypatch):
+    """The anchors are small for Spark's estimate; repeated for every strip they are not, so they may not be broadcast."""
+    plans, stored = {}, op.stored
+    monkeypatch.setattr(op, "stored", lambda df, name: (plans.update(
+        {name: df._jdf.queryExecution().executedPlan().toString()}), stored(df, name))[1])
+    rows = vectors(400, 8, seed=3)
+    assert run(spark, rows, strips=300) == brute(rows)
+    assert "Broadcast" not in plans["positives"]
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e306])
+def test_many_cells_give_the_same(spark, monkeypatch, scale):
+    for name, value in (("BLOCK_ROWS", 32), ("CELL_BYTES", 400), ("STEP", 3)):
+        monkeypatch.setattr(op, name, value)
+    rows = [(i, [x if i % 5 else x * scale for x in v], lab) for i, v, lab in vectors(300, 6, seed=7)]
+    rows += [(1000 + i, rows[3][1], i % 2) for i in range(60)] + [(2000, [], 1), (2010, [], 1), (2011, [], 2)]
+    want = brute(rows, every=2)
+    assert len(want) > 500 and run(spark, rows, every=2) == want
+
+
+@pytest.mark.parametrize("top", [100, 30_000, 1 << 40, 1e300])
+def test_integers_are_read_as_written(top):
+    whole = op.integers(np.array([[top, -top, 0.3], [-0.1, 7.0, top / 3]]))
+    got = op.unpacked_integers(op.packed_integers(whole), 2, 3)
+    assert got.dtype == whole.dtype and (got == whole).all()
+
+
+def test_first_columns_of_a_block_rule_out_others():
+    rng = np.random.default_rng(5)
+    score, fits = rng.integers(-9, 9, size=(40, 640)), rng.random((40, 640)) < 0.5
+    fits[3] = False
+    fits[4, 2:] = False
+    for values in (score, score.astype(object)):
+        best = op.Best(40, 5)
+        for at in range(0, 640, 320):
+            best.take(values[:, at:at + 320], fits[:, at:at + 320], np.arange(at, at + 320))
+        want = [(i, j) for i in range(40)
+                for j in sorted(np.flatnonzero(fits[i]).tolist(), key=lambda j: (-score[i, j], j))[:5]]
+        assert list(zip(best.row.tolist(), best.ids.tolist())) == want
+        assert [score[i, j] for i, j in want] == best.score.tolist()
