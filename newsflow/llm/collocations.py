@@ -12,10 +12,10 @@ pushed towards the root first.
    parts and its hash, so nothing frequent is left out; an error of the filter costs work, never
    results. (Single words rule out few pairs of words in a large corpus, so they are not counted first.)
 3. *Counts*: a shard is some chunks of one task. Its phrases that pass the filter are sorted and counted, and
-   count transducers are built incrementally from the sorted phrases, in slices of ``SLICE`` phrases.
-   *Union by prefix range*: a bounded sample of the slices' first phrases cuts the sorted phrases into
-   ranges of about ``RANGE`` entries (as Spark's range partitioner does). A slice is cut where
-   ranges begin; a range's transducers are united, weights summed, and what stays
+   count transducers are built from the sorted phrases, in slices of at most ``SLICE`` phrases.
+   *Union by prefix range*: phrases drawn from all places of all chunks, in the pass that looks for the words, cut the
+   sorted phrases into ranges of about ``RANGE`` entries (as Spark's range partitioner does). A slice ends where
+   a range does; a range's transducers are united, weights summed, and what stays
    below the least count goes. A phrase comes once from a shard, so no phrase is hot.
 4. *Part lookups by composition*: every candidate asks for the counts of its parts. The requests are cut into
    ranges of (part, candidate), so that a part of very many candidates is spread; a range's requests
@@ -36,7 +36,7 @@ from bisect import bisect_left, bisect_right
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsflow.llm.store import stored, width
+from newsflow.llm.store import narrow_batches, stored, width
 
 LONGEST = 5
 LEAST = 100
@@ -51,6 +51,7 @@ REQUESTS = 50_000
 FILTER_BITS = 1 << 26
 BLOCKS = 7  # leading bits of a hash that name its block of the filter
 BATCH_BYTES = 2 << 20
+DRAWN = 64  # phrases of a range that are offered as boundaries
 KEY_BYTES = 64  # of a range boundary; any byte string is a valid one
 SLICES = "lang string, k int, first binary, last binary, n long, words binary, word_ends binary, automaton binary"
 
@@ -112,6 +113,11 @@ class Builder:
 
 def build(rows, weights) -> dict:
     """The automaton of sorted distinct ``rows`` (phrases as word numbers) with their counts."""
+    return by_levels(rows, weights) or one_by_one(rows, weights)
+
+
+def one_by_one(rows, weights) -> dict:
+    """The automaton, one phrase prefix after another."""
     import numpy as np
     k = rows.shape[1]
     builder = Builder(k)
@@ -123,6 +129,48 @@ def build(rows, weights) -> dict:
     return builder.done()
 
 
+def by_levels(rows, weights) -> dict | None:
+    """``one_by_one`` for all states of one depth at once, from the last word on. States are told apart by a hash of their
+    arcs, then compared; None if two that differ have the same hash."""
+    import numpy as np
+    n, k = rows.shape
+    fresh = np.zeros(n, bool)  # where a prefix of ``depth`` words begins
+    begins = []
+    for depth in range(k):
+        if depth:
+            fresh[1:] |= rows[1:, depth - 1] != rows[:-1, depth - 1]
+        fresh[0] = True
+        begins.append(np.flatnonzero(fresh))
+    at, target, weight = np.arange(n), np.zeros(n, np.int64), weights.astype(np.int64)
+    arcs, sizes, made = [], [], 0
+    for depth in range(k - 1, -1, -1):
+        label = rows[at, depth].astype(np.int64)
+        first = np.searchsorted(at, begins[depth])
+        size = np.diff(first, append=len(at))
+        least = np.minimum.reduceat(weight, first)
+        weight = weight - np.repeat(least, size)
+        place = np.arange(len(at)) - np.repeat(first, size)
+        h = np.zeros(len(at), np.uint64)
+        for x in (place, label, target, weight):
+            h = (h ^ (h >> np.uint64(31)) ^ x.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+            h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        _, model, same = np.unique(np.add.reduceat(h, first), return_index=True, return_inverse=True)
+        if (size != size[model][same]).any():
+            return None
+        twin = spread(first[model][same], size)
+        if any((x != x[twin]).any() for x in (label, target, weight)):
+            return None
+        own = spread(first[model], size[model])
+        arcs.append((label[own], target[own], weight[own]))
+        sizes.append(size[model])
+        at, target, weight = begins[depth], same + made + 1, least  # 0 is the final state
+        made += len(model)
+    labels, targets, weights = (np.concatenate(x) for x in zip(*arcs))
+    starts = np.concatenate([[0, 0], np.cumsum(np.concatenate(sizes))])  # state 0 has no arcs
+    return {"k": k, "root": int(target[0]), "base": int(weight[0]), "starts": starts, "labels": labels,
+            "targets": targets, "weights": weights}
+
+
 def spread(starts, counts):
     """Positions ``starts[i], .., starts[i] + counts[i] - 1`` for all ``i``."""
     import numpy as np
@@ -404,19 +452,38 @@ def frequent_hashes(chunked: DataFrame, k: int, least: int, parts: int, bitmap=N
     return counted.groupBy("part").applyInArrow(add, "block long, hashes binary")
 
 
-def part_words(chunked: DataFrame, bitmap) -> DataFrame:
-    """``(block, hashes)``: the words of phrases of two words that are in the filter."""
+def part_words(chunked: DataFrame, longest: int, bitmap) -> DataFrame:
+    """``(block, hashes)``: the words of phrases of two words that are in the filter; and rows ``(lang, k, key)``: of
+    every chunk's phrases that will be counted, one in ``DRAWN``, chosen by hash and not by how often they occur."""
     def run(batches):
         import numpy as np
         import pyarrow as pa
         bits = np.frombuffer(bitmap.value, np.uint8)
-        for _, _, hashes, ids in _chunks_of(batches):
+        every = max(1, RANGE // DRAWN)
+        for lang, words, hashes, ids in _chunks_of(batches):
             at = phrases_at(ids, 2)
             at = at[maybe(bits, phrase_hashes(ids, at, 2, hashes))]
-            used = np.unique(hashes[np.unique(np.concatenate([ids[at], ids[at + 1]]))] >> np.uint64(64 - HASH_BITS))
-            yield _by_block(used, pa.RecordBatch.from_arrays)
-
-    return chunked.mapInArrow(run, "block long, hashes binary")
+            found = np.unique(np.concatenate([ids[at], ids[at + 1]]))
+            used = _by_block(np.unique(hashes[found] >> np.uint64(64 - HASH_BITS)), pa.RecordBatch.from_arrays)
+            none = [pa.nulls(used.num_rows, t) for t in (pa.string(), pa.int32(), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*used.columns, *none], names=names)
+            rest = np.uint64(len(ids) % every)  # another one for each chunk
+            for k in range(1, longest + 1):
+                begin = found if k == 1 else at if k == 2 else phrases_at(ids, k)
+                h = hashes[found] if k == 1 else phrase_hashes(ids, begin, k, hashes)
+                drawn = np.flatnonzero(h % np.uint64(every) == rest)
+                if k > 2:
+                    drawn = drawn[maybe(bits, h[drawn])]
+                begin = begin[drawn[np.unique(h[drawn], return_index=True)[1]]]
+                rows = begin[:, None] if k == 1 else ids[begin[:, None] + np.arange(k)]
+                keys = [b"".join(words[i] for i in row)[:KEY_BYTES] for row in rows.tolist()]
+                n = len(keys)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array([lang] * n, pa.string()),
+                     pa.array([k] * n, pa.int32()), pa.array(keys, pa.binary())], names=names)
+
+    names = ["block", "hashes", "lang", "k", "key"]
+    return chunked.mapInArrow(run, "block long, hashes binary, lang string, k int, key binary")
 
 
 def _by_block(hashes, make):
@@ -481,16 +548,27 @@ def summed(parts: list):
     return words, rows[new], np.add.reduceat(counts, new)
 
 
-def shard_counts(chunked: DataFrame, longest: int, bitmap) -> DataFrame:
-    """``SLICES`` of every shard: counts of its own phrases of up to ``longest`` words that pass the filter."""
+def shard_counts(chunked: DataFrame, longest: int, bitmap, bounds: list[tuple]) -> DataFrame:
+    """``SLICES`` and ``range`` of every shard: counts of its own phrases of up to ``longest`` words that pass the filter.
+
+    Range ``i`` holds the keys from bound ``i - 1`` on, below bound ``i``.
+    """
     def run(batches):
         import numpy as np
+        import pyarrow as pa
         bits = np.frombuffer(bitmap.value, np.uint8)
         held, size = {}, 0
 
         def flush():
-            for (lang, _), parts in sorted(held.items()):
-                yield from slices_of(lang, *summed(parts))
+            for (lang, k), parts in sorted(held.items()):
+                words, rows, counts = summed(parts)
+                a, b = (bisect_left(bounds, (lang, x)) for x in (k, k + 1))
+                stops = [0, *(_position(rows, words, (lang, k), bound) for bound in bounds[a:b]), len(rows)]
+                made = [(at, piece) for at, (x, y) in enumerate(zip(stops, stops[1:]), a)
+                        for piece in slices_of(lang, words, rows[x:y], counts[x:y])]
+                table = pa.Table.from_batches([piece for _, piece in made]).append_column(
+                    "range", pa.array([at for at, _ in made], pa.int64()))
+                yield from table.combine_chunks().to_batches()
             held.clear()
 
         for lang, words, hashes, ids in _chunks_of(batches):
@@ -511,42 +589,34 @@ def shard_counts(chunked: DataFrame, longest: int, bitmap) -> DataFrame:
                     size = 0
         yield from flush()
 
-    return chunked.mapInArrow(run, SLICES)
+    return chunked.mapInArrow(run, SLICES + ", range long")
 
 
 def _sampled(rows: DataFrame, columns: list[str], parts: int, weight: str = "1") -> list[tuple]:
-    """At most ``parts - 1`` boundaries: quantiles of a sample of ``8 * parts`` rows, drawn by weight and hash."""
+    """At most ``parts - 1`` boundaries: quantiles of a sample of ``8 * parts`` rows, drawn by weight.
+
+    Equal rows are drawn independently: a sample by their hash would be of distinct rows, however many are equal.
+    """
     if parts < 2:
         return []
-    drawn = F.expr(f"ln((pmod(xxhash64({', '.join(columns)}, 7), 2147483647) + 1) / 2147483648D) / ({weight})")
+    drawn = F.expr(f"ln(1D - rand(7)) / ({weight})")
     sample = rows.orderBy(drawn.desc()).select(*columns).limit(8 * parts).collect()
     keys = sorted(tuple(bytes(x) if isinstance(x, (bytes, bytearray)) else x for x in r) for r in sample)
     return sorted({keys[len(keys) * i // parts] for i in range(1, parts)}) if keys else []
 
 
-def overlapping(slices: DataFrame, bounds: list[tuple], whole: bool = False) -> DataFrame:
-    """``slices`` with the number ``range`` of the range that they belong to: range ``i`` holds the keys
-    from bound ``i - 1`` on, below bound ``i``. A slice of several ranges is cut; ``whole``: it is repeated for each.
-    """
+def overlapping(slices: DataFrame, bounds: list[tuple]) -> DataFrame:
+    """``slices`` with the number ``range`` of each range that they have keys in: range ``i`` holds the keys
+    from bound ``i - 1`` on, below bound ``i``."""
     def run(batches):
         import pyarrow as pa
-        number = lambda n, at: pa.array([at] * n, pa.int64())
         for batch in batches:
             for i, r in enumerate(zip(*(batch.column(n).to_pylist() for n in ("lang", "k", "first", "last")))):
-                low, high = ((*slice_key(r, 2), ""), (*slice_key(r, 3), "\U0010ffff")) if whole else (
-                    slice_key(r, 2), slice_key(r, 3))
-                a, b = bisect_right(bounds, low), bisect_right(bounds, high)
+                a = bisect_right(bounds, (*slice_key(r, 2), ""))
+                b = bisect_right(bounds, (*slice_key(r, 3), "\U0010ffff"))
                 same = pa.Table.from_batches([batch.slice(i, 1)])
-                if whole or a == b:
-                    for at in range(a, b + 1):
-                        yield from same.append_column("range", number(1, at)).to_batches()
-                    continue
-                words = words_of(batch.column("words")[i].as_py(), batch.column("word_ends")[i].as_py())
-                rows, counts = paths(load(batch.column("automaton")[i].as_py()))
-                stops = [0, *(_position(rows, words, (r[0], r[1]), bounds[at]) for at in range(a, b)), len(rows)]
-                for at, x, y in zip(range(a, b + 1), stops, stops[1:]):
-                    for piece in slices_of(r[0], words, rows[x:y], counts[x:y]):
-                        yield from pa.Table.from_batches([piece]).append_column("range", number(1, at)).to_batches()
+                for at in range(a, b + 1):
+                    yield from same.append_column("range", pa.array([at], pa.int64())).to_batches()
 
     return slices.mapInArrow(run, SLICES + ", range long")
 
@@ -589,7 +659,7 @@ def word_array(data: bytes, ends: bytes):
     return pa.Array.from_buffers(pa.binary(), len(stops) - 1, [None, pa.py_buffer(stops.tobytes()), pa.py_buffer(data)])
 
 
-def united(slices: DataFrame, bounds: list[tuple], least: int) -> DataFrame:
+def united(slices: DataFrame, least: int) -> DataFrame:
     """``SLICES``: per range, the union of the transducers with weights summed, phrases below ``least`` left out."""
     def run(key, table):
         import numpy as np
@@ -603,7 +673,7 @@ def united(slices: DataFrame, bounds: list[tuple], least: int) -> DataFrame:
             made += slices_of(lang, words, rows[often], weights[often])
         return pa.Table.from_batches(made) if made else table.slice(0, 0).drop_columns(["range"])
 
-    return overlapping(slices, bounds).groupBy("range").applyInArrow(run, SLICES)
+    return slices.groupBy("range").applyInArrow(run, SLICES)
 
 
 def phrase_counts(chunked: DataFrame, longest: int = LONGEST, least: int = LEAST) -> DataFrame:
@@ -615,12 +685,14 @@ def phrase_counts(chunked: DataFrame, longest: int = LONGEST, least: int = LEAST
         if not add_to_filter(bitmap, frequent_hashes(chunked, k, least, parts, sent)):
             break  # no longer phrase is frequent either
         sent = sc.broadcast(bytes(bitmap))
+    bounds = []
     if sent:
-        add_to_filter(bitmap, part_words(chunked, sent))
-    shards = stored(shard_counts(chunked, longest, sc.broadcast(bytes(bitmap))), "phrases")
-    total = shards.agg(F.sum("n")).first()[0] or 0
-    bounds = _sampled(shards, ["lang", "k", "first"], -(-total // RANGE), "n")
-    return stored(united(shards, bounds, least), "frequent_phrases")
+        words = stored(part_words(chunked, longest, sent), "phrase_words", "zstd")
+        add_to_filter(bitmap, words.filter("block IS NOT NULL").select("block", "hashes"))
+        keys = words.filter("block IS NULL").select("lang", "k", "key")
+        bounds = _sampled(keys, keys.columns, -(-keys.count() // DRAWN))
+    shards = shard_counts(chunked, longest, sc.broadcast(bytes(bitmap)), bounds)
+    return stored(united(shards, least), "frequent_phrases")
 
 
 # --- part lookups and scores ---------------------------------------------------------------
@@ -694,7 +766,7 @@ def part_counts(asked: DataFrame, counts: DataFrame) -> DataFrame:
 
     # A request's key is (part, phrase); a slice overlaps every range that holds a request for one of its phrases.
     requests = _ranged_requests(asked, bounds)
-    held = overlapping(counts, bounds, whole=True)
+    held = stored(overlapping(counts, bounds), "ranged_phrases")
     return requests.groupBy("range").cogroup(held.groupBy("range")).applyInArrow(run, schema)
 
 
@@ -712,12 +784,13 @@ def _ranged_requests(asked: DataFrame, bounds: list[tuple]) -> DataFrame:
 def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, top: int = TOP) -> DataFrame:
     """``(lang, rank, phrase, a, l, r, n, score)``: each language's first ``top`` phrases by score, count and text."""
     spark = docs.sparkSession
-    chunked = stored(chunks(docs), "phrase_chunks", "zstd")
+    with narrow_batches(spark):  # chunks and slices are large rows
+        chunked = stored(chunks(docs), "phrase_chunks", "zstd")
+        counts = phrase_counts(chunked, longest, least)
+        wanted = stored(lookups(counts), "part_lookups")
+        found = part_counts(wanted.filter("side < 2"), counts)
     total = chunked.groupBy("lang").agg(F.sum("n").alias("n"))
-    counts = phrase_counts(chunked, longest, least)
-    wanted = stored(lookups(counts), "part_lookups")
-    asked = wanted.filter("side < 2")
-    answers = part_counts(asked, counts).unionByName(
+    answers = found.unionByName(
         wanted.filter("side = 2").select("lang", "phrase", "words", F.lit(None).cast("long").alias("a"), "cut", "side",
                                          F.col("a").alias("f")))
     part = lambda cut, side: F.max(F.when((F.col("cut") == cut) & (F.col("side") == side), F.col("f")))

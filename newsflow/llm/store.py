@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 from newsflow.session import shared_path
@@ -35,6 +37,22 @@ def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+@contextmanager
+def narrow_batches(spark: SparkSession, size: str = "8m"):
+    """Arrow batches of about ``size`` in the jobs that run inside, for tables whose rows are large.
+
+    A batch is held outside the heap, with room to grow, and a second time as the worker's message: at Spark's own 64 MB
+    that is some hundred MB for each running task.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before else spark.conf.unset(name)
+
+
 def worker_cache(key, make):
     """A value built once per Python worker process and reused by its later tasks.
 

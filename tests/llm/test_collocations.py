@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from newsflow.llm import collocations as op
 
@@ -126,3 +127,43 @@ def test_scores_beyond_64_bits():
     got = spark.sql(f"SELECT CAST((CAST(1000 AS DECIMAL(4,0)) * CAST({a}L AS DECIMAL(17,0)) * CAST({n}L AS DECIMAL(17,0))) "
                     f"div (CAST({l}L AS DECIMAL(19,0)) * CAST({r}L AS DECIMAL(19,0))) AS BIGINT) AS s").first().s
     assert got == int(Decimal(1000 * a * n) // Decimal(l * r)) == 1000 * a * n // (l * r)
+
+
+def test_ranges_stay_even_when_shards_are_alike(spark, monkeypatch):
+    """Shards of few phrases are one slice each and begin at the same phrase: no cut may need a slice's beginning."""
+    for name, value in (("CHUNK", 500), ("SHARD", 100), ("RANGE", 500)):
+        monkeypatch.setattr(op, name, value)
+    united, entries = op.united, []
+
+    def watched(slices, *rest):
+        ranged = slices if "range" in slices.columns else op.overlapping(slices, rest[0])
+        entries.extend(r.n for r in ranged.groupBy("range").agg(F.sum("n").alias("n")).collect())
+        return united(slices, *rest)
+
+    monkeypatch.setattr(op, "united", watched)
+    rng = np.random.default_rng(2)
+    rows = [("en", " ".join(rng.choice(["w%02d" % i for i in range(60)], 400))) for _ in range(150)]
+    assert run(spark, rows, least=6, longest=2) == brute(rows, 6, 2000, 2)
+    assert sum(entries) > 10_000 and max(entries) < 4 * op.RANGE
+
+
+@pytest.mark.parametrize("k", [1, 2, 4])
+def test_states_by_levels_are_those_one_by_one(k):
+    rows, weights = sorted_rows(600, k, seed=8)
+    weights = weights % 3 + 1  # many equal states
+    a, b = op.by_levels(rows, weights), op.one_by_one(rows, weights)
+    assert len(a["starts"]) == len(b["starts"]) and len(a["labels"]) == len(b["labels"]) and a["base"] == b["base"]
+    for x in (a, b):
+        got, counts = op.paths(x)
+        assert (got == rows).all() and (counts == weights).all()
+
+
+def test_batches_are_narrow_inside_only(spark):
+    from newsflow.llm.store import narrow_batches
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    rows = spark.range(0, 12, 1, 1).selectExpr("repeat('x', 1000000) AS s")
+    sizes = lambda batches: (b.select([]).from_pydict({"n": [b.num_rows]}) for b in batches)
+    before = spark.conf.get(name)
+    with narrow_batches(spark, "3m"):
+        assert max(r.n for r in rows.mapInArrow(sizes, "n long").collect()) <= 4
+    assert spark.conf.get(name) == before
